@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 
@@ -91,7 +92,7 @@ def number_rows(rows: DataFrame, order: list[str], name: str = "row") -> tuple[D
 def shuffle(rows: DataFrame, order: list[str], shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """rows with shard and slot."""
     numbered, n = number_rows(rows, order, "_row")
-    schema = numbered.drop("_row").schema.add("shard", "int").add("slot", "long")
+    schema = numbered.drop("_row").schema.add("shard", T.IntegerType()).add("slot", T.LongType())
 
     def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -88,10 +88,10 @@ def count(text: str, whole: Callable[[str], int], lengths: Callable[[str], np.nd
             base = len(text[begin:low].encode())
             for p in reversed(spots):
                 inner = len(text[low:p].encode())
-                k = int(np.searchsorted(after_left, base + inner))
-                j = int(np.searchsorted(after_right, inner))
-                if k < len(after_left) and after_left[k] == base + inner and after_right[j] == inner:
-                    total, begin, wide = total + k + 1, p, overlap
+                k = int(np.searchsorted(after_left, base + inner, "right"))  # tokens up to here; those of one character's bytes end together
+                j = int(np.searchsorted(after_right, inner, "right"))
+                if k and j and after_left[k - 1] == base + inner and after_right[j - 1] == inner:
+                    total, begin, wide = total + k, p, overlap
                     break
             else:
                 wide *= 2
