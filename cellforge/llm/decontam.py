@@ -33,7 +33,7 @@ from . import common
 Q, RATE = 12, 0.06
 #: Characters of the benchmark that one pass over the documents takes.
 BLOCK_CHARS = 8 << 20
-_BITS = 22
+_BITS = 20
 _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -63,25 +63,23 @@ def edit_distance(pattern: str, text: str, low: int, high: int, budget: int) ->
     t = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     first, last = low - budget, high + budget
     width = last - first + 1
-    far = np.int64(1 << 30)
-    place = np.arange(width)
-    start = first + place  # text position before row 0, by diagonal
-    row = np.where((start >= 0) & (start <= len(t)), 0, far)
-    padded = np.concatenate([t, np.full(1, 0xFFFFFFFF, np.uint32)])
+    # text by diagonal; outside of it stands a sign that matches nothing, which costs what leaving out a character does
+    span = np.full(width + len(p), 0xFFFFFFFF, np.uint32)
+    a, b = max(first, 0), min(last + len(p), len(t))
+    if a < b:
+        span[a - first : b - first] = t[a:b]
+    place = np.arange(width, dtype=np.int32)
+    row, up = -place, np.full(width, 1 << 30, np.int32)  # edits less the diagonal's number
     for i in range(len(p)):
-        at = start + i
-        inside = (at >= 0) & (at < len(t))
-        same = row + (padded[np.where(inside, at, len(t))] != p[i])
-        same[~inside] = far
-        up = np.append(row[1:], far) + 1  # a pattern character left out: the next diagonal
-        row = np.minimum(same, up)
-        end = at + 1
-        row[(end < 0) | (end > len(t))] = far
-        row = np.minimum.accumulate(row - place) + place  # text characters put in
-        if row.min() > budget:
+        np.add(row[1:], 2, out=up[:-1])  # a pattern character left out: from the next diagonal
+        row += span[i : i + width] != p[i]
+        np.minimum(row, up, out=row)
+        np.minimum.accumulate(row, out=row)  # text characters put in
+        if i % 16 == 15 and (row + place).min() > budget:
             return budget + 1, -1
+    row += place
     best = int(np.argmin(row))
-    return int(row[best]), int(start[best] + len(p))
+    return int(row[best]), min(first + best + len(p), len(t))
 
 
 class Benchmark:
@@ -105,7 +103,7 @@ class Benchmark:
         self.code, self.at = np.unique(code[order], return_index=True)
         self.at = np.append(self.at, len(code))
         self.seen = np.zeros(1 << _BITS, bool)
-        self.seen[(self.code * _M[0]) >> np.uint64(64 - _BITS)] = True
+        self.seen[(self.code >> np.uint64(64 - _BITS)).view(np.int64)] = True
         self.spread = int(2 * self.budget.max(initial=0) + 1)
 
     def matches(self, text: str | None) -> list[tuple[int, int, int]]:
@@ -113,7 +111,7 @@ class Benchmark:
         doc = normalise(text)
         out = [(k, 0, doc.find(self.texts[k]) + len(self.texts[k])) for k in self.short if self.texts[k] in doc]
         x = codes(doc)
-        pos = np.flatnonzero(self.seen[(x * _M[0]) >> np.uint64(64 - _BITS)])
+        pos = np.flatnonzero(self.seen[(x >> np.uint64(64 - _BITS)).view(np.int64)])
         if len(pos) and len(self.code):
             x = x[pos]
             where = np.minimum(np.searchsorted(self.code, x), len(self.code) - 1)
