@@ -46,8 +46,8 @@ _MAIN_WORDS = set("article main content entry post story body-text articlebody p
 def blocks(page: str | None) -> list[tuple[str, int, int, int, int]]:
     """(text, words, words in links, boilerplate, main) of every block with a word, in page order."""
     out: list[tuple[str, int, int, int, int]] = []
-    stack: list[tuple[str, int, int]] = []  # name and whether it is boilerplate, main
-    boiler = main = in_link = 0
+    stack: list[tuple[str, int]] = []  # name and what holds inside: 0 nothing known, 1 boilerplate, 2 main
+    state = in_link = 0
     parts: list[str] = []
     linked: list[str] = []
 
@@ -55,7 +55,7 @@ def blocks(page: str | None) -> list[tuple[str, int, int, int, int]]:
         if parts:
             words = html.unescape("".join(parts)).split()
             if words:
-                out.append((" ".join(words), len(words), len(html.unescape("".join(linked)).split()), int(boiler > 0), int(main > 0)))
+                out.append((" ".join(words), len(words), len(html.unescape("".join(linked)).split()), int(state == 1), int(state == 2)))
             parts.clear()
             linked.clear()
 
@@ -84,17 +84,13 @@ def blocks(page: str | None) -> list[tuple[str, int, int, int, int]]:
             marks = {w for x in _MARK.findall(m[4] or "") for w in re.split(r"[\s_]+", x.strip("\"'").lower())}
             marks |= {w for x in marks for w in x.split("-")} if marks else set()
             is_main = int(name in ("article", "main") or bool(marks & _MAIN_WORDS))
-            is_boiler = int(name in _BOILER_TAGS or (name == "header" and not main) or (name not in ("article", "main", "body", "html") and bool(marks & _BOILER_WORDS)))
-            stack.append((name, is_boiler, 0 if is_boiler else is_main))
-            boiler += is_boiler
-            main += stack[-1][2]
+            is_boiler = int(name in _BOILER_TAGS or (name == "header" and state != 2) or (name not in ("article", "main", "body", "html") and bool(marks & _BOILER_WORDS)))
+            state = 1 if is_boiler else 2 if is_main else state  # the innermost mark counts
+            stack.append((name, state))
         elif any(x[0] == name for x in stack):
-            while True:
-                closed, is_boiler, is_main = stack.pop()
-                boiler -= is_boiler
-                main -= is_main
-                if closed == name:
-                    break
+            while stack.pop()[0] != name:
+                pass
+            state = stack[-1][1] if stack else 0
     close()
     return out
 

@@ -173,6 +173,19 @@ def identify(df: DataFrame, profiles: Profiles, key: str = "doc_id", text: str =
     return rows.mapInArrow(body, f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
 
 
+def keep_known(docs: DataFrame, profiles: Profiles) -> DataFrame:
+    """The rows of docs whose text is in a language that can be told; no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(profiles)
+    at = docs.columns.index("text")
+
+    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array([model.predict(t.as_py())[0] != "und" for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(body, docs.schema)
+
+
 def held_out(column: str = "doc_id"):
     return F.pmod(common.crc_of_id(column), F.lit(FOLDS)) == 0
 

@@ -213,6 +213,12 @@ def link(docs: DataFrame, size: int = 5, percent: int = 80, rounds: int = 3) ->
     return sketch.select("doc_id", "n_shingles").join(whole, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """docs without documents that are not the smallest of their class (rows with a null doc_id stay)."""
+    later = link(docs, size, percent).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(later, "doc_id", "left_anti").select(docs.columns)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = link(common.table(spark, sf_dir, "documents"), size=2, percent=80)
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
