@@ -1,0 +1 @@
+"""The engine is batch only: no operator here needs a stream, so none is offered."""
