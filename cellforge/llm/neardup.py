@@ -11,11 +11,12 @@ agrees to within an error, which alone loses them, is (1 - 0.737)**12 = 1e-7.)
 
 Documents with the same shingle set are first folded into the one with the
 smallest id. A key's documents are not paired with each other: each is compared
-with the key's smallest document; components form; keys that still hold several
-components are compared again with other representatives; what then remains
-between components is compared pair by pair, keyed and in full. Links are decided
-on full shingle sets. Thousands of near copies so cost one comparison each in the
-first round, and no link between different texts is lost.
+with the key's most popular document, the one with the most partners over all its
+keys; components form; keys that still hold several components are compared with
+the next popular one, ROUNDS times. Documents that are then outside their key's
+largest component are a query set, held in blocks against all documents they share
+a key with. Links are decided on full shingle sets. Thousands of near copies so
+cost a few comparisons each, and no link between different texts is lost.
 
 Defined results: a null or empty text has an empty set and is linked with nothing;
 with fewer words than a shingle, the whole sequence is the one shingle; repeated
@@ -37,6 +38,8 @@ from pyspark.sql import functions as F
 from . import common, kernel
 
 CHUNKS, SYMBOLS, ERRORS = 12, 5, 1
+#: Rounds against one popular document a key; bytes of a block of the rest.
+ROUNDS, REST_BYTES = 3, 32 << 20
 #: Largest distance at which the index is certain to pair two signatures.
 GUARANTEED = CHUNKS * (ERRORS + 1) - 1
 
@@ -129,18 +132,8 @@ def keyed(reps: DataFrame) -> DataFrame:
     return reps.select("doc_id", "sig").mapInArrow(body, "key long, doc_id long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those pairs (u, v) whose full shingle sets have 100 * |both| >= percent * |either|."""
-    wanted = pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct()
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = kernel.utf8(batch.column(1))
-            for a, b in kernel.blocks(offsets):
-                grams, at = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([grams[at[i] : at[i + 1]].tobytes() for i in range(b - a)], pa.large_binary()).cast(pa.binary())], ["doc_id", "grams"])
-
-    full = common.save(docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "doc_id long, grams binary"), "sets")
+def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (u, v) whose full shingle sets (doc_id, grams) have 100 * |both| >= percent * |either|."""
     both = (
         pairs.join(full.select(F.col("doc_id").alias("u"), F.col("grams").alias("gu")), "u")
         .join(full.select(F.col("doc_id").alias("v"), F.col("grams").alias("gv")), "v")
@@ -162,54 +155,111 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     out = common.save(both.mapInArrow(test, "u long, v long"), "links")
-    common.drop(full)
     return out
 
 
-def link(docs: DataFrame, size: int = 5, percent: int = 80, rounds: int = 3) -> DataFrame:
+def against_rest(rest: DataFrame, members: DataFrame, percent: int, limit: int = REST_BYTES) -> DataFrame:
+    """Links (u, v) between documents of rest and members that share a key and lie in different components.
+
+    Both have doc_id, comp, keys (array) and grams. rest is the query set: it is
+    taken in blocks of at most `limit` bytes, each held against all members, so
+    candidate pairs never become rows.
+    """
+    spark, schema = members.sparkSession, "u long, v long"
+
+    def search(block: list) -> DataFrame:
+        keys = np.concatenate([np.array(r["keys"], np.int64) for r in block])
+        owner = np.repeat(np.arange(len(block)), [len(r["keys"]) for r in block])
+        order = np.argsort(keys, kind="stable")
+        shared = spark.sparkContext.broadcast((keys[order], owner[order], [r["doc_id"] for r in block], np.array([r["comp"] for r in block]), [bytes(r["grams"]) for r in block]))
+
+        def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            keys, owner, ids, comps, raw = shared.value
+            sets = [np.frombuffer(x, np.uint64) for x in raw]
+            size = np.array([len(x) for x in sets])
+            for batch in batches:
+                found = []
+                for doc, comp, own, grams in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                    k = np.asarray(own.values)
+                    low, high = np.searchsorted(keys, k), np.searchsorted(keys, k, "right")
+                    near = np.unique(np.concatenate([owner[i:j] for i, j in zip(low, high, strict=True)] or [owner[:0]]))
+                    y = np.frombuffer(grams.as_buffer(), np.uint64)
+                    near = near[(comps[near] != comp) & (100 * np.minimum(size[near], len(y)) >= percent * np.maximum(size[near], len(y)))]
+                    for i in near.tolist():
+                        at = np.searchsorted(y, sets[i])
+                        both = int((y[np.minimum(at, len(y) - 1)] == sets[i]).sum())
+                        if 100 * both >= percent * (len(y) + len(sets[i]) - both):
+                            found.append((min(doc, ids[i]), max(doc, ids[i])))
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+        return common.save(members.select("doc_id", "comp", "keys", "grams").mapInArrow(body, schema), "restlinks")
+
+    out, block, held = spark.createDataFrame([], schema), [], 0
+    for row in rest.select("doc_id", "comp", "keys", "grams").toLocalIterator():
+        block.append(row)
+        held += len(row["grams"]) + 16 * len(row["keys"])
+        if held >= limit:
+            out, block, held = out.unionByName(search(block)), [], 0
+    return out.unionByName(search(block)).distinct() if block else out.distinct()
+
+
+def shingle_table(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, grams: the sorted shingle hashes of every row of (doc_id, text)."""
+
+    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = kernel.utf8(batch.column(1))
+            for a, b in kernel.blocks(offsets):
+                grams, at = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([grams[at[i] : at[i + 1]].tobytes() for i in range(b - a)], pa.binary())], ["doc_id", "grams"])
+
+    return docs.select("doc_id", "text").mapInArrow(body, "doc_id long, grams binary")
+
+
+def link(docs: DataFrame, size: int = 5, percent: int = 80, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_shingles, component_id of every document of (doc_id, text)."""
+    spark = docs.sparkSession
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
     sketch = common.save(sketches(docs, size), "sketch")
-    folds = sketch.where("set_hash IS NOT NULL").groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
-    rep_of = common.save(sketch.where("set_hash IS NOT NULL").select("doc_id", "set_hash").join(folds, "set_hash").select("doc_id", "rep").distinct(), "reps")
-    reps = sketch.where("set_hash IS NOT NULL").join(rep_of.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    filled = sketch.where("set_hash IS NOT NULL")
+    folds = filled.groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
+    rep_of = common.save(filled.select("doc_id", "set_hash").join(folds, "set_hash").select("doc_id", "rep").distinct(), "reps")
+    reps = filled.join(rep_of.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     keys = common.save(keyed(reps), "keys")
     # keys of a single document link nothing
-    hubs = keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub <> last").select("key", "hub")
-    shared = common.save(keys.join(hubs, "key"), "shared")  # (key, doc_id, hub)
+    popular = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).where("low <> high").select("key", "n")
+    shared = common.save(keys.join(popular, "key"), "shared")
     common.drop(keys)
-    texts = docs
-    pairs = common.save(shared.where("doc_id <> hub").select(F.col("hub").alias("u"), F.col("doc_id").alias("v")).distinct(), "pairs")
-    links = verified(pairs, texts, size, percent)
-    common.drop(pairs)
-    labels = common.components(links)
+    # documents with the most partners lie closest to what a group was copied from
+    rank = common.save(shared.groupBy("doc_id").agg(F.sum("n").alias("pop")), "rank")
+    full = common.save(shingle_table(docs.join(rank, "doc_id", "left_semi"), size).dropDuplicates(["doc_id"]), "sets")
+    links = spark.createDataFrame([], "u long, v long")
+    labels: DataFrame | None = None
+    used = spark.createDataFrame([], "doc_id long")
     for turn in range(rounds + 1):
-        # keys whose documents lie in several components
-        own = shared.select("key", "doc_id").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("comp"))
-        mixed = own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n")).where("low <> high")
-        open_keys = common.save(own.join(mixed.select("key"), "key"), "open")
-        sizes = open_keys.groupBy("key", "comp").agg(F.count("*").cast("double").alias("k")).groupBy("key").agg(((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs"))
-        left = sizes.agg(F.sum("pairs"), F.count("*")).first()
-        if not left[1]:
-            common.drop(open_keys)
-            break
-        # while much is left, one representative a key and component, another in each round; then every pair
-        last = turn == rounds or left[0] <= 64 * left[1]
-        if last:
-            a, b = open_keys.select("key", F.col("doc_id").alias("u"), F.col("comp").alias("cu")), open_keys.select("key", F.col("doc_id").alias("v"), F.col("comp").alias("cv"))
-            pairs = a.join(b, "key").where("cu < cv").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        own = shared.select("key", "doc_id")
+        own = own.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("comp")) if labels else own.withColumn("comp", F.col("doc_id"))
+        mixed = own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
+        still = common.save(own.join(mixed, "key", "left_semi"), "open")
+        if turn < rounds:
+            # every document of a key against the key's most popular one that was not yet taken
+            heads = still.join(used, "doc_id", "left_anti").join(rank, "doc_id").groupBy("key").agg(F.max_by(F.struct(F.col("doc_id").alias("hub"), F.col("comp").alias("hub_comp")), F.struct("pop", F.negate("doc_id"))).alias("h")).select("key", "h.*")
+            pairs = common.save(still.join(heads, "key").where("comp <> hub_comp").select(F.col("hub").alias("u"), F.col("doc_id").alias("v")).distinct(), "pairs")
+            more = verified(pairs, full, percent)
+            used = common.save(used.unionByName(pairs.select(F.col("u").alias("doc_id"))).distinct(), "used")
+            common.drop(pairs)
         else:
-            order = F.xxhash64("doc_id", F.lit(turn))
-            heads = open_keys.groupBy("key").agg(F.min_by(F.struct("doc_id", "comp"), order).alias("h"))
-            pairs = open_keys.join(heads, "key").where("comp <> h.comp").select(F.least("doc_id", "h.doc_id").alias("u"), F.greatest("doc_id", "h.doc_id").alias("v")).distinct()
-        pairs = common.save(pairs.join(links, ["u", "v"], "left_anti"), "pairs")
-        more = verified(pairs, texts, size, percent)
-        links = common.save(links.unionByName(more), "alllinks")
+            # the rest: what is not in a key's largest component, in full against all of the key
+            large = still.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"))
+            rest = still.join(large, "key").where("comp <> major").select("doc_id").distinct()
+            members = still.groupBy("doc_id", "comp").agg(F.collect_list("key").alias("keys"))  # at most one for each index key
+            members = common.save(members.join(full, "doc_id"), "members")
+            more = against_rest(members.join(rest, "doc_id", "left_semi"), members, percent)
+        links = common.save(links.unionByName(more), "links")
+        common.drop(still, more)
         labels = common.components(links)
-        common.drop(open_keys, pairs, more)
-        if last:
-            break
     whole = rep_of.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
+    common.drop(shared, full, rank)
     return sketch.select("doc_id", "n_shingles").join(whole, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
