@@ -171,7 +171,8 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, block_tokens: int = B
         raise ValueError(f"length must lie in {STEP}..{LENGTH}")
     spark = docs.sparkSession
     # a range of documents each; the rows are small, so AQE joins ranges to few tasks
-    ranged = places(docs, path).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "doc_tokens", "places")
+    # saved first, as ranging samples its input and would encode the texts a second time
+    ranged = common.save(places(docs, path), "places").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "doc_tokens", "places")
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, nxt = TaskContext.get().partitionId(), 0
