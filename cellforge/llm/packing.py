@@ -22,7 +22,6 @@ result; extra columns are not read.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -33,15 +32,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, kernel
-from .wordpieces import WordIds
+from . import common, kernel, wordpieces
 
 LENGTH, END_ID, STEP = 2048, 1, 64
 #: Prices in tokens of padding: a cut at a sentence's end and inside a sentence.
 SENTENCE, INSIDE = 2, 24
 #: Tokens that one run of the dynamic programme takes at most (beyond one document).
 BLOCK_TOKENS = 1 << 20
-_SENTENCE = re.compile(rb"(?<=[.!?])[ \t-\r]+|\n")
+_STOP = np.zeros(256, bool)
+_STOP[list(b".!?")] = True
 
 
 def _zero_operators(most: int) -> np.ndarray:
@@ -75,39 +74,65 @@ def piece_crc(before: np.ndarray, after: np.ndarray, tokens: np.ndarray) -> np.n
     return after.astype(np.uint32) ^ np.bitwise_xor.reduce(columns * bits, axis=1)
 
 
+def _sentence_places(data: np.ndarray, words: kernel.Words, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(tokens before, kind) of the places at sentences' ends and inside long ones, and each row's first place.
+
+    token: tokens before each word, and in all. A sentence ends after a word that
+    ends with one of .!?, at a new line and at the end of its row.
+    """
+    if not len(words.start):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(words.rows + 1, np.int64)
+    end = words.start + words.length
+    lines = np.concatenate([[0], np.cumsum(data == 10)])
+    ends = _STOP[data[end - 1]]
+    ends[:-1] |= (lines[words.start[1:]] > lines[end[:-1]]) | (words.row[1:] != words.row[:-1])
+    ends[-1] = True
+    last = np.flatnonzero(ends)
+    stop = token[last + 1]
+    start = np.concatenate([[0], stop[:-1]])
+    filled = stop > start  # signs that the vocabulary drops may be a whole sentence
+    last, stop, start = last[filled], stop[filled], start[filled]
+    per = -(-(stop - start) // STEP)
+    final = np.cumsum(per) - 1
+    before = np.repeat(start, per) + STEP * (np.arange(per.sum()) - np.repeat(final - per, per))
+    kind = np.full(len(before), 2)
+    before[final], kind[final] = stop, 1
+    return before, kind, np.searchsorted(np.repeat(words.row[last], per), np.arange(words.rows + 1))
+
+
 def places(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """doc_id, doc_tokens and, of every place where a window may end, tokens and crc32 before it and its kind (0 document, 1 sentence, 2 inside)."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = WordIds(path)
+        ids_of = wordpieces.shared(path)
         last = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            _, offsets = kernel.utf8(batch.column(1))
+            data, offsets = kernel.utf8(batch.column(1))
             for a, b in kernel.blocks(offsets, 1 << 20):
-                texts = [(t or "").encode() for t in batch.column(1).slice(a, b - a).to_pylist()]
-                words: set[bytes] = set()
-                for t in texts:
-                    words.update(t.split())
-                get = ids_of.learn(words).__getitem__
+                block = data[offsets[a] : offsets[b]]
+                words = kernel.Words(block, offsets[a : b + 1] - offsets[a])
+                own = words.texts()
+                ids = list(map(ids_of.learn(set(own)).__getitem__, own))
+                raw = memoryview(b"".join(ids))
+                token = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) >> 2)])
+                base = token[words.first].tolist()
+                before, kind, first = _sentence_places(block, words, token)
+                bounds, before = first.tolist(), before.tolist()
                 totals, blobs = [], []
-                for t in texts:
-                    at, crc, out = 0, 0, []
-                    for sentence in _SENTENCE.split(t):
-                        raw = b"".join(map(get, sentence.split()))
-                        n = len(raw) >> 2
-                        if n > STEP:
-                            for k in range(STEP, n, STEP):
-                                crc = zlib.crc32(raw[4 * (k - STEP) : 4 * k], crc)
-                                out += (at + k, crc, 2)
-                            raw = raw[4 * k :]
-                        if raw:
-                            crc = zlib.crc32(raw, crc)
-                            at += n
-                            out += (at, crc, 1)
-                    crc = zlib.crc32(last, crc)
-                    out += (at + 1, crc, 0)
-                    totals.append(at + 1)
-                    blobs.append(np.array(out, "<u4").tobytes())
+                for i in range(b - a):
+                    at, crc, crcs = base[i], 0, []
+                    own_places = before[bounds[i] : bounds[i + 1]]
+                    for t in own_places:
+                        crc = zlib.crc32(raw[4 * at : 4 * t], crc)
+                        crcs.append(crc)
+                        at = t
+                    rows = np.empty((len(own_places) + 1, 3), "<u4")
+                    rows[:-1, 0] = np.array(own_places, np.int64) - base[i]
+                    rows[:-1, 1] = crcs
+                    rows[:-1, 2] = kind[bounds[i] : bounds[i + 1]]
+                    rows[-1] = at + 1 - base[i], zlib.crc32(last, crc), 0
+                    totals.append(at + 1 - base[i])
+                    blobs.append(rows.tobytes())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(totals, pa.int64()), pa.array(blobs, pa.binary())], ["doc_id", "doc_tokens", "places"])
 
     return docs.select("doc_id", "text").mapInArrow(body, "doc_id long, doc_tokens long, places binary")

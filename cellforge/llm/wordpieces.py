@@ -19,6 +19,10 @@ CACHE_WORDS = 500_000
 _UNUSUAL = re.compile("[^\x21-\x7e\xa1-\xac\xae-įĲ-ž‐-…€]|<\\|")
 
 
+#: The vocabulary's pattern on lower-case ASCII.
+_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
+
 @cache
 def library(path: str):
     from tokenizers import Tokenizer
@@ -47,18 +51,23 @@ class WordIds:
             self.words = {}
         if len(self.parts) > self.limit:
             self.parts = {}
-        new = [w for w in words if w not in self.words]
+        new = list(words.difference(self.words))
         cut: list[tuple[bytes, list[str]]] = []
         unknown: dict[str, None] = {}
-        for w in new:
-            text = w.decode("utf-8", "replace")
-            if _UNUSUAL.search(text):
+        find, parts = _pattern().findall, self.parts
+        for w, text in zip(new, b" ".join(new).decode("utf-8", "replace").split(" "), strict=False):
+            if w.isalpha():  # ASCII letters only: one piece
+                pieces = [text.lower()]
+            elif _UNUSUAL.search(text):
                 self.words[w] = np.array(library(self.path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
                 continue
-            pieces = _pattern().findall(text.lower())
+            elif text.isalpha():
+                pieces = [text.lower()]
+            else:
+                pieces = (_ASCII.findall if w.isascii() else find)(text.lower())
             cut.append((w, pieces))
             for p in pieces:
-                if p not in self.parts:
+                if p not in parts:
                     unknown[p] = None
         self._encode(list(unknown))
         for w, pieces in cut:
@@ -79,3 +88,9 @@ class WordIds:
             at = (at * 4).tolist()
             for p, i, j in zip(some, at, at[1:], strict=False):
                 self.parts[p] = raw[i:j]
+
+
+@cache
+def shared(path: str) -> WordIds:
+    """The cache of this process, which later tasks of the same worker find filled."""
+    return WordIds(path)
