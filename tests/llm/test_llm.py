@@ -222,6 +222,20 @@ def test_language_model(docs, empty):
     assert lm.score(empty, empty, WORD, train_docs=5).count() == 0
 
 
+def test_language_model_learns_from_all_texts(docs):
+    texts = [words(r[1]) for r in ROWS]
+    ids, doc, _ = lm.stream(texts, WordIds(WORD))
+    counted = {r.word: r.c for r in lm.word_counts(docs.select(F.coalesce("text", F.lit("")).alias("text")).repartition(3), WORD).where("is_id").collect()}
+    assert counted == {i: n for i, n in Counter(ids.tolist()).items() if i != lm.START}
+    start = lm.train([words("one")], WORD, counts=np.bincount(ids[ids != lm.START], minlength=lm.VOCABULARY).astype(float))
+    assert np.array_equal(lm.unpacked(lm.packed(start), start).out, start.out)
+    chosen = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("h"), "text").distinct()
+    more = lm.trained_on(start, chosen, WORD, 3)
+    assert lm.id_logs(more, ids, doc).mean() > lm.id_logs(start, ids, doc).mean()
+    again = lm.trained_on(start, chosen.repartition(5), WORD, 3)
+    assert np.allclose(again.query, more.query, atol=1e-4) and np.allclose(again.out, more.out, atol=1e-4)
+
+
 def test_windows_score_each_id_once():
     m = lm.train([words(ROWS[7][1])], WORD, epochs=1)
     ids, doc, _ = lm.stream([words(ROWS[7][1]), words(ROWS[10][1])], WordIds(WORD))
