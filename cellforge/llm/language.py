@@ -30,6 +30,8 @@ from . import common, kernel
 
 #: n-grams of a profile.
 PROFILE = 300
+#: One in so many labelled texts may score below what the pipeline keeps.
+LOW = 1000
 FOLDS = 5
 _CODES = 1 << 21  # a code point has 21 bits; three make one n-gram's code
 
@@ -173,15 +175,30 @@ def identify(df: DataFrame, profiles: Profiles, key: str = "doc_id", text: str =
     return rows.mapInArrow(body, f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
 
 
-def keep_known(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """The rows of docs whose text is in a language that can be told; no shuffle."""
+def least_score(training: DataFrame, profiles: Profiles) -> float:
+    """The score that all but one in LOW of the labelled texts with letters reach; 0 without any."""
+    scores = identify(training.where("text IS NOT NULL AND lang IS NOT NULL"), profiles, "lang").where("lang_pred <> 'und'")
+    return scores.agg(F.percentile_approx("score", 1 / LOW, LOW * 10).alias("s")).first()["s"] or 0.0
+
+
+def keep_known(docs: DataFrame, profiles: Profiles, least: float = 0.0) -> DataFrame:
+    """The rows of docs whose text is in a language that can be told: with letters, a score above 0 and of `least` at least.
+
+    Without profiles nothing can be told apart, and all rows with letters stay. No shuffle.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
     at = docs.columns.index("text")
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            yield batch.filter(pa.array([model.predict(t.as_py())[0] != "und" for t in batch.column(at)], pa.bool_()))
+            yield batch.filter(pa.array([told(model, t.as_py()) for t in batch.column(at)], pa.bool_()))
+
+    def told(model: Profiles, text: str | None) -> bool:
+        if not model.langs:
+            return bool(text) and bool(letters(text).any())
+        score = model.predict(text)[1]
+        return score > 0 and score >= least
 
     return docs.mapInArrow(body, docs.schema)
 

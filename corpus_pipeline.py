@@ -17,9 +17,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the labelled rows and drops texts in which no language can be told (`und`); lang is left as it is."""
-    profiles = language.learn(docs.where(~language.held_out()).select("text", "lang"))
-    return language.keep_known(docs, profiles)
+    """Learns from the labelled rows and drops texts without letters or unlike all profiles (a score of 0, or under that of 99.9 % of the labelled texts); lang is left as it is."""
+    training = docs.where(~language.held_out()).select("text", "lang")
+    profiles = language.learn(training)
+    return language.keep_known(docs, profiles, language.least_score(training, profiles) if profiles.langs else 0.0)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

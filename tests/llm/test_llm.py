@@ -295,6 +295,18 @@ def test_language(docs, empty):
     assert language.identify(empty, profiles).count() == 0 and language.learn(empty.select("text", "lang")).predict("abc") == ("und", 0.0)
 
 
+def test_stage_rejects_by_score(spark, docs):
+    import corpus_pipeline
+
+    rows = [(k, "the man and the dog went on to the other end of the road" + " again" * k, "en" if k < 40 else None) for k in range(50)]
+    strange = [(100, "日本語の文章 ひらがな", None), (101, "привет мир это текст", None), (102, "12 34 ...", None), (103, None, None)]
+    df = spark.createDataFrame(rows + strange, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in corpus_pipeline.identify_language(spark, df, "").collect()} == set(range(50))
+    # without any label nothing can be told, and texts with letters stay
+    none = df.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.doc_id for r in corpus_pipeline.identify_language(spark, none, "").collect()} == {*range(50), 100, 101}
+
+
 def test_pipeline(spark, docs, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     docs.drop("n_words", "key", "part").write.parquet(str(tmp_path / "documents.parquet"))
