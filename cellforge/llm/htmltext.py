@@ -4,8 +4,10 @@ A page is cut into flat text blocks at block-level tags. Features of a block are
 its words and link density, those of the block before and after it, and whether
 an enclosing element is marked as main or as boilerplate (by its name, class, id or
 role). A small CART tree, trained here on the labelled table below, decides which
-blocks are main text. Nothing inside script, style, forms' fields, head or
-comments becomes a block.
+blocks are main text. Nothing inside script, style, title, forms' fields or
+comments becomes a block. A script, style, textarea or title without end tag
+reaches to the end of the page; of other elements left out, without end tag only
+the tag goes, as it does for `<svg/>` and `<math/>`.
 
 Defined results: a null or empty page, and one without main text, give an empty
 text; unclosed and stray tags are read as browsers mostly do (an end tag closes
@@ -27,9 +29,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import common
 
-_SKIP = "script|style|noscript|template|head|svg|math|iframe|object|select|textarea|button|canvas|audio|video|map"
+#: Elements that are left out whole; the raw ones reach to the end of the page where they are not closed.
+_RAW = set("script style textarea title".split())
+_SKIP = _RAW | set("noscript template svg math iframe object select button canvas audio video map".split())
+_ENDS = {x: re.compile(rf"</{x}\s*>", re.I) for x in _SKIP}
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_SKIP})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|([^<]+|<)",
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|([^<]+|<)",
     re.S | re.I,
 )
 _MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -59,19 +64,32 @@ def blocks(page: str | None) -> list[tuple[str, int, int, int, int]]:
             parts.clear()
             linked.clear()
 
-    for m in _TOKEN.finditer(page or ""):
-        text = m[5]
+    page, at = page or "", 0
+    open_ended: set[str] = set()  # names with no end tag in the rest of the page
+    while m := _TOKEN.match(page, at):
+        at = m.end()
+        text = m[4]
         if text is not None:
             parts.append(text)
             if in_link:
                 linked.append(text + " ")
             continue
-        name = m[3]
+        name = m[2]
         if name is None:
-            if m[1]:
-                close()
             continue
-        name, end = name.lower(), bool(m[2])
+        name, end = name.lower(), bool(m[1])
+        if name in _SKIP and not end:
+            close()
+            if name in ("svg", "math") and m[3].endswith("/"):
+                continue
+            last = None if name in open_ended else _ENDS[name].search(page, at)
+            if last:
+                at = last.end()
+            elif name in _RAW:
+                at = len(page)
+            else:
+                open_ended.add(name)
+            continue
         if name == "a":
             in_link = 0 if end else 1
         if name in _INLINE:
@@ -81,7 +99,7 @@ def blocks(page: str | None) -> list[tuple[str, int, int, int, int]]:
         if name not in _TRACKED:
             continue
         if not end:
-            marks = {w for x in _MARK.findall(m[4] or "") for w in re.split(r"[\s_]+", x.strip("\"'").lower())}
+            marks = {w for x in _MARK.findall(m[3] or "") for w in re.split(r"[\s_]+", x.strip("\"'").lower())}
             marks |= {w for x in marks for w in x.split("-")} if marks else set()
             is_main = int(name in ("article", "main") or bool(marks & _MAIN_WORDS))
             is_boiler = int(name in _BOILER_TAGS or (name == "header" and state != 2) or (name not in ("article", "main", "body", "html") and bool(marks & _BOILER_WORDS)))

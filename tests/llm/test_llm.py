@@ -169,6 +169,16 @@ def test_html(spark):
     assert htmltext.extract(spark.createDataFrame([], s)).count() == 0
 
 
+def test_html_elements_without_end():
+    said = lambda page: [b[0] for b in htmltext.blocks(page)]
+    assert said("<html><head><title>t</title><meta charset=x><body><article><p>One two</p></article>") == ["One two"]
+    assert said("<html><head><script>if (a) '<p>no'</script><style>p {}</style><body><p>One") == ["One"]
+    assert said("<p>One <svg class='i'/> two.</p><p>Three <math/> four</p>") == ["One", "two.", "Three", "four"]
+    assert said("<p>One</p><svg><text>no</text></svg><p>Two <button>three</p><p>Four") == ["One", "Two", "three", "Four"]
+    assert said("<p>One</p><SCRIPT>no <p>no") == ["One"] and said("<p>One</p><textarea>no <p>no") == ["One"]
+    assert len(said("<button>a<p>" * 30000)) == 30000
+
+
 def test_packing(docs, empty):
     lib = Tokenizer.from_file(WORD)
     ids = {r[0]: np.array([*lib.encode(r[1] or "", add_special_tokens=False).ids, 1], "<u4") for r in ROWS}
