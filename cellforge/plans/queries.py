@@ -213,7 +213,7 @@ def clean_sci_name(spark, d):
 SELECT d.itis_id, d.name, coalesce(i.a, w.b) AS worms_id FROM d LEFT JOIN i USING (itis_id) LEFT JOIN w USING (name)""")
 def match_taxa_cascade(spark, d):
     t = load(spark, d, "customer").selectExpr("c_custkey AS itis_id", "'NATION_' || cast(c_custkey % 40 AS string) AS name")
-    i = load(spark, d, "orders").where("o_custkey % 2 = 0").selectExpr("o_custkey AS taxonID", "o_orderkey AS acceptedNameUsageID")
+    i = load(spark, d, "orders").selectExpr("CASE WHEN o_custkey % 2 = 0 THEN o_custkey END AS taxonID", "o_orderkey AS acceptedNameUsageID")
     w = load(spark, d, "nation").selectExpr("n_name AS scientificName", "cast(n_nationkey + 7 AS bigint) AS acceptedNameUsageID")
     return identity.match_taxa(t, i, w).select("itis_id", "name", "worms_id")
 
@@ -295,9 +295,9 @@ _EXT = "WITH p AS (SELECT c_nationkey AS zone, {lon} AS lon FROM customer WHERE
 
 @query(_EXT + " SELECT zone, CASE WHEN d - c < b - a AND d - c < 350 THEN c ELSE a END AS xmin, CASE WHEN d - c < b - a AND d - c < 350 THEN d ELSE b END AS xmax, (CASE WHEN d - c < b - a AND d - c < 350 THEN d - c ELSE b - a END) >= 350 AS globe FROM e")
 def lon_span(spark, d):
-    p = load(spark, d, "customer").selectExpr("c_nationkey AS zone", f"{_LON} AS lon").where("zone < 12 OR abs(lon) > 150")
+    p = load(spark, d, "customer").selectExpr("c_nationkey AS zone", f"{_LON} AS lon").selectExpr("zone", "CASE WHEN zone < 12 OR abs(lon) > 150 THEN lon END AS lon")
     lo, hi = grid.lon_span()
-    out = p.groupBy("zone").agg(*grid.lon_span_aggs(F.col("lon"))).select("zone", lo.alias("xmin"), hi.alias("xmax"))
+    out = p.groupBy("zone").agg(*grid.lon_span_aggs(F.col("lon"))).select("zone", lo.alias("xmin"), hi.alias("xmax")).where("xmin IS NOT NULL")
     return out.withColumn("globe", grid.spans_globe(F.col("xmin"), F.col("xmax")))
 
 
@@ -448,6 +448,6 @@ def idw_knn(spark, d):
 n AS (SELECT id, floor(x) + i AS c, floor(y) + j AS r, (CASE WHEN i = 1 THEN x - floor(x) ELSE 1 - x + floor(x) END) * (CASE WHEN j = 1 THEN y - floor(y) ELSE 1 - y + floor(y) END) AS w FROM t, (VALUES (0), (1)) a(i), (VALUES (0), (1)) b(j))
 SELECT id, round(sum(w * val) / sum(w), 4) AS val FROM n JOIN src ON src.col = n.c AND src.row = n.r WHERE w > 0 GROUP BY 1""")
 def bilinear_resample(spark, d):
-    src = load(spark, d, "supplier").where("s_suppkey < 100").selectExpr("s_suppkey % 10 AS col", "s_suppkey div 10 AS row", "s_acctbal AS val")
+    src = load(spark, d, "supplier").selectExpr("s_suppkey % 10 AS col", "s_suppkey div 10 AS row", "s_acctbal AS val")
     t = load(spark, d, "nation").selectExpr("cast(n_nationkey AS bigint) AS id", "n_nationkey * 0.3125D AS x", "n_regionkey * 1.25D AS y")
     return spatial.bilinear(t, src).select("id", F.round("val", 4).alias("val"))
