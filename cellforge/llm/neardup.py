@@ -21,8 +21,8 @@ cost a few comparisons each, and no link between different texts is lost.
 Defined results: a null or empty text has an empty set and is linked with nothing;
 with fewer words than a shingle, the whole sequence is the one shingle; repeated
 rows of one doc_id count as one document; ties go to the smallest doc_id; an empty
-table gives an empty result; extra columns are not read. doc_id must not be null
-(such rows are returned unlinked, as their own class).
+table gives an empty result; extra columns are not read. Rows with a null doc_id
+are returned unlinked, each with a null component, and count as kept.
 """
 
 from __future__ import annotations
@@ -219,6 +219,7 @@ def shingle_table(docs: DataFrame, size: int) -> DataFrame:
 def link(docs: DataFrame, size: int = 5, percent: int = 80, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_shingles, component_id of every document of (doc_id, text)."""
     spark = docs.sparkSession
+    nameless = sketches(docs.where("doc_id IS NULL"), size).select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
     sketch = common.save(sketches(docs, size), "sketch")
     filled = sketch.where("set_hash IS NOT NULL")
@@ -260,7 +261,8 @@ def link(docs: DataFrame, size: int = 5, percent: int = 80, rounds: int = ROUNDS
         labels = common.components(links)
     whole = rep_of.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
     common.drop(shared, full, rank)
-    return sketch.select("doc_id", "n_shingles").join(whole, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = sketch.select("doc_id", "n_shingles").join(whole, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.unionByName(nameless)
 
 
 def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -271,4 +273,4 @@ def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = link(common.table(spark, sf_dir, "documents"), size=2, percent=80)
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -152,6 +152,16 @@ def test_near_duplicates(docs, empty, size):
     assert neardup.link(empty, size).count() == 0
 
 
+def test_near_duplicates_without_id(spark, tmp_path):
+    rows = [(None, ROWS[7][1]), (None, ROWS[7][1]), (None, None), (1, ROWS[7][1]), (2, ROWS[7][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    n, key = len({tuple(w) for w in zip(*[words(ROWS[7][1], True)[k:] for k in range(2)])}), lambda r: (r[0] or 0, r[1])
+    got = sorted(map(tuple, neardup.query(spark, str(tmp_path)).select("doc_id", "n_shingles", "component_id", "kept").collect()), key=key)
+    assert got == [(None, 0, None, True), (None, n, None, True), (None, n, None, True), (1, n, 1, True), (2, n, 1, False)]
+    assert neardup.keep_first(df).count() == 4
+
+
 def test_index_guarantee():
     rng = np.random.RandomState(5)
     a = rng.randint(0, 1 << 16, (200, 60)).astype(np.uint16)
