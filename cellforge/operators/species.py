@@ -58,11 +58,23 @@ def shares(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     return df.withColumn("pct_cat", F.try_divide("suit_er_area", "cat_suit_er_area")).select(*(by or []), *COLUMNS)
 
 
+def tile_check(cat: Catalog) -> None:
+    """Raises where a row of cell_model is not in the tile that the reported grid width gives; pruning would drop such rows."""
+    if "cell_model" not in cat or "tile" not in cat["cell_model"].columns:
+        return
+    width = cat.tile_width()
+    bad = cat["cell_model"].where(~F.col("tile").eqNullSafe(grid.tile(F.col("cell_id"), width))).select("cell_id", "tile").first()
+    if bad:
+        raise ValueError(f"cell_model tile ids do not match the grid width {width}: cell {bad['cell_id']} is stored in tile {bad['tile']}")
+
+
 def for_cells(cat: Catalog, cells: DataFrame, cell_list: list[int] | None = None) -> DataFrame:
     """Species over the caller's cells (cell_id, pct_covered; a repeated cell counts twice); cell_list prunes tiles."""
     for c in ("cell_id", "pct_covered"):
         if c not in cells.columns:
             raise ValueError(f"cells need a {c} column")
+    if cell_list is not None:
+        tile_check(cat)
     tiles = grid.tiles_of(cell_list, cat.tile_width()) if cell_list is not None else None
     return shares(aggregate(cat, cells.select("cell_id", "pct_covered"), [], tiles))
 

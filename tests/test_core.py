@@ -181,3 +181,14 @@ def test_write_prunes(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "t")).where(F.col("tile").isin(1, 2))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert got.count() == 50 and "PartitionFilters: [" in plan and "tile" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_tile_check(spark):
+    model = spark.createDataFrame([(1, 0), (7201, 0), (51, 1)], "cell_id long, tile long")
+    width = lambda n: spark.createDataFrame([(n,)], "ncol int")
+    species.tile_check(Catalog({"cell_model": model, "cell_grid": width(7200)}))
+    with pytest.raises(ValueError, match="tile"):
+        species.tile_check(Catalog({"cell_model": model, "cell_grid": width(3103)}))
+    cells = spark.createDataFrame([(7201, 100)], "cell_id long, pct_covered int")
+    with pytest.raises(ValueError, match="tile"):
+        species.for_cells(Catalog({"cell_model": model, "cell_grid": width(3103)}), cells, [7201])
