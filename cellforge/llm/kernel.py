@@ -91,7 +91,7 @@ class Words:
         return out
 
     def texts(self, chosen: np.ndarray | None = None) -> list[bytes]:
-        raw = self.data.tobytes()
+        raw = (_LOWER[self.data] if self.lower else self.data).tobytes()
         start = self.start if chosen is None else self.start[chosen]
         end = start + (self.length if chosen is None else self.length[chosen])
         return [raw[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]

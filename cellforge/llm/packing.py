@@ -104,17 +104,16 @@ def places(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """doc_id, doc_tokens and, of every place where a window may end, tokens and crc32 before it and its kind (0 document, 1 sentence, 2 inside)."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = wordpieces.shared(path)
+        table = wordpieces.shared(path)
         last = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             data, offsets = kernel.utf8(batch.column(1))
             for a, b in kernel.blocks(offsets, 1 << 20):
                 block = data[offsets[a] : offsets[b]]
                 words = kernel.Words(block, offsets[a : b + 1] - offsets[a])
-                own = words.texts()
-                ids = list(map(ids_of.learn(set(own)).__getitem__, own))
-                raw = memoryview(b"".join(ids))
-                token = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) >> 2)])
+                ids, size = table.ids(table.entries(words))
+                raw = memoryview(ids.astype("<u4").tobytes())
+                token = np.concatenate([[0], np.cumsum(size)])
                 base = token[words.first].tolist()
                 before, kind, first = _sentence_places(block, words, token)
                 bounds, before = first.tolist(), before.tolist()

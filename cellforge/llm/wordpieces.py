@@ -1,26 +1,36 @@
-"""Subword ids of words for a BPE vocabulary with word ends, with a bounded cache.
+"""Subword ids of words for a BPE vocabulary with word ends, held by the words' hashes.
 
 White space ends every pre-token of such a vocabulary and is dropped, so the ids
 of a text are those of its words one after another. Words are cut further into
 runs of letters, single digits and runs of other signs, as the vocabulary's own
 pattern does; a word with characters outside Latin letters and common signs, or
-with the mark of a special token, is left to the library as a whole.
+with the mark of a special token, is left to the library as a whole. The pieces
+of new words are merged by tiktoken with the vocabulary's own ranks, a line feed
+standing for the word's end; the tests hold this against the library word by word.
+
+The table is an open-addressing one in numpy: 64-bit hash -> place and number of
+ids. Words of up to eight bytes have hashes of their own; of longer ones two
+different words meet with a chance of 2 ** -64 a pair. It starts anew when it holds
+CACHE_WORDS words or CACHE_BYTES of ids, so a worker keeps some 40 MB at most.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import unicodedata
 from functools import cache
 
 import numpy as np
 
-#: Words held in memory; when they are that many, the cache starts anew.
-CACHE_WORDS = 500_000
-_UNUSUAL = re.compile("[^\x21-\x7e\xa1-\xac\xae-įĲ-ž‐-…€]|<\\|")
-
+from . import kernel
 
-#: The vocabulary's pattern on lower-case ASCII.
+#: Words and bytes of ids held; beyond either, the table starts anew.
+CACHE_WORDS, CACHE_BYTES = 1 << 19, 16 << 20
+#: The vocabulary's pattern, in full and on lower-case ASCII.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_UNUSUAL = re.compile("[^\x21-\x7e\xa1-\xac\xae-įĲ-ž‐-…€]|<\\|")
 
 
 @cache
@@ -34,63 +44,168 @@ def library(path: str):
 def _pattern():
     import regex
 
-    return regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    return regex.compile(_PATTERN)
+
+
+@cache
+def _ranks(path: str):
+    """(tiktoken encoding whose pieces end with a line feed, whether an id ends its piece)."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        vocabulary = json.load(f)["model"]["vocab"]
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; the others follow from 256 on
+    byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(shown)))}
+    ranks, ends = {}, np.zeros(max(vocabulary.values()) + 1, bool)
+    for token, k in vocabulary.items():
+        if token.startswith("<|"):
+            continue
+        ends[k] = token.endswith("</w>")
+        ranks[bytes(byte[c] for c in token.removesuffix("</w>")) + (b"\n" if ends[k] else b"")] = k
+    return tiktoken.Encoding("pieces", pat_str=r"[^\n]+\n", mergeable_ranks=ranks, special_tokens={}), ends
+
+
+def encode_words(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids of all words, how many each has, whether the ids spell the word: no case, form or sign is lost)."""
+    find = _pattern().findall
+    size, same = np.zeros(len(words), np.int64), np.ones(len(words), bool)
+    pieces: list[str] = []
+    whole: dict[int, list[int]] = {}  # what the library encodes itself
+    counts = np.zeros(len(words), np.int64)
+    for i, (w, text) in enumerate(zip(words, b" ".join(words).decode("utf-8", "replace").split(" "), strict=True)):
+        if w.isalpha():  # ASCII letters only: one piece
+            low, own = text.lower(), None
+        elif _UNUSUAL.search(text):
+            whole[i] = library(path).encode(text, add_special_tokens=False).ids
+            low = unicodedata.normalize("NFC", text).lower()
+            same[i] = low == text and "".join(text.split()) == text and "<|" not in text
+            continue
+        else:
+            low = text.lower()
+            own = None if low.isalpha() else (_ASCII.findall if w.isascii() else find)(low)
+        same[i] = low == text
+        if own is None:
+            pieces.append(low)
+            counts[i] = 1
+        else:
+            pieces += own
+            counts[i] = len(own)
+    encoding, ends = _ranks(path)
+    parts = [encoding.encode_to_numpy("\n".join(pieces[a : a + 8192]) + "\n") for a in range(0, len(pieces), 8192)]
+    ids = np.concatenate(parts).astype(np.uint32) if parts else np.zeros(0, np.uint32)
+    stop = np.concatenate([[0], np.flatnonzero(ends[ids]) + 1])  # pieces' ends
+    edge = stop[np.concatenate([[0], np.cumsum(counts)])]
+    size = np.diff(edge)
+    for i, own in whole.items():
+        size[i] = len(own)
+    if not whole:
+        return ids, size, same
+    out, at = np.empty(int(size.sum()), np.uint32), np.concatenate([[0], np.cumsum(size)])
+    fill = np.ones(len(out), bool)
+    for i, own in whole.items():
+        out[at[i] : at[i + 1]] = own
+        fill[at[i] : at[i + 1]] = False
+    out[fill] = ids
+    return out, size, same
 
 
 class WordIds:
-    """word (bytes without white space) -> its ids as little-endian uint32 bytes."""
-
-    def __init__(self, path: str, limit: int = CACHE_WORDS) -> None:
-        self.path, self.limit = path, limit
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """The cache, with all of words in it."""
-        if len(self.words) > self.limit:
-            self.words = {}
-        if len(self.parts) > self.limit:
-            self.parts = {}
-        new = list(words.difference(self.words))
-        cut: list[tuple[bytes, list[str]]] = []
-        unknown: dict[str, None] = {}
-        find, parts = _pattern().findall, self.parts
-        for w, text in zip(new, b" ".join(new).decode("utf-8", "replace").split(" "), strict=False):
-            if w.isalpha():  # ASCII letters only: one piece
-                pieces = [text.lower()]
-            elif _UNUSUAL.search(text):
-                self.words[w] = np.array(library(self.path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-                continue
-            elif text.isalpha():
-                pieces = [text.lower()]
-            else:
-                pieces = (_ASCII.findall if w.isascii() else find)(text.lower())
-            cut.append((w, pieces))
-            for p in pieces:
-                if p not in parts:
-                    unknown[p] = None
-        self._encode(list(unknown))
-        for w, pieces in cut:
-            self.words[w] = self.parts[pieces[0]] if len(pieces) == 1 else b"".join([self.parts[p] for p in pieces])
-        return self.words
-
-    def _encode(self, parts: list[str]) -> None:
-        for a in range(0, len(parts), 4096):
-            some = parts[a : a + 4096]
-            enc = library(self.path).encode(" ".join(some), add_special_tokens=False)
-            ids, word = np.array(enc.ids, "<u4"), np.array(enc.word_ids, np.int64)
-            at = np.searchsorted(word, np.arange(len(some) + 1))
-            if len(word) and (word[-1] != len(some) - 1 or (np.diff(at) == 0).any()):  # the library cut otherwise
-                for p in some:
-                    self.parts[p] = np.array(library(self.path).encode(p, add_special_tokens=False).ids, "<u4").tobytes()
-                continue
-            raw = ids.tobytes()
-            at = (at * 4).tolist()
-            for p, i, j in zip(some, at, at[1:], strict=False):
-                self.parts[p] = raw[i:j]
+    """Ids of words; `stray` takes the place of special tokens inside words and of words without ids."""
+
+    def __init__(self, path: str, stray: int | None = None, special: int = 1 << 30, limit: int = CACHE_WORDS) -> None:
+        self.path, self.stray, self.special, self.limit = path, stray, special, limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.n = self.used = 0
+        self._room(1 << 14)
+        self.first, self.size, self.same = np.zeros(1 << 13, np.int64), np.zeros(1 << 13, np.int32), np.zeros(1 << 13, bool)
+        self.pool = np.zeros(1 << 15, np.uint32)
+
+    def _room(self, slots: int) -> None:
+        self.key, self.entry = np.zeros(slots, np.uint64), np.zeros(slots, np.int32)
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Entry of each hash, or -1."""
+        mask = len(self.key) - 1
+        slot = (h & np.uint64(mask)).view(np.int64)
+        key = self.key[slot]
+        out = np.where(key == h, self.entry[slot], -1)
+        todo = np.flatnonzero((key != h) & (key != 0))
+        slot = slot[todo]
+        while len(todo):
+            slot = (slot + 1) & mask
+            key = self.key[slot]
+            hit = key == h[todo]
+            out[todo[hit]] = self.entry[slot[hit]]
+            go = ~hit & (key != 0)
+            todo, slot = todo[go], slot[go]
+        return out
+
+    def _put(self, h: np.ndarray, entry: np.ndarray) -> None:
+        """Distinct hashes that are not in the table."""
+        mask = len(self.key) - 1
+        slot = (h & np.uint64(mask)).view(np.int64)
+        while len(h):
+            free = self.key[slot] == 0
+            won = np.zeros(len(h), bool)
+            at, one = np.unique(slot[free], return_index=True)
+            first = np.flatnonzero(free)[one]
+            self.key[at], self.entry[at] = h[first], entry[first]
+            won[first] = True
+            h, entry, slot = h[~won], entry[~won], (slot[~won] + 1) & mask
+
+    def entries(self, words: kernel.Words) -> np.ndarray:
+        """The entry of every word, new ones learnt."""
+        if self.n > self.limit or self.used * 4 > CACHE_BYTES:
+            self._clear()
+        h = words.hashes()
+        h[h == 0] = 1
+        out = self._find(h)
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            fresh, at = np.unique(h[new], return_index=True)
+            self._learn(fresh, words.texts(new[at]))
+            out[new] = self._find(h[new])
+        return out
+
+    def _learn(self, h: np.ndarray, texts: list[bytes]) -> None:
+        ids, size, same = encode_words(self.path, texts)
+        if self.stray is not None:
+            ids = np.where(ids >= self.special, np.uint32(self.stray), ids)
+            if (size == 0).any():
+                at = np.cumsum(size) - size
+                ids, size = np.insert(ids, at[size == 0], self.stray), np.maximum(size, 1)
+        n, used = self.n + len(h), self.used + len(ids)
+        if 2 * n > len(self.key):
+            slots = len(self.key)
+            while 2 * n > slots:
+                slots *= 2
+            keep = self.key != 0
+            old, number = self.key[keep], self.entry[keep]
+            self._room(slots)
+            self._put(old, number)
+        for name, need in (("first", n), ("size", n), ("same", n), ("pool", used)):
+            a = getattr(self, name)
+            if need > len(a):
+                b = np.zeros(max(need, 2 * len(a)), a.dtype)
+                b[: len(a)] = a
+                setattr(self, name, b)
+        self.first[self.n : n] = self.used + np.cumsum(size) - size
+        self.size[self.n : n], self.same[self.n : n] = size, same
+        self.pool[self.used : used] = ids
+        self._put(h, np.arange(self.n, n, dtype=np.int32))
+        self.n, self.used = n, used
+
+    def ids(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of these words one after another, how many each has)."""
+        size = self.size[entries].astype(np.int64)
+        at = np.cumsum(size)
+        where = np.repeat(self.first[entries] - at + size, size) + np.arange(at[-1] if len(at) else 0)
+        return self.pool[where], size
 
 
 @cache
-def shared(path: str) -> WordIds:
-    """The cache of this process, which later tasks of the same worker find filled."""
-    return WordIds(path)
+def shared(path: str, stray: int | None = None, special: int = 1 << 30) -> WordIds:
+    """The table of this process, which later tasks of the same worker find filled."""
+    return WordIds(path, stray, special)
