@@ -9,20 +9,23 @@ guarantee every pair with up to 23 of 60 values different. (Two documents at the
 similarity threshold differ in 12 of 60 on average; the chance that no chunk
 agrees to within an error, which alone loses them, is (1 - 0.737)**12 = 1e-7.)
 
-Documents with the same shingle set are first folded into the one with the
-smallest id. A key's documents are not paired with each other: each is compared
-with the key's most popular document, the one with the most partners over all its
-keys; components form; keys that still hold several components are compared with
-the next popular one, ROUNDS times. Documents that are then outside their key's
-largest component are a query set, held in blocks against all documents they share
-a key with. Links are decided on full shingle sets. Thousands of near copies so
-cost a few comparisons each, and no link between different texts is lost.
+Rows with the same shingle set are first folded into one node. The nodes of a key
+are not paired with each other: in each of ROUNDS rounds all of them are compared
+with the key's most popular one, the one with the most partners over all its keys,
+which is then done with in that key; components form, and a key is closed when the
+nodes left in it lie in one component. What is left after that, keys with many nodes
+that are no links of each other, is a query set: nodes outside their key's largest
+component are held against all nodes of the key, in blocks and slices of at most
+UNIT_BYTES each, which are dealt to tasks; neither pairs nor sets pass through the
+driver. Links are decided on full shingle sets. Thousands of near copies so cost a
+few comparisons each, and no link between different texts is lost.
 
 Defined results: a null or empty text has an empty set and is linked with nothing;
 with fewer words than a shingle, the whole sequence is the one shingle; repeated
-rows of one doc_id count as one document; ties go to the smallest doc_id; an empty
-table gives an empty result; extra columns are not read. Rows with a null doc_id
-are returned unlinked, each with a null component, and count as kept.
+rows of one doc_id get one row each, linked by their own texts; component_id is the
+smallest doc_id reached, so ties cannot be; an empty table gives an empty result;
+extra columns are not read. Rows with a null doc_id are returned unlinked, each with
+a null component, and count as kept.
 """
 
 from __future__ import annotations
@@ -32,14 +35,15 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, kernel
 
 CHUNKS, SYMBOLS, ERRORS = 12, 5, 1
-#: Rounds against one popular document a key; bytes of a block of the rest.
-ROUNDS, REST_BYTES = 3, 32 << 20
+#: Rounds against one popular document a key; bytes of a block and of a slice of the rest.
+ROUNDS, UNIT_BYTES = 4, 4 << 20
 #: Largest distance at which the index is certain to pair two signatures.
 GUARANTEED = CHUNKS * (ERRORS + 1) - 1
 
@@ -94,31 +98,30 @@ def index_keys(signatures: np.ndarray) -> np.ndarray:
     return np.stack(out, axis=1).view(np.int64)
 
 
+def _set_hash(grams: np.ndarray) -> bytes | None:
+    """128 bits of a whole set."""
+    return grams.sum(dtype=np.uint64).tobytes() + np.bitwise_xor.reduce(kernel.mix(grams)).tobytes() if len(grams) else None
+
+
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, set_hash (of the whole set), sig of every row of (doc_id, text)."""
+    """rid (a number of the row, to be saved with it), doc_id, n_shingles, set_hash, sig of every row of (doc_id, text)."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nxt = TaskContext.get().partitionId() << 40
         for batch in batches:
             data, offsets = kernel.utf8(batch.column(1))
             for a, b in kernel.blocks(offsets):
                 grams, at = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size)
-                n = np.diff(at)
-                hashes, sigs = [], []
-                for i in range(b - a):
-                    own = grams[at[i] : at[i + 1]]
-                    if len(own):
-                        hashes.append((own.sum(dtype=np.uint64).tobytes() + np.bitwise_xor.reduce(kernel.mix(own)).tobytes()))
-                        sigs.append(signature(own).tobytes())
-                    else:
-                        hashes.append(None)
-                        sigs.append(None)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(hashes, pa.binary()), pa.array(sigs, pa.binary())], ["doc_id", "n_shingles", "set_hash", "sig"])
+                sets = [grams[at[i] : at[i + 1]] for i in range(b - a)]
+                columns = [pa.array(nxt + np.arange(b - a)), batch.column(0).slice(a, b - a), pa.array(np.diff(at), pa.int64()), pa.array([_set_hash(x) for x in sets], pa.binary()), pa.array([signature(x).tobytes() if len(x) else None for x in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["rid", "doc_id", "n_shingles", "set_hash", "sig"])
+                nxt += b - a
 
-    return docs.select("doc_id", "text").mapInArrow(body, "doc_id long, n_shingles long, set_hash binary, sig binary")
+    return docs.select("doc_id", "text").mapInArrow(body, "rid long, doc_id long, n_shingles long, set_hash binary, sig binary")
 
 
 def keyed(reps: DataFrame) -> DataFrame:
-    """(key, doc_id, n) for every index key of every representative."""
+    """(key, node) for every index key of every node (node, sig)."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,142 +130,166 @@ def keyed(reps: DataFrame) -> DataFrame:
                 sig = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(part.num_rows, -1)
                 keys = index_keys(sig)
                 ids = np.repeat(part.column(0).to_numpy(), keys.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], ["key", "doc_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], ["key", "node"])
+
+    return reps.select("node", "sig").mapInArrow(body, "key long, node long")
+
 
-    return reps.select("doc_id", "sig").mapInArrow(body, "key long, doc_id long")
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether 100 * |both| >= percent * |either|, of sorted sets."""
+    least, most = sorted((len(x), len(y)))
+    if 100 * least < percent * most:  # too different in size to be linked
+        return False
+    z = np.sort(np.concatenate([x, y]), kind="stable")
+    both = int((z[1:] == z[:-1]).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
 
 def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (u, v) whose full shingle sets (doc_id, grams) have 100 * |both| >= percent * |either|."""
+    """Those pairs (u, v) whose full shingle sets (node, grams) have 100 * |both| >= percent * |either|."""
     both = (
-        pairs.join(full.select(F.col("doc_id").alias("u"), F.col("grams").alias("gu")), "u")
-        .join(full.select(F.col("doc_id").alias("v"), F.col("grams").alias("gv")), "v")
+        pairs.join(full.select(F.col("node").alias("u"), F.col("grams").alias("gu")), "u")
+        .join(full.select(F.col("node").alias("v"), F.col("grams").alias("gv")), "v")
         .select("u", "v", "gu", "gv")
     )
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for gu, gv in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(gu.as_buffer(), np.uint64), np.frombuffer(gv.as_buffer(), np.uint64)
-                least, most = sorted((len(x), len(y)))
-                if 100 * least < percent * most:  # too different in size to be linked
-                    keep.append(False)
-                    continue
-                z = np.sort(np.concatenate([x, y]), kind="stable")
-                common_n = int((z[1:] == z[:-1]).sum())
-                keep.append(100 * common_n >= percent * (len(x) + len(y) - common_n))
+            keep = [similar(np.frombuffer(gu.as_buffer(), np.uint64), np.frombuffer(gv.as_buffer(), np.uint64), percent) for gu, gv in zip(batch.column(2), batch.column(3), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    out = common.save(both.mapInArrow(test, "u long, v long"), "links")
-    return out
+    return common.save(both.mapInArrow(test, "u long, v long"), "links")
 
 
-def against_rest(rest: DataFrame, members: DataFrame, percent: int, limit: int = REST_BYTES) -> DataFrame:
-    """Links (u, v) between documents of rest and members that share a key and lie in different components.
+def against_rest(rest: DataFrame, members: DataFrame, full: DataFrame, percent: int, limit: int = UNIT_BYTES) -> DataFrame:
+    """Links (u, v) between rows of rest and of members that share a key and lie in different components.
 
-    Both have doc_id, comp, keys (array) and grams. rest is the query set: it is
-    taken in blocks of at most `limit` bytes, each held against all members, so
-    candidate pairs never become rows.
+    Both have key, node, comp, n (size of the set); full has node, grams. Of each key,
+    blocks of rest meet slices of members, both of about `limit` bytes: a task holds
+    one of each. Small keys share a task by their hash.
     """
-    spark, schema = members.sparkSession, "u long, v long"
-
-    def search(block: list) -> DataFrame:
-        keys = np.concatenate([np.array(r["keys"], np.int64) for r in block])
-        owner = np.repeat(np.arange(len(block)), [len(r["keys"]) for r in block])
-        order = np.argsort(keys, kind="stable")
-        shared = spark.sparkContext.broadcast((keys[order], owner[order], [r["doc_id"] for r in block], np.array([r["comp"] for r in block]), [bytes(r["grams"]) for r in block]))
-
-        def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keys, owner, ids, comps, raw = shared.value
-            sets = [np.frombuffer(x, np.uint64) for x in raw]
-            size = np.array([len(x) for x in sets])
-            for batch in batches:
-                found = []
-                for doc, comp, own, grams in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
-                    k = np.asarray(own.values)
-                    low, high = np.searchsorted(keys, k), np.searchsorted(keys, k, "right")
-                    near = np.unique(np.concatenate([owner[i:j] for i, j in zip(low, high, strict=True)] or [owner[:0]]))
-                    y = np.frombuffer(grams.as_buffer(), np.uint64)
-                    near = near[(comps[near] != comp) & (100 * np.minimum(size[near], len(y)) >= percent * np.maximum(size[near], len(y)))]
-                    for i in near.tolist():
-                        at = np.searchsorted(y, sets[i])
-                        both = int((y[np.minimum(at, len(y) - 1)] == sets[i]).sum())
-                        if 100 * both >= percent * (len(y) + len(sets[i]) - both):
-                            found.append((min(doc, ids[i]), max(doc, ids[i])))
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["u", "v"])
-
-        return common.save(members.select("doc_id", "comp", "keys", "grams").mapInArrow(body, schema), "restlinks")
-
-    out, block, held = spark.createDataFrame([], schema), [], 0
-    for row in rest.select("doc_id", "comp", "keys", "grams").toLocalIterator():
-        block.append(row)
-        held += len(row["grams"]) + 16 * len(row["keys"])
-        if held >= limit:
-            out, block, held = out.unionByName(search(block)), [], 0
-    return out.unionByName(search(block)).distinct() if block else out.distinct()
-
-
-def shingle_table(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, grams: the sorted shingle hashes of every row of (doc_id, text)."""
+    whole = members.groupBy("key").agg(F.sum("n").alias("_m")).join(rest.groupBy("key").agg(F.sum("n").alias("_r")), "key")
+    parts = lambda c: F.ceil(F.col(c) * 8 / limit).cast("int")
+    whole = common.save(whole.select("key", parts("_r").alias("blocks"), parts("_m").alias("slices"), (F.col("_m") + F.col("_r")).alias("_n")), "units")
+    shared = max(1, -(-8 * (whole.where("blocks * slices = 1").agg(F.sum("_n")).first()[0] or 0) // limit))
+    place = lambda c: F.pmod(F.xxhash64("node"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    dealt = None
+    for side, df in ((True, rest), (False, members)):
+        df = df.join(whole.drop("_n"), "key")
+        df = df.withColumn("i", place("blocks")).withColumn("j", every("slices")) if side else df.withColumn("j", place("slices")).withColumn("i", every("blocks"))
+        unit = F.when(F.col("blocks") * F.col("slices") == 1, F.pmod(F.xxhash64("key"), F.lit(shared))).otherwise(F.xxhash64("key", "i", "j"))
+        df = df.select(unit.alias("unit"), "key", F.lit(side).alias("asks"), "node", "comp")
+        dealt = df if dealt is None else dealt.unionByName(df)
+
+    def body(table: pa.Table) -> pa.Table:
+        keys, asks, nodes, comps = (table[c].to_numpy() for c in ("key", "asks", "node", "comp"))
+        grams = table["grams"]
+        held: dict[int, np.ndarray] = {}  # a node of several keys is read once
+
+        def set_of(i: int) -> np.ndarray:
+            if nodes[i] not in held:
+                held[nodes[i]] = np.frombuffer(grams[i].as_buffer(), np.uint64)
+            return held[nodes[i]]
+
+        order = np.lexsort((asks, keys))
+        found: set[tuple[int, int]] = set()
+        seen: set[tuple[int, int]] = set()
+        for group in np.split(order, np.flatnonzero(np.diff(keys[order])) + 1):
+            queries, others = group[asks[group]], group[~asks[group]]
+            for q in queries.tolist():
+                x = set_of(q)
+                for o in others[comps[others] != comps[q]].tolist():
+                    pair = (min(nodes[q], nodes[o]), max(nodes[q], nodes[o]))
+                    if pair not in seen:
+                        seen.add(pair)
+                        if similar(x, set_of(o), percent):
+                            found.add(pair)
+                if len(seen) > 1 << 18:
+                    seen.clear()
+        return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+    out = common.save(dealt.join(full, "node").groupBy("unit").applyInArrow(body, "u long, v long").distinct(), "restlinks")
+    common.drop(whole)
+    return out
+
+
+def node_sets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
+    """node, grams (sorted shingle hashes) of the nodes needed (doc_id, node, set_hash), from a row of (doc_id, text) each."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = kernel.utf8(batch.column(1))
             for a, b in kernel.blocks(offsets):
                 grams, at = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([grams[at[i] : at[i + 1]].tobytes() for i in range(b - a)], pa.binary())], ["doc_id", "grams"])
+                sets = [grams[at[i] : at[i + 1]] for i in range(b - a)]
+                wanted = batch.column(3).slice(a, b - a).to_pylist()
+                keep = [i for i, x in enumerate(sets) if _set_hash(x) == wanted[i]]  # another text of the same doc_id goes
+                yield pa.RecordBatch.from_arrays([batch.column(2).slice(a, b - a).take(pa.array(keep, pa.int64())), pa.array([sets[i].tobytes() for i in keep], pa.binary())], ["node", "grams"])
 
-    return docs.select("doc_id", "text").mapInArrow(body, "doc_id long, grams binary")
+    return docs.join(needed, "doc_id").select("doc_id", "text", "node", "set_hash").mapInArrow(body, "node long, grams binary")
 
 
-def link(docs: DataFrame, size: int = 5, percent: int = 80, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document of (doc_id, text)."""
+def link(docs: DataFrame, size: int = 5, percent: int = 80, rounds: int = ROUNDS, unit_bytes: int = UNIT_BYTES) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of (doc_id, text)."""
     spark = docs.sparkSession
-    nameless = sketches(docs.where("doc_id IS NULL"), size).select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
-    docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
+    docs = docs.select("doc_id", "text")
     sketch = common.save(sketches(docs, size), "sketch")
-    filled = sketch.where("set_hash IS NOT NULL")
-    folds = filled.groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
-    rep_of = common.save(filled.select("doc_id", "set_hash").join(folds, "set_hash").select("doc_id", "rep").distinct(), "reps")
-    reps = filled.join(rep_of.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    keys = common.save(keyed(reps), "keys")
-    # keys of a single document link nothing
-    popular = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).where("low <> high").select("key", "n")
-    shared = common.save(keys.join(popular, "key"), "shared")
-    common.drop(keys)
-    # documents with the most partners lie closest to what a group was copied from
-    rank = common.save(shared.groupBy("doc_id").agg(F.sum("n").alias("pop")), "rank")
-    full = common.save(shingle_table(docs.join(rank, "doc_id", "left_semi"), size).dropDuplicates(["doc_id"]), "sets")
+    filled = sketch.where("set_hash IS NOT NULL AND doc_id IS NOT NULL")
+    folds = common.save(filled.groupBy("set_hash").agg(F.min("rid").alias("node"), F.min("doc_id").alias("low"), F.count("*").alias("n")), "folds")
+    node_of = common.save(common.join_keyed(filled.select("rid", "doc_id", "set_hash"), folds, "set_hash").select("rid", "doc_id", "set_hash", "node"), "nodes")
+    reps = node_of.where("rid = node")
+    keys = common.save(keyed(filled.select("rid", "sig").join(reps.select("rid", "node"), "rid")), "keys")
+    # keys of a single node link nothing
+    popular = common.save(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "popular")
+    shared = common.save(common.join_keyed(keys, popular, "key"), "shared")
+    common.drop(keys, popular)
+    # nodes with the most partners lie closest to what a group was copied from
+    rank = common.save(shared.groupBy("node").agg(F.sum("n").alias("pop")), "rank")
+    needed = reps.join(rank.select("node"), "node", "left_semi").select("doc_id", "node", "set_hash")
+    full = node_sets(docs, needed, size)
+    if not filled.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        full = full.groupBy("node").agg(F.min("grams").alias("grams"))  # repeated rows give their set once
+    full = common.save(full, "sets")
     links = spark.createDataFrame([], "u long, v long")
     labels: DataFrame | None = None
-    used = spark.createDataFrame([], "doc_id long")
+    left = shared.select("key", "node")
     for turn in range(rounds + 1):
-        own = shared.select("key", "doc_id")
-        own = own.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("comp")) if labels else own.withColumn("comp", F.col("doc_id"))
+        own = left.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp")) if labels else left.withColumn("comp", F.col("node"))
         mixed = own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
         still = common.save(own.join(mixed, "key", "left_semi"), "open")
+        if still.isEmpty():
+            common.drop(still)
+            break
         if turn < rounds:
-            # every document of a key against the key's most popular one that was not yet taken
-            heads = still.join(used, "doc_id", "left_anti").join(rank, "doc_id").groupBy("key").agg(F.max_by(F.struct(F.col("doc_id").alias("hub"), F.col("comp").alias("hub_comp")), F.struct("pop", F.negate("doc_id"))).alias("h")).select("key", "h.*")
-            pairs = common.save(still.join(heads, "key").where("comp <> hub_comp").select(F.col("hub").alias("u"), F.col("doc_id").alias("v")).distinct(), "pairs")
+            # every node of a key against the key's most popular one, which is then done with there
+            heads = still.join(rank, "node").groupBy("key").agg(F.max_by(F.struct(F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), F.struct("pop", F.negate("node"))).alias("h"), F.count("*").alias("n")).select("key", "h.*", "n")
+            heads = common.save(heads, "heads")
+            near = common.save(common.join_keyed(still, heads, "key").where("node <> hub"), "near")
+            pairs = near.where("comp <> hub_comp").select(F.least("hub", "node").alias("u"), F.greatest("hub", "node").alias("v")).distinct()
             more = verified(pairs, full, percent)
-            used = common.save(used.unionByName(pairs.select(F.col("u").alias("doc_id"))).distinct(), "used")
-            common.drop(pairs)
+            common.drop(*[x for x in (heads, still, left) if x is not shared])
+            left = near.select("key", "node")
+            left._scratch = near._scratch
         else:
-            # the rest: what is not in a key's largest component, in full against all of the key
-            large = still.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"))
-            rest = still.join(large, "key").where("comp <> major").select("doc_id").distinct()
-            members = still.groupBy("doc_id", "comp").agg(F.collect_list("key").alias("keys"))  # at most one for each index key
-            members = common.save(members.join(full, "doc_id"), "members")
-            more = against_rest(members.join(rest, "doc_id", "left_semi"), members, percent)
-        links = common.save(links.unionByName(more), "links")
-        common.drop(still, more)
+            # what is not in a key's largest component, in full against all of the key
+            large = still.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.sum("n").alias("n"))
+            large = common.save(large, "large")
+            members = common.save(still.join(full.select("node", (F.length("grams") / 8).cast("long").alias("n")), "node").select("key", "node", "comp", "n"), "members")
+            rest = common.join_keyed(members.withColumnRenamed("n", "_n"), large, "key").where("comp <> major").select("key", "node", "comp", F.col("_n").alias("n"))
+            more = against_rest(rest, members, full, percent, unit_bytes)
+            common.drop(large, still, members)
+        old, links = links, common.save(links.unionByName(more), "links")
+        common.drop(old, more, labels)
         labels = common.components(links)
-    whole = rep_of.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
-    common.drop(shared, full, rank)
-    out = sketch.select("doc_id", "n_shingles").join(whole, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return out.unionByName(nameless)
+    common.drop(shared, full, rank, left)
+    low = folds.select("node", "low")
+    if labels:
+        grouped = low.join(labels, "node", "left").select("node", "low", F.coalesce("component", "node").alias("component"))
+        low = grouped.select("node", "component").join(grouped.groupBy("component").agg(F.min("low").alias("low")), "component").select("node", "low")
+    ends = common.save(low.join(folds.select("node", "n"), "node"), "ends")
+    whole = common.join_keyed(node_of.select("rid", "node"), ends, "node").select("rid", F.col("low").alias("component_id"))
+    return sketch.select("rid", "doc_id", "n_shingles").join(whole, "rid", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
