@@ -5,28 +5,35 @@ GRAM-word runs inside it (the first one of equals). Equal windows have equal
 anchors, and neighbouring windows mostly share one, so the index holds about two
 rows for every WINDOW - GRAM words instead of one a word, yet finds every window.
 
-The index is a list of immutable runs, each a table of (anchor, doc_id) sorted by
-anchor. A new batch of documents
+The index lives in a folder and is opened by its path, in this session or a later
+one. It is a list of immutable runs, each a table of (anchor, doc_id) bucketed and
+sorted by anchor, and the filed documents, bucketed by doc_id. A new batch
  1. is written as a new run,
- 2. is merge-joined with the older runs and itself: anchors held by two documents,
+ 2. is merge-joined with the older runs and itself, bucket by bucket, so that the
+    history is not shuffled: anchors held by two documents. The few anchors of more
+    than 1 / common.HOT of a run's rows are kept beside the buckets and joined by
+    broadcast (there are at most common.HOT of them a run),
  3. is verified: the documents that hold such an anchor are read again, their
-    windows under it hashed in full (another 64-bit hash over all WINDOW words),
-    and each window's smallest document found,
+    windows under it told apart by a cryptographic digest (BLAKE2b, 128 bits) of
+    their words, and each window's smallest document found,
  4. loses the words covered by windows that also start in a smaller document,
 and runs of one level are compacted into one of the next when FAN_IN of them exist.
-Batches come in ascending ranges of doc_id, so an older document never changes.
+Batches come in ascending ranges of doc_id, so an older document never changes; the
+index refuses a batch that does not.
 
 Defined results: null and empty texts have no words; texts of fewer than WINDOW
 words lose nothing; repeated rows of one doc_id are the same document and treated
 alike; rows with a null doc_id lose nothing and are not indexed; an empty table
-gives an empty result; extra columns are kept by `deduplicate` and not read by
-the query.
+gives an empty result; extra columns, whatever their names, are kept by
+`deduplicate` and not read by the query.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +45,7 @@ from . import common, kernel
 
 WINDOW, GRAM = 50, 8
 #: Runs of a level before they are compacted; batches of the query.
-FAN_IN, BATCHES = 4, 2
+FAN_IN, BATCHES = 2, 3
 
 
 def anchors(hashes: np.ndarray, row: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,25 +95,33 @@ def profile(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def windows_under(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(fp, doc_id, text_key, pos) of the windows whose anchor is in the row's wanted array."""
+    """(fp, doc_id, text_key, pos) of the windows whose anchor is in the row's wanted array; fp is a digest of the words."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = hashlib.blake2b
         for batch in batches:
             wanted = batch.column(3)
             for a, b, words in _blocks(batch, 1):
                 h = words.hashes()
                 start, row, low = anchors(h, words.row, window)
-                fp = kernel.runs(kernel.mix(h ^ np.uint64(0x51ED270B0F4A8B2D)), window)
                 at = np.searchsorted(row, np.arange(b - a + 1))
                 keep = np.zeros(len(start), bool)
                 for i in range(b - a):
                     own = np.frombuffer(np.asarray(wanted[a + i].values), np.int64).view(np.uint64)
                     keep[at[i] : at[i + 1]] = np.isin(low[at[i] : at[i + 1]], own)
                 start, row = start[keep], row[keep]
+                # all words of the block, each with one blank after it
+                size = words.length + 1
+                begin = np.concatenate([[0], np.cumsum(size)])
+                spaced = memoryview(b" ".join(words.texts()) + b" ")
+                fp = [digest(spaced[i:j], digest_size=16).digest() for i, j in zip(begin[start].tolist(), (begin[start + window] if len(start) else start).tolist(), strict=True)]
                 ids, keys = batch.column(0).slice(a, b - a).to_numpy(), batch.column(2).slice(a, b - a).to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(fp[start].view(np.int64)), pa.array(ids[row]), pa.array(keys[row]), pa.array((start - words.first[row]).astype(np.int32))], ["fp", "doc_id", "text_key", "pos"])
+                pos = (start - words.first[row]).astype(np.int32)
+                for k in range(0, len(fp), 1 << 16):
+                    part = slice(k, k + (1 << 16))
+                    yield pa.RecordBatch.from_arrays([pa.array(fp[part], pa.binary()), pa.array(ids[row[part]]), pa.array(keys[row[part]]), pa.array(pos[part])], ["fp", "doc_id", "text_key", "pos"])
 
-    return docs.select("doc_id", "text", "text_key", "wanted").mapInArrow(body, "fp long, doc_id long, text_key long, pos int")
+    return docs.select("doc_id", "text", "text_key", "wanted").mapInArrow(body, "fp binary, doc_id long, text_key long, pos int")
 
 
 def cut(docs: DataFrame, window: int = WINDOW, as_text: bool = False) -> DataFrame:
@@ -154,102 +169,188 @@ def _without(source: bytes, gone: np.ndarray) -> str:
 
 
 class FingerprintIndex:
-    """Immutable sorted runs of (anchor, doc_id), by level, in the shared folder."""
-
-    def __init__(self, spark: SparkSession, window: int = WINDOW, fan_in: int = FAN_IN) -> None:
-        self.spark, self.window, self.fan_in = spark, window, fan_in
-        self.levels: list[list[DataFrame]] = [[]]
-
-    def runs(self) -> list[DataFrame]:
-        return [r for level in self.levels for r in level]
-
-    def append(self, anchors_of: DataFrame) -> DataFrame:
-        """Write (anchor, doc_id) rows as a new run of level 0."""
-        run = common.save(anchors_of.select("anchor", "doc_id").distinct().repartition("anchor", "doc_id").sortWithinPartitions("anchor", "doc_id"), "run")
-        self.levels[0].append(run)
+    """Runs of (anchor, doc_id) by level, and the filed documents, in one folder; open it by its path."""
+
+    def __init__(self, spark: SparkSession, path: str, window: int = WINDOW, fan_in: int = FAN_IN, buckets: int | None = None) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+        held = common.read_text(spark, f"{self.path}/index.json")
+        if held is None:
+            held = {"window": window, "fan_in": fan_in, "buckets": buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), "high": None, "runs": [], "stores": []}
+        else:
+            held = json.loads(held)
+            if held["window"] != window:
+                raise ValueError(f"the index has windows of {held['window']} words, not {window}")
+        self.state, self.tables = held, {}
+
+    def _commit(self, **changes) -> None:
+        """The list of runs is replaced at once; until then a new run is not part of the index."""
+        self.state = self.state | changes
+        common.write_text(self.spark, f"{self.path}/index.json", json.dumps(self.state))
+
+    def _write(self, df: DataFrame, by: list[str]) -> str:
+        """A bucketed, sorted table of the folder."""
+        name, n = f"part-{uuid.uuid4().hex}", self.state["buckets"]
+        table = f"cellforge_{name.replace('-', '_')}"
+        writer = df.repartition(n, by[0]).write.bucketBy(n, by[0]).sortBy(*by).option("path", f"{self.path}/{name}").option("compression", "zstd").format("parquet")
+        writer.saveAsTable(table)
+        self.tables[name] = table
+        return name
+
+    def _read(self, name: str, kind: str) -> DataFrame:
+        """A table of the folder, with its buckets known to Spark."""
+        if name not in self.tables:
+            columns, key = {"run": ("anchor BIGINT, doc_id BIGINT", "anchor"), "store": ("doc_id BIGINT, text_key BIGINT, text STRING", "doc_id")}[kind]
+            table = f"cellforge_{name.replace('-', '_')}"
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet CLUSTERED BY ({key}) INTO {self.state['buckets']} BUCKETS LOCATION '{self.path}/{name}'")
+            self.tables[name] = table
+        return self.spark.table(self.tables[name])
+
+    def _hot(self, run: dict) -> DataFrame | None:
+        return self.spark.read.schema("anchor long, doc_id long").parquet(f"{self.path}/{run['hot']}") if run["hot"] else None
+
+    def _run(self, rows: DataFrame, level: int) -> dict:
+        """A new run of saved (anchor, doc_id) rows: hot anchors beside the buckets."""
+        counts = common.save(rows.groupBy("anchor").agg(F.count("*").alias("n")), "anchors")
+        total = counts.agg(F.sum("n")).first()[0] or 0
+        hot = common.save(counts.where(F.col("n") * common.HOT > max(total, 1 << 16)).select("anchor"), "hot")  # at most HOT rows
+        run = {"level": level, "rows": total, "hot": None}
+        if hot.isEmpty():
+            run["name"] = self._write(rows, ["anchor", "doc_id"])
+        else:
+            run["name"] = self._write(rows.join(F.broadcast(hot), "anchor", "left_anti"), ["anchor", "doc_id"])
+            run["hot"] = f"hot-{uuid.uuid4().hex}"
+            rows.join(F.broadcast(hot), "anchor", "left_semi").write.option("compression", "zstd").parquet(f"{self.path}/{run['hot']}")
+        common.drop(counts, hot)
         return run
 
-    def compact(self) -> None:
-        """Merge the runs of every full level into one run of the next."""
-        k = 0
-        while k < len(self.levels):
-            level = self.levels[k]
-            if len(level) >= self.fan_in:
-                merged = level[0]
-                for r in level[1:]:
-                    merged = merged.unionByName(r)
-                merged = common.save(merged.repartition("anchor", "doc_id").sortWithinPartitions("anchor", "doc_id"), "run")
-                common.drop(*level)
-                self.levels[k] = []
-                if k + 1 == len(self.levels):
-                    self.levels.append([])
-                self.levels[k + 1].append(merged)
-            k += 1
-
-    def shared(self, new: DataFrame) -> DataFrame:
+    def add(self, docs: DataFrame, prof: DataFrame) -> DataFrame:
+        """File a batch; its documents with repeated windows as (doc_id, text_key, text, pos array).
+
+        docs: doc_id, text_key, text, no doc_id null; prof: their `profile`.
+        """
+        low, high = prof.agg(F.min("doc_id"), F.max("doc_id")).first()
+        if low is not None and self.state["high"] is not None and low <= self.state["high"]:
+            raise ValueError(f"the batch begins at doc_id {low}, but documents up to {self.state['high']} are filed")
+        if not prof.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+            docs = docs.groupBy("doc_id", "text_key").agg(F.min("text").alias("text"))
+        store = {"name": self._write(docs.select("doc_id", "text_key", "text"), ["doc_id"]), "low": low, "high": high}
+        rows = common.save(prof.select("doc_id", F.explode("anchors").alias("anchor")).distinct().select("anchor", "doc_id"), "rows")
+        run = self._run(rows, 0)
+        common.drop(rows)
+        held = common.save(self.shared(run).groupBy("doc_id").agg(F.collect_list("anchor").alias("wanted")), "held")  # a document's own anchors
+        found = None
+        for x in [*self.state["stores"], store]:
+            # the documents are bucketed by doc_id: only what they are asked for moves
+            ask = held.where(F.col("doc_id").between(x["low"], x["high"])) if x["low"] is not None else held
+            part = windows_under(self._read(x["name"], "store").join(ask.hint("merge"), "doc_id"), self.state["window"])
+            found = part if found is None else found.unionByName(part)
+        found = common.save(found, "windows")
+        first = common.save(found.groupBy("fp").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).where("low <> high").select("fp", "low", "n"), "first")
+        mine = found.where(F.col("doc_id") >= F.lit(low)) if low is not None else found
+        again = common.join_keyed(mine, first, "fp").where("doc_id > low").groupBy("doc_id", "text_key").agg(F.collect_list("pos").alias("pos"))
+        out = common.save(self._read(store["name"], "store").join(again.hint("merge"), ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "pos"), "again")
+        common.drop(held, found, first)
+        top = [x for x in (high, self.state["high"]) if x is not None]
+        self._commit(runs=[*self.state["runs"], run], stores=[*self.state["stores"], store], high=max(top, default=None))
+        self.compact()
+        return out
+
+    def shared(self, new: dict) -> DataFrame:
         """(anchor, doc_id): holders, old and new, of the new run's anchors that at least two documents hold."""
-        old = [r for r in self.runs() if r is not new]
-        by = new.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+        rows, hot = self._read(new["name"], "run"), self._hot(new)
+        by = rows.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))  # in place: the buckets are the groups
+        hot_by = hot.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")) if hot else None
+        hits = []
+        for run in self.state["runs"]:
+            old, old_hot = self._read(run["name"], "run"), self._hot(run)
+            hits.append(old.join(by.select("anchor").hint("merge"), "anchor", "left_semi"))
+            if hot:
+                hits.append(old.join(F.broadcast(hot_by.select("anchor")), "anchor", "left_semi"))
+            if old_hot:
+                names = F.broadcast(old_hot.select("anchor").distinct())  # at most HOT
+                asked = by.select("anchor").join(names, "anchor", "left_semi")
+                if hot:
+                    asked = asked.unionByName(hot_by.select("anchor").join(names, "anchor", "left_semi"))
+                hits.append(old_hot.join(F.broadcast(asked), "anchor", "left_semi"))
         twice = by.where("low <> high").select("anchor")
-        holders = new
-        if old:
-            history = old[0]
-            for r in old[1:]:
-                history = history.unionByName(r)
-            hit = common.save(history.join(by.select("anchor").hint("merge"), "anchor", "left_semi"), "hits")
-            twice = twice.unionByName(hit.select("anchor")).distinct()
-            holders = new.unionByName(hit)
-        return holders.join(twice.hint("merge"), "anchor", "left_semi")
-
-
-def add_batch(index: FingerprintIndex, archive: DataFrame, new_profile: DataFrame) -> DataFrame | None:
-    """File a batch; its repeated windows as (doc_id, text_key, pos array) with the texts.
-
-    archive: all documents (doc_id, text, text_key) up to this batch, from which
-    hits are verified. new_profile: `profile` of the batch.
-    """
-    window = index.window
-    run = index.append(new_profile.where("doc_id IS NOT NULL").select("doc_id", F.explode("anchors").alias("anchor")))
-    held = index.shared(run).groupBy("doc_id").agg(F.collect_list("anchor").alias("wanted"))
-    texts = common.save(archive.join(held, "doc_id"), "holders")
-    found = common.save(windows_under(texts, window), "windows")
-    first = found.groupBy("fp").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("fp", "low")
-    again = found.join(first, "fp").where("doc_id > low").groupBy("doc_id", "text_key").agg(F.collect_list("pos").alias("pos"))
-    low = run.agg(F.min("doc_id")).first()[0]
-    if low is not None:
-        again = again.where(F.col("doc_id") >= low)
-    out = common.save(texts.drop("wanted").dropDuplicates(["doc_id", "text_key"]).join(again, ["doc_id", "text_key"]), "again")
-    common.drop(texts, found)
-    index.compact()
-    return out
+        if hits:
+            hit = hits[0]
+            for x in hits[1:]:
+                hit = hit.unionByName(x)
+            hit = common.save(hit, "hits")
+            twice = twice.unionByName(hit.select("anchor").distinct()).distinct()
+        out = rows.join(twice.hint("merge"), "anchor", "left_semi")
+        if hot:
+            wanted = hot_by.where("low <> high").select("anchor")
+            wanted = wanted.unionByName(hit.select("anchor").join(F.broadcast(hot_by.select("anchor")), "anchor", "left_semi").distinct()).distinct() if hits else wanted
+            out = out.unionByName(hot.join(F.broadcast(wanted), "anchor", "left_semi"))
+        return out.unionByName(hit) if hits else out
+
+    def compact(self) -> None:
+        """Merge the runs of every full level into one run of the next."""
+        level = 0
+        while any(r["level"] >= level for r in self.state["runs"]):
+            full = [r for r in self.state["runs"] if r["level"] == level]
+            if len(full) >= self.state["fan_in"]:
+                merged = None
+                for r in full:
+                    for part in (self._read(r["name"], "run"), self._hot(r)):
+                        if part is not None:
+                            merged = part if merged is None else merged.unionByName(part)
+                run = self._run(merged, level + 1)
+                self._commit(runs=[*[r for r in self.state["runs"] if r["level"] != level], run])
+                for r in full:
+                    self._forget(r["name"])
+                    for x in (r["name"], r["hot"]):
+                        if x:
+                            common.delete(self.spark, f"{self.path}/{x}")
+            level += 1
+
+    def _forget(self, name: str) -> None:
+        if name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop(name)}")  # the files stay: the tables are external
+
+    def close(self) -> None:
+        for name in list(self.tables):
+            self._forget(name)
+
+    def remove(self) -> None:
+        self.close()
+        common.delete(self.spark, self.path)
 
 
 def with_key(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
 
 
-def repeated(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES) -> tuple[DataFrame, list[DataFrame]]:
-    """(profile of all rows, for each batch the texts with repeated windows)."""
-    spark = docs.sparkSession
-    docs = with_key(docs.select("doc_id", "text"))
-    prof = common.save(profile(docs, window), "profile")
+def add_batches(index: FingerprintIndex, docs: DataFrame, batches: int = 1) -> tuple[DataFrame, list[DataFrame]]:
+    """(profile of all rows of docs (doc_id, text), for each batch the documents with repeated windows)."""
+    docs = with_key(docs)
+    prof = common.save(profile(docs, index.state["window"]), "profile")
     bounds = prof.select(F.percentile_approx("doc_id", [k / batches for k in range(1, batches)], 1000)).first()[0] if batches > 1 else []
     edges = [None, *sorted(set(bounds or [])), None]
-    index, out = FingerprintIndex(spark, window), []
+    out = []
     for low, high in zip(edges, edges[1:], strict=False):
-        batch, archive = prof, docs.where("doc_id IS NOT NULL")
+        within = F.col("doc_id").isNotNull()
         if low is not None:
-            batch = batch.where(F.col("doc_id") > low)
+            within &= F.col("doc_id") > low
         if high is not None:
-            batch, archive = batch.where(F.col("doc_id") <= high), archive.where(F.col("doc_id") <= high)
-        out.append(add_batch(index, archive, batch))
-    common.drop(*index.runs())
+            within &= F.col("doc_id") <= high
+        out.append(index.add(docs.where(within), prof.where(within)))
     return prof, out
 
 
-def summary(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 of every row."""
-    prof, parts = repeated(docs, window, batches)
+def repeated(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES) -> tuple[DataFrame, list[DataFrame]]:
+    """The same with an index that goes afterwards."""
+    spark = docs.sparkSession
+    index = FingerprintIndex(spark, common.scratch_path(spark, "index"), window)
+    out = add_batches(index, docs, batches)
+    index.remove()
+    return out
+
+
+def summarise(prof: DataFrame, parts: list[DataFrame], window: int = WINDOW) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 of every row that was profiled."""
     changed = cut(parts[0], window)
     for p in parts[1:]:
         changed = changed.unionByName(cut(p, window))
@@ -257,17 +358,22 @@ def summary(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES) -> Da
     return prof.drop("anchors").join(changed, ["doc_id", "text_key"], "left").select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("_sha", "kept_sha256").alias("kept_sha256"))
 
 
+def summary(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 of every row."""
+    return summarise(*repeated(docs, window, batches), window)
+
+
 def deduplicate(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
     """docs with the repeated windows' words cut from text; documents that lose all their words go."""
     _, parts = repeated(docs, window, batches)
     changed = cut(parts[0], window, as_text=True)
     for p in parts[1:]:
         changed = changed.unionByName(cut(p, window, as_text=True))
-    changed = changed.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("text").alias("_text"), F.lit(True).alias("_cut"))
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    out = docs.join(changed, (docs["doc_id"] == F.col("_id")) & (key == F.col("_key")), "left")
-    out = out.where("_cut IS NULL OR _text RLIKE '[^ \\\\t-\\\\r]'")
-    return out.select(*[F.when(F.col("_cut"), F.col("_text")).otherwise(docs["text"]).alias("text") if c == "text" else docs[c] for c in docs.columns])
+    new_id, key, text = (common.fresh(docs, x) for x in ("_id", "_key", "_cut_text"))
+    changed = changed.select(F.col("doc_id").alias(new_id), F.col("text_key").alias(key), F.col("text").alias(text))
+    out = docs.join(changed, (docs["doc_id"] == changed[new_id]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == changed[key]), "left")
+    out = out.where(changed[text].isNull() | changed[text].rlike("[^ \\t-\\r]"))
+    return out.select(*[F.coalesce(changed[text], docs["text"]).alias("text") if c == "text" else docs[c] for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

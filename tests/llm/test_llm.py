@@ -3,6 +3,8 @@
 import hashlib
 import math
 import random
+import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -15,8 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cellforge.llm import common, decontam, htmltext, kernel, language, lm, neardup, packing, quality, shards, substrings, tokens
-from cellforge.llm.wordpieces import WordIds
+from cellforge.llm import common, decontam, htmltext, kernel, language, lm, neardup, packing, quality, shards, substrings, tokens, wordpieces
 
 WORD = P.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words string, key string, part string"
@@ -146,8 +147,8 @@ def test_near_duplicates(docs, empty, size):
     for _ in sets:
         for i, j in linked:
             comp[i] = comp[j] = min(comp[i], comp[j])
-    for rounds in (0, neardup.ROUNDS):  # without rounds, all links come from the blocks
-        got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.link(docs, size, 80, rounds).collect()}
+    for rounds, unit in ((0, neardup.UNIT_BYTES), (0, 3000), (neardup.ROUNDS, neardup.UNIT_BYTES)):  # without rounds, all links come from the blocks
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.link(docs, size, 80, rounds, unit).collect()}
         assert got == {i: (len(s), comp[i]) for i, s in sets.items()}
     assert neardup.link(empty, size).count() == 0
 
@@ -162,6 +163,21 @@ def test_near_duplicates_without_id(spark, tmp_path):
     assert neardup.keep_first(df).count() == 4
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    a, b = ROWS[7][1], ROWS[10][1]
+    rows = [(5, a), (5, b), (5, b), (3, b + " one"), (9, None), (9, a)]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in neardup.link(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    n = lambda t: len({tuple(words(t, True)[k : k + 5]) for k in range(len(words(t)) - 4)})
+    assert got == sorted([(5, n(a), 5), (5, n(b), 3), (5, n(b), 3), (3, n(b + " one"), 3), (9, 0, 9), (9, n(a), 5)])
+
+
+def test_join_keyed(spark):
+    rows = spark.createDataFrame([(k % 3 if k < 3000 else k, k) for k in range(6000)], "k int, v int")
+    table = common.save(rows.groupBy("k").agg(F.count("*").alias("n")).where("k <> 1"), "t")
+    assert table.where("n > 6").count() == 2
+    assert sorted(map(tuple, common.join_keyed(rows, table, "k").select("v").collect())) == sorted(map(tuple, rows.where("k <> 1").select("v").collect()))
+
+
 def test_index_guarantee():
     rng = np.random.RandomState(5)
     a = rng.randint(0, 1 << 16, (200, 60)).astype(np.uint16)
@@ -226,50 +242,126 @@ def test_cuts_are_cheapest():
         assert cost == best[-1]
 
 
+def test_wordpieces_are_the_library_s():
+    lib = Tokenizer.from_file(WORD)
+    odd = [b"a\xc2\xa0b", "été".encode(), "ÉTÉ".encode(), "日本".encode(), b"<|endoftext|>", b"it's", b"'S'll", b"x1y22!!?", "e\u0301".encode(), "\u2003".encode(), b"\x01", "ǅ—–".encode()]
+    all_words = sorted({w for r in ROWS for w in words(r[1])} | set(odd))
+    ids, size, same = wordpieces.encode_words(WORD, all_words)
+    at = np.cumsum(size)
+    assert all(ids[e - n : e].tolist() == lib.encode(w.decode(), add_special_tokens=False).ids for w, n, e in zip(all_words, size, at))
+    spelt = dict(zip(all_words, same.tolist()))
+    assert [spelt[w] for w in odd] == [False, True, False, True, False, True, False, True, False, False, True, False]
+    # the table, through clearing and growing
+    table = wordpieces.WordIds(WORD, limit=50)
+    for _ in range(2):
+        for a in range(0, len(all_words), 40):
+            part = all_words[a : a + 40]
+            w = kernel.Words(*kernel.utf8(pa.array([x.decode() for x in part])))
+            got, n = table.ids(table.entries(w))
+            assert got.tolist() == [i for x in w.texts() for i in lib.encode(x.decode(), add_special_tokens=False).ids]
+    many = wordpieces.WordIds(WORD)
+    w = kernel.Words(*kernel.utf8(pa.array([f"a{i} b{i}" for i in range(9000)])))
+    assert (many.entries(w) == many.entries(w)).all() and many.n == 18000 and len(set(many.entries(w).tolist())) == 18000
+
+
+def _plain_log(m, c, total, distinct, text):
+    """The score of a text by its definition, one id after another."""
+    lib, out = Tokenizer.from_file(WORD), 0.0
+    w = words(text, True)
+    stream = [lm.START]
+    pieces = []
+    for x in w:
+        own = [i if i < lm.START else lm.STRAY for i in lib.encode(x.decode(), add_special_tokens=False).ids] or [lm.STRAY]
+        pieces.append((x, own, len(stream)))
+        stream += own
+    stream.append(lm.END)
+
+    def log(p):
+        first = max(0, (p - 1) // lm.STRIDE * lm.STRIDE - (lm.CONTEXT - lm.STRIDE))
+        W, t = lm.WIDTH, m.rows[stream[p - 1]]
+        a = np.array([t[:W] @ m.rows[stream[i]][W : 2 * W] + m.bias[p - 1 - i] for i in range(first, p)])
+        a = np.exp(a - a.max())
+        h = (a / a.sum()) @ m.rows[stream[first:p]][:, 2 * W : 3 * W] + t[3 * W :]
+        h = np.append(np.maximum(h, 0.1 * h), 1)
+        g, k = divmod(m.classes[stream[p]], lm.GROUPS)
+        soft = lambda z, i: z[i] - z.max() - np.log(np.exp(z - z.max()).sum())
+        return (soft(h @ m.group, g) + soft(h @ m.inside[g], k)) / np.log(10) + m.share[stream[p]]
+
+    for x, own, at in pieces:
+        same = unicodedata.normalize("NFC", x.decode()).lower().encode() == x and b"<|" not in x and len(x.decode().split()) == 1
+        model = sum(log(at + k) + (m.off if k == len(own) - 1 else m.on)[i] for k, i in enumerate(own)) + (math.log10(1 - lm.VARIANT) if same else math.log10(lm.VARIANT) - len(x) * math.log10(4))
+        out += math.log10((1 - lm.MIX) * (c[x] + 0.1) / (total + 0.1 * (distinct + 1)) + lm.MIX * 10**model)
+    return out + math.log10((1 - lm.MIX) * (c[None] + 0.1) / (total + 0.1 * (distinct + 1)) + lm.MIX * 10 ** log(len(stream) - 1))
+
+
 def test_language_model(docs, empty):
     c, texts = Counter(), {r[0]: words(r[1], True) + [None] for r in ROWS}
     for i, w in texts.items():
         if zlib.crc32(str(i).encode()) % 10:
             c.update(w)
     n, v = sum(c.values()), len(c)
-    twice = docs.union(docs.where("doc_id = 9"))
-    got = lm.score(twice, docs.where(~lm.held_out()), WORD, frequent=16, train_docs=5).collect()
-    assert len(got) == len(ROWS) + 1
+    twice = docs.select("doc_id", "text").union(docs.where("doc_id = 9").select("doc_id", "text")).union(docs.where("doc_id = 7").select(F.lit(None), "text"))
+    learned = lm.learn(docs.where(~lm.held_out()), WORD, share=1, rounds=1)
+    got = lm.score(twice, learned, WORD, frequent=16).collect()
+    assert len(got) == len(ROWS) + 2
     for r in got:
-        w = texts[r.doc_id]
+        w = texts[7 if r.doc_id is None else r.doc_id]
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(c[x] > 0 for x in w), n)
         assert r.base_score == pytest.approx(sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)) and r.score < 0
-    assert lm.score(empty, empty, WORD, train_docs=5).count() == 0
+    for i in (0, 3, 6, 7, 10, 22, 27, 28, 31):
+        assert next(r.score for r in got if r.doc_id == i) == pytest.approx(_plain_log(learned.model, c, n, v, ROWS[i][1]), rel=1e-3, abs=1e-3), i
+    none = lm.learn(empty, WORD)
+    assert (none.total, none.distinct) == (0, 0) and lm.score(empty, none, WORD).count() == 0
+    assert [(r.n_tokens, r.n_known) for r in lm.score(docs.where("doc_id = 3"), none, WORD).collect()] == [(2, 0)]
+
+
+def test_word_probabilities_sum_to_one_at_most(docs):
+    """Over all words of up to two pieces from a few, with other spellings of them, after the same text."""
+    m = lm.learn(docs, WORD, share=1, rounds=1).model
+    table = wordpieces.WordIds(WORD, lm.STRAY, lm.START)
+    bits = ["a", "1", "é", "É", "e\u0301", "E\u0301", "!", "\u00a0", "\u2003", "<|endoftext|>"]
+    some = sorted({x + y for x in ["", *bits] for y in bits} | {x + y + z for x in bits for y in bits for z in bits[:6]})
+    some = [x for x in some if len(words(x)) == 1 and not re.search("[A-Z]", x)]
+    own = {}
+    for x in some:
+        w = kernel.Words(*kernel.utf8(pa.array(["the an on " + x])), lower=True)
+        per = lm.word_logs(m, w, table)
+        own[x], end = 10 ** per[3], per[4]
+    w = kernel.Words(*kernel.utf8(pa.array(["the an on"])), lower=True)
+    assert sum(own.values()) + 10 ** lm.word_logs(m, w, table)[3] <= 1
+    assert own["\u00a0"] < 0.01 and own["é"] > own["É"] > 0 and own["a"] > own["<|endoftext|>"] > 0
 
 
 def test_language_model_learns_from_all_texts(docs):
-    texts = [words(r[1]) for r in ROWS]
-    ids, doc, _ = lm.stream(texts, WordIds(WORD))
-    counted = {r.word: r.c for r in lm.word_counts(docs.select(F.coalesce("text", F.lit("")).alias("text")).repartition(3), WORD).where("is_id").collect()}
-    assert counted == {i: n for i, n in Counter(ids.tolist()).items() if i != lm.START}
-    start = lm.train([words("one")], WORD, counts=np.bincount(ids[ids != lm.START], minlength=lm.VOCABULARY).astype(float))
-    assert np.array_equal(lm.unpacked(lm.packed(start), start).out, start.out)
-    chosen = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("h"), "text").distinct()
-    more = lm.trained_on(start, chosen, WORD, 3)
-    assert lm.id_logs(more, ids, doc).mean() > lm.id_logs(start, ids, doc).mean()
-    again = lm.trained_on(start, chosen.repartition(5), WORD, 3)
-    assert np.allclose(again.query, more.query, atol=1e-4) and np.allclose(again.out, more.out, atol=1e-4)
-
-
-def test_windows_score_each_id_once():
-    m = lm.train([words(ROWS[7][1])], WORD, epochs=1)
-    ids, doc, _ = lm.stream([words(ROWS[7][1]), words(ROWS[10][1])], WordIds(WORD))
-    logs, lead = lm.id_logs(m, ids, doc), lm.CONTEXT - lm.STRIDE
-    for p in (1, 5, 30, len(ids) - 1, int(np.flatnonzero(doc == 1)[0]) + 1):
-        first = max(0, (p - 1) // lm.STRIDE * lm.STRIDE - lead)  # of the window that scores p
-        ctx = [i for i in range(first, p) if doc[i] == doc[p - 1]]
-        q = m.query[ids[p - 1]]
-        a = np.array([q @ m.key[ids[i]] + m.bias[p - 1 - i] for i in ctx])
-        a = np.exp(a - a.max())
-        h = (a / a.sum()) @ m.value[ids[ctx]] + m.own[ids[p - 1]]
-        z = np.maximum(h, 0.1 * h) @ m.out + m.shift
-        z -= z.max()
-        assert logs[p] == pytest.approx((z - np.log(np.exp(z).sum()))[m.classes[ids[p]]] / np.log(10) + m.share[ids[p]], abs=1e-4)
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    lib = Tokenizer.from_file(WORD)
+    ids = Counter(i if i < lm.START else lm.STRAY for r in ROWS for w in words(r[1], True) for i in lib.encode(w.decode(), add_special_tokens=False).ids or [lm.STRAY])
+    raw = common.save(lm.gather(texts.repartition(3), WORD, 1), "raw")
+    got = {r.word: r.c for r in raw.where("kind = 1").groupBy("word").agg(F.sum("c").alias("c")).collect()}
+    assert got == ids | {lm.END: len(ROWS)}
+    windows = raw.where("kind = 2").select(F.col("word").alias("h"), "ids").dropDuplicates(["h"])
+    some = raw.where("kind = 2")
+    assert some.count() == sum(-(-(sum(len(lib.encode(w.decode(), add_special_tokens=False).ids) or 1 for w in words(r[1], True)) + 1) // lm.STRIDE) for r in ROWS)
+    seen = {r.h: bytes(r.ids) for r in windows.collect()}
+    assert len(set(seen.values())) == len(seen)  # equal windows have equal hashes, others others
+    start = lm.initial(*[np.array([ids.get(i, 0) for i in range(lm.VOCABULARY)], float)] * 2)
+    assert np.array_equal(lm.unpacked(lm.packed(start), start).inside, start.inside)
+    more = lm.trained_round(start, windows, 3, 0.02)
+    table = wordpieces.WordIds(WORD, lm.STRAY, lm.START)
+    block = kernel.Words(*kernel.utf8(pa.array([r[1] for r in ROWS])), lower=True)
+    assert lm.word_logs(more, block, table).mean() > lm.word_logs(start, block, table).mean()
+    again = lm.trained_round(start, windows.repartition(5), 3, 0.02)
+    assert np.allclose(again.rows, more.rows, atol=1e-4) and np.allclose(again.inside, more.inside, atol=1e-4)
+
+
+def test_fit_lowers_its_loss():
+    rng = np.random.RandomState(3)
+    counts = rng.rand(lm.VOCABULARY) * 9
+    m = lm.initial(counts, counts / 2)
+    rows = rng.randint(0, 40, (6, lm.CONTEXT + 1)).astype(np.uint16)
+    rows[1, :12] = rows[2, 25:] = lm._PAD
+    loss = lambda x: -sum(lm.id_logs(x, r[r != lm._PAD].astype(np.int64), np.zeros(int((r != lm._PAD).sum()), int))[1:].sum() for r in rows)
+    assert loss(lm.fit(m.copy(), np.repeat(rows, 20, 0), epochs=30)) < 0.9 * loss(m)
 
 
 def test_shards(docs, empty):
@@ -285,10 +377,10 @@ def test_shards(docs, empty):
     assert shards.shuffle(empty.selectExpr("doc_id", "0L AS size"), ["doc_id", "size"]).count() == 0
 
 
-@pytest.mark.parametrize("batches", [1, 5])
-def test_repeated_windows(spark, docs, empty, batches):
-    first, expect = {}, {}
-    for i, t, *_ in ROWS:
+def _repeats(rows):
+    """By doc_id: words, words removed, sha256 and the kept words; rows in ascending order of doc_id."""
+    first, out = {}, {}
+    for i, t, *_ in rows:
         w = words(t)
         gone = [False] * len(w)
         own = [tuple(w[k : k + 50]) for k in range(len(w) - 49)]
@@ -298,12 +390,53 @@ def test_repeated_windows(spark, docs, empty, batches):
         for x in own:
             first.setdefault(x, i)
         kept = b" ".join(x for x, g in zip(w, gone) if not g)
-        expect[i] = len(w), sum(gone), hashlib.sha256(kept).hexdigest(), b" ".join(kept.split())
+        out[i] = len(w), sum(gone), hashlib.sha256(kept).hexdigest(), b" ".join(kept.split())
+    return out
+
+
+@pytest.mark.parametrize("batches", [1, 5])
+def test_repeated_windows(docs, empty, batches):
+    expect = _repeats(ROWS)
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substrings.summary(docs, batches=batches).collect()}
     assert got == {i: x[:3] for i, x in expect.items()} and any(x[1] for x in expect.values())
-    left = {r.doc_id: b" ".join(words(r.text)) for r in substrings.deduplicate(docs, batches=batches).collect()}
-    assert left == {i: x[3] for i, x in expect.items() if x[3] or not x[1]}
-    assert substrings.summary(empty).count() == 0
+    if batches == 1:
+        assert substrings.summary(empty).count() == 0
+        return
+    clash = docs.select("*", *[F.lit(k).alias(c) for k, c in enumerate(("_text", "_cut", "_id", "_key", "_cut_text", "text_key", "pos"))])
+    rows = substrings.deduplicate(clash, batches=batches).collect()
+    assert {r.doc_id: b" ".join(words(r.text)) for r in rows} == {i: x[3] for i, x in expect.items() if x[3] or not x[1]}
+    assert all((r["_text"], r["_cut"], r["pos"]) == (0, 1, 6) for r in rows)
+
+
+def test_index_over_two_sessions(spark, docs, tmp_path):
+    """Batches filed through one object, closed, and through another by path; history and compaction as on the first day."""
+    expect, path = _repeats(ROWS), str(tmp_path / "index")
+    index = substrings.FingerprintIndex(spark, path, buckets=3)
+    prof, parts = substrings.add_batches(index, docs.where("doc_id < 12"), 3)
+    got = substrings.summarise(prof, parts).collect()
+    assert len(index.state["runs"]) == 2 and {r["level"] for r in index.state["runs"]} == {0, 1}  # 1 + 1 became one
+    index.close()
+    other = spark.newSession()
+    again = substrings.FingerprintIndex(other, path)
+    late = other.createDataFrame([r for r in ROWS if r[0] >= 12], SCHEMA)
+    prof, parts = substrings.add_batches(again, late)
+    got += substrings.summarise(prof, parts).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == {i: x[:3] for i, x in expect.items()}
+    # the history is not shuffled: buckets are read as they lie
+    run = again._read(again.state["runs"][0]["name"], "run")
+    plan = run.join(late.select(F.col("doc_id").alias("anchor")).hint("merge"), "anchor", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    with pytest.raises(ValueError, match="filed"):
+        substrings.add_batches(again, late)
+    again.remove()
+
+
+def test_hot_anchors(spark, monkeypatch):
+    """With every anchor hot, runs lie beside the buckets; results stay."""
+    monkeypatch.setattr(common, "HOT", 1 << 40)
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substrings.summary(df).collect()}
+    assert got == {i: x[:3] for i, x in _repeats(ROWS).items()}
 
 
 def test_language(docs, empty):
