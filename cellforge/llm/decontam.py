@@ -11,13 +11,17 @@ the passage to the best region.
 The edit budget of a passage is RATE * m, rounded down. A passage too short for
 the bound to be positive gets the largest budget that keeps it at least 1; one
 shorter than Q is searched as a plain substring. The benchmark is taken in blocks of at
-most BLOCK_CHARS characters, one pass over the documents each, and only a block's
-index is broadcast, so its size has a fixed bound however large the benchmark is.
+most BLOCK_CHARS characters, one pass over the documents each; a block's hits are
+saved and its index destroyed before the next, so what is broadcast has a fixed bound
+however large the benchmark is. Hits of one document are expanded HITS at a time and
+only their counts by band kept, so a long run of one letter against another costs
+time, but no memory.
 
 Defined results: null and empty documents match nothing; an empty passage is
 matched nowhere; repeated rows give repeated matches; ties of regions go to the
 first; an empty table on either side gives an empty result; extra columns are not
-read. `decontaminate` keeps rows with a null doc_id or text.
+read. `decontaminate` judges every row by its own text, whatever its doc_id, keeps
+rows with a null text and all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ from . import common
 Q, RATE = 12, 0.06
 #: Characters of the benchmark that one pass over the documents takes.
 BLOCK_CHARS = 8 << 20
+#: Hits of q-grams that are expanded at once.
+HITS = 1 << 20
 _BITS = 20
 _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
@@ -119,17 +125,19 @@ class Benchmark:
             pos, where = pos[hit], where[hit]
         if not len(pos) or not len(self.code):
             return out
-        n = self.at[where + 1] - self.at[where]
-        entry = np.repeat(self.at[where] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
-        item = self.item[entry]
-        shift = np.repeat(pos, n) - self.place[entry] + (1 << 32)
-        # overlapping bands: band b holds the diagonals b * spread .. (b + 2) * spread - 1
-        band = item.astype(np.int64) * (1 << 40) + shift // self.spread
-        both = np.concatenate([band, band - 1])
-        both.sort()
-        at = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
-        count = np.diff(np.append(at, len(both)))
-        kept = both[at[count >= self.need[both[at] >> 40]]]
+        total = np.concatenate([[0], np.cumsum(self.at[where + 1] - self.at[where])])
+        bands, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for a in range(0, int(total[-1]), HITS):
+            hit = np.arange(a, min(a + HITS, int(total[-1])))
+            of = np.searchsorted(total, hit, "right") - 1
+            entry = self.at[where[of]] + hit - total[of]
+            shift = pos[of] - self.place[entry] + (1 << 32)
+            # overlapping bands: band b holds the diagonals b * spread .. (b + 2) * spread - 1
+            band = self.item[entry].astype(np.int64) * (1 << 40) + shift // self.spread
+            new, n = np.unique(np.concatenate([band, band - 1]), return_counts=True)
+            bands, at = np.unique(np.concatenate([bands, new]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, n]), len(bands)).astype(np.int64)
+        kept = bands[counts >= self.need[bands >> 40]]
         best: dict[int, tuple[int, int]] = {}
         for b in kept.tolist():
             k = b >> 40
@@ -170,14 +178,25 @@ def find(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, limit: int =
                 cols = list(zip(*rows, strict=True)) if rows else [(), (), (), ()]
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array([index.ids[k] for k in cols[1]], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int64())], ["doc_id", "item_id", "edits", "end"])
 
-        out = out.unionByName(docs.select("doc_id", "text").where("text IS NOT NULL").mapInArrow(body, schema))
+        out = out.unionByName(common.save(docs.select("doc_id", "text").where("text IS NOT NULL").mapInArrow(body, schema), "hits"))
+        common.drop(shared)
     return out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
-    """docs without those that hold a benchmark passage."""
-    hit = find(docs.where("doc_id IS NOT NULL"), benchmark, rate).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(docs.columns)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, limit: int = BLOCK_CHARS) -> DataFrame:
+    """docs without those that hold a benchmark passage; saved between blocks and at the end."""
+    out, at = docs, docs.columns.index("text")
+    for block in blocks(benchmark, limit):
+        shared = docs.sparkSession.sparkContext.broadcast(Benchmark(block, rate))
+
+        def body(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = shared.value
+            for batch in batches:
+                yield batch.filter(pa.array([not index.matches(t.as_py()) for t in batch.column(at)], pa.bool_()))
+
+        old, out = out, common.save(out.mapInArrow(body, docs.schema), "clean")
+        common.drop(shared, old if old is not docs else None)
+    return out
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

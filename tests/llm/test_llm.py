@@ -109,10 +109,51 @@ def test_decontamination(spark, docs, empty):
     got = {(r.doc_id, r.item_id): r.edits for r in decontam.find(d, b).collect()}
     assert got.keys() == {(8, 1), (900, 1), (901, 1)} and got[8, 1] == got[901, 1] == 0 and 0 < got[900, 1] <= 8
     assert {r.doc_id for r in decontam.find(d, b, limit=50).collect()} == {8, 900, 901}  # blocks of one passage
-    assert decontam.decontaminate(d, b).count() == d.count() - 3
+    twice = d.unionByName(spark.createDataFrame([(None, "x " + bench[0][1], None), (None, "clean", None), (900, "clean", None)], "doc_id long, text string, lang string")).withColumn("_hit", F.lit(1))
+    clean = decontam.decontaminate(twice, b, limit=50).collect()  # rows with a null or repeated doc_id are judged by their own texts
+    assert len(clean) == twice.count() - 4 and sum(r.text == "clean" and r["_hit"] == 1 for r in clean) == 2
     assert decontam.find(empty, b).count() == 0 == decontam.find(d, b.where("item_id < 0")).count()
 
 
+def test_passages_against_brute_force():
+    """Every passage within its budget of edits of some region, by the plain table, and no other."""
+    rng = random.Random(8)
+    say = lambda n: "".join(rng.choice("abcd ") for _ in range(n)).strip()
+    items = [(k, say(rng.choice([60, 120, 200]))) for k in range(12)] + [(50, "short one")]
+    texts = []
+    for k in range(60):
+        x = list(items[k % 12][1])
+        for _ in range(k // 5):
+            i = rng.randrange(len(x))
+            x[i : i + 1] = rng.choice(["", "zz", "q"])
+        texts.append(say(rng.randrange(80)) + "".join(x) + say(rng.randrange(80)) + (" a short  ONE b" if k % 7 == 0 else ""))
+    index = decontam.Benchmark(items)
+    for t in texts:
+        doc, want = decontam.normalise(t), {}
+        for k, p in enumerate(index.texts):
+            row = [0] * (len(doc) + 1)
+            for i, a in enumerate(p):
+                new = [i + 1]
+                for j, b in enumerate(doc):
+                    new.append(min(row[j] + (a != b), row[j + 1] + 1, new[-1] + 1))
+                row = new
+            if min(row) <= index.budget[k]:
+                want[k] = min(row)
+        assert {k: e for k, e, _ in index.matches(t)} == want
+
+
+def test_long_runs_are_counted_in_bounded_memory():
+    import tracemalloc
+
+    index = decontam.Benchmark([(1, "x" * 3000)])
+    index.matches("y" * 50)
+    tracemalloc.start()
+    assert [k for k, _, _ in index.matches("x" * 9000)] == [0]  # 18 million hits
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160e6
+
+
 def test_edit_distance():
     rng = random.Random(3)
     for _ in range(150):
