@@ -43,7 +43,7 @@ from . import common, kernel
 
 CHUNKS, SYMBOLS, ERRORS = 12, 5, 1
 #: Rounds against one popular document a key; bytes of a block and of a slice of the rest.
-ROUNDS, UNIT_BYTES = 4, 4 << 20
+ROUNDS, UNIT_BYTES = 2, 4 << 20
 #: Largest distance at which the index is certain to pair two signatures.
 GUARANTEED = CHUNKS * (ERRORS + 1) - 1
 
@@ -185,28 +185,28 @@ def against_rest(rest: DataFrame, members: DataFrame, full: DataFrame, percent:
     def body(table: pa.Table) -> pa.Table:
         keys, asks, nodes, comps = (table[c].to_numpy() for c in ("key", "asks", "node", "comp"))
         grams = table["grams"]
-        held: dict[int, np.ndarray] = {}  # a node of several keys is read once
-
-        def set_of(i: int) -> np.ndarray:
-            if nodes[i] not in held:
-                held[nodes[i]] = np.frombuffer(grams[i].as_buffer(), np.uint64)
-            return held[nodes[i]]
-
-        order = np.lexsort((asks, keys))
+        set_of = lambda i: np.frombuffer(grams[i].as_buffer(), np.uint64)
         found: set[tuple[int, int]] = set()
-        seen: set[tuple[int, int]] = set()
+        order = np.lexsort((asks, keys))
         for group in np.split(order, np.flatnonzero(np.diff(keys[order])) + 1):
-            queries, others = group[asks[group]], group[~asks[group]]
-            for q in queries.tolist():
+            queries, others = group[asks[group]].tolist(), group[~asks[group]]
+            if not queries or not len(others):
+                continue
+            # shingles of the slice in order, each with its node: a query meets only those it has
+            sets = [set_of(i) for i in others.tolist()]
+            size = np.array([len(x) for x in sets])
+            owner = np.repeat(np.arange(len(sets)), size)
+            every = np.concatenate(sets)
+            by = np.argsort(every, kind="stable")
+            every, owner = every[by], owner[by]
+            for q in queries:
                 x = set_of(q)
-                for o in others[comps[others] != comps[q]].tolist():
-                    pair = (min(nodes[q], nodes[o]), max(nodes[q], nodes[o]))
-                    if pair not in seen:
-                        seen.add(pair)
-                        if similar(x, set_of(o), percent):
-                            found.add(pair)
-                if len(seen) > 1 << 18:
-                    seen.clear()
+                low = np.searchsorted(every, x)
+                n = np.searchsorted(every, x, "right") - low
+                at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+                both = np.bincount(owner[at], minlength=len(sets))
+                near = np.flatnonzero((100 * both >= percent * (len(x) + size - both)) & (comps[others] != comps[q]))
+                found.update((min(nodes[q], nodes[o]), max(nodes[q], nodes[o])) for o in others[near].tolist())
         return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["u", "v"])
 
     out = common.save(dealt.join(full, "node").groupBy("unit").applyInArrow(body, "u long, v long").distinct(), "restlinks")
@@ -237,7 +237,7 @@ def link(docs: DataFrame, size: int = 5, percent: int = 80, rounds: int = ROUNDS
     sketch = common.save(sketches(docs, size), "sketch")
     filled = sketch.where("set_hash IS NOT NULL AND doc_id IS NOT NULL")
     folds = common.save(filled.groupBy("set_hash").agg(F.min("rid").alias("node"), F.min("doc_id").alias("low"), F.count("*").alias("n")), "folds")
-    node_of = common.save(common.join_keyed(filled.select("rid", "doc_id", "set_hash"), folds, "set_hash").select("rid", "doc_id", "set_hash", "node"), "nodes")
+    node_of = common.save(common.join_keyed(filled.select("rid", "doc_id", "set_hash"), folds, "set_hash").select("rid", "doc_id", "set_hash", "node", "low"), "nodes")
     reps = node_of.where("rid = node")
     keys = common.save(keyed(filled.select("rid", "sig").join(reps.select("rid", "node"), "rid")), "keys")
     # keys of a single node link nothing
@@ -263,32 +263,30 @@ def link(docs: DataFrame, size: int = 5, percent: int = 80, rounds: int = ROUNDS
             break
         if turn < rounds:
             # every node of a key against the key's most popular one, which is then done with there
-            heads = still.join(rank, "node").groupBy("key").agg(F.max_by(F.struct(F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), F.struct("pop", F.negate("node"))).alias("h"), F.count("*").alias("n")).select("key", "h.*", "n")
-            heads = common.save(heads, "heads")
-            near = common.save(common.join_keyed(still, heads, "key").where("node <> hub"), "near")
+            heads = still.join(rank, "node").groupBy("key").agg(F.max_by(F.struct(F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), F.struct("pop", F.negate("node"))).alias("h")).select("key", "h.*")
+            near = common.save(still.join(heads, "key").where("node <> hub"), "near")  # AQE splits the rows of a hot key
             pairs = near.where("comp <> hub_comp").select(F.least("hub", "node").alias("u"), F.greatest("hub", "node").alias("v")).distinct()
             more = verified(pairs, full, percent)
-            common.drop(*[x for x in (heads, still, left) if x is not shared])
+            common.drop(still, left if left is not shared else None)
             left = near.select("key", "node")
             left._scratch = near._scratch
         else:
             # what is not in a key's largest component, in full against all of the key
-            large = still.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.sum("n").alias("n"))
-            large = common.save(large, "large")
+            large = still.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"))
             members = common.save(still.join(full.select("node", (F.length("grams") / 8).cast("long").alias("n")), "node").select("key", "node", "comp", "n"), "members")
-            rest = common.join_keyed(members.withColumnRenamed("n", "_n"), large, "key").where("comp <> major").select("key", "node", "comp", F.col("_n").alias("n"))
+            rest = members.join(large, "key").where("comp <> major").select("key", "node", "comp", "n")
             more = against_rest(rest, members, full, percent, unit_bytes)
-            common.drop(large, still, members)
+            common.drop(still, members)
         old, links = links, common.save(links.unionByName(more), "links")
         common.drop(old, more, labels)
         labels = common.components(links)
     common.drop(shared, full, rank, left)
-    low = folds.select("node", "low")
+    whole = node_of.select("rid", "node", "low")
     if labels:
-        grouped = low.join(labels, "node", "left").select("node", "low", F.coalesce("component", "node").alias("component"))
-        low = grouped.select("node", "component").join(grouped.groupBy("component").agg(F.min("low").alias("low")), "component").select("node", "low")
-    ends = common.save(low.join(folds.select("node", "n"), "node"), "ends")
-    whole = common.join_keyed(node_of.select("rid", "node"), ends, "node").select("rid", F.col("low").alias("component_id"))
+        ends = folds.select("node", "low").join(labels, "node")
+        ends = ends.join(ends.groupBy("component").agg(F.min("low").alias("least")), "component").select("node", "least")
+        whole = whole.join(ends, "node", "left").select("rid", F.coalesce("least", "low").alias("low"))
+    whole = whole.select("rid", F.col("low").alias("component_id"))
     return sketch.select("rid", "doc_id", "n_shingles").join(whole, "rid", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
