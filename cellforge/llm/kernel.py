@@ -77,9 +77,15 @@ class Words:
         self.row = np.searchsorted(offsets, self.start, "right") - 1
         self.first = np.searchsorted(self.row, np.arange(self.rows + 1))  # of each row, its first word
         self.lower = lower
+        self._hashes: np.ndarray | None = None
 
     def hashes(self) -> np.ndarray:
-        """By words of eight bytes; the length goes in first."""
+        """By words of eight bytes; the length goes in first. Made once; not to be written to."""
+        if self._hashes is None:
+            self._hashes = self._hash()
+        return self._hashes
+
+    def _hash(self) -> np.ndarray:
         data = np.concatenate([_LOWER[self.data] if self.lower else self.data, np.zeros(8, np.uint8)])
         eight = np.ndarray((len(self.data) + 1,), np.dtype("<u8"), data, 0, (1,))
         out = mix(self.length.astype(np.uint64) * _P ^ (eight[self.start] & _MASK[np.minimum(self.length, 8)]) * _Q)

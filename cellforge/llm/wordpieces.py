@@ -160,7 +160,7 @@ class WordIds:
         if self.n > self.limit or self.used * 4 > CACHE_BYTES:
             self._clear()
         h = words.hashes()
-        h[h == 0] = 1
+        h = np.where(h == 0, np.uint64(1), h)  # 0 is an empty slot
         out = self._find(h)
         new = np.flatnonzero(out < 0)
         if len(new):
