@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.scratch import saved
+
 
 def _dense(keys: DataFrame, key: str, base: int) -> DataFrame:
     """Ids base + 1.. in binary order of the distinct keys; each range sorts its own part, offsets come from counts."""
     d = keys.select(key).distinct()
-    ranged = d.repartitionByRange(key).withColumn("_p", F.spark_partition_id()).persist()
+    ranged = d.repartitionByRange(key).withColumn("_p", F.spark_partition_id())
+    ranged = saved(ranged, "ids")  # numbers and counts come from the same rows, whatever is lost
     sizes = {r["_p"]: r["count"] for r in ranged.groupBy("_p").count().collect()}  # a row for each partition
     at, offsets = base, []
     for p in sorted(sizes):

@@ -4,38 +4,59 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 KEY = "ms_merge_key"
 
 
-def range_footprint(b: DataFrame, taxon: DataFrame) -> DataFrame:
+def by_cell(b: DataFrame) -> DataFrame:
+    """(key, cell_id, am, ams, has_range): one pass over (key, ds_key, cell_id, val); ams has every model value, repeats too."""
+    model = F.when(F.col("ds_key") == "am", F.col("val"))
+    return b.groupBy(KEY, "cell_id").agg(F.max(model).alias("am"), F.collect_list(model).alias("ams"), F.bool_or(F.col("ds_key") != "am").alias("has_range"))
+
+
+def _ranged(cells: DataFrame, taxon: DataFrame) -> DataFrame:
+    return cells.where("has_range").join(taxon.select(KEY, F.col("er_score").alias("er")).distinct(), KEY)
+
+
+def range_footprint(cells: DataFrame, taxon: DataFrame) -> DataFrame:
     """(key, cell_id, er): cells of every range dataset with the taxon's risk."""
-    return b.where("ds_key <> 'am'").select(KEY, "cell_id").distinct().join(taxon.select(KEY, F.col("er_score").alias("er")), KEY).select(KEY, "cell_id", "er").distinct()
+    return _ranged(cells, taxon).select(KEY, "cell_id", "er")
+
+
+def model_at_range(cells: DataFrame, taxon: DataFrame) -> DataFrame:
+    """(key, cell_id, am): the largest model value on range cells of known taxa."""
+    return cells.where("has_range AND am IS NOT NULL").join(taxon.select(KEY), KEY, "left_semi").select(KEY, "cell_id", "am")
+
 
+def _fused():
+    return F.greatest("er", F.coalesce("am", F.lit(0.0))).cast("double")
 
-def model_at_range(b: DataFrame, footprint: DataFrame) -> DataFrame:
-    """(key, cell_id, am): the largest model value on range cells."""
-    am = b.where("ds_key = 'am'").groupBy(KEY, "cell_id").agg(F.max("val").alias("am"))
-    return am.join(footprint.select(KEY, "cell_id").distinct(), [KEY, "cell_id"], "left_semi")
 
+def merge_global(cells: DataFrame, taxon: DataFrame) -> DataFrame:
+    return _ranged(cells, taxon).select(KEY, "cell_id", _fused().alias("val"))
 
-def merge_global(footprint: DataFrame, am: DataFrame) -> DataFrame:
-    return footprint.join(am, [KEY, "cell_id"], "left").select(KEY, "cell_id", F.greatest("er", F.coalesce("am", F.lit(0.0))).cast("double").alias("val"))
 
+def merge_us(cells: DataFrame, taxon: DataFrame, us_cells: DataFrame, taxon_flags: DataFrame | None = None) -> DataFrame:
+    """Merged cells within the US, and raw model cells there of taxa without a range; duplicates are kept.
 
-def merge_us(b: DataFrame, taxon_flags: DataFrame, us_cells: DataFrame, merged: DataFrame) -> DataFrame:
-    """Merged cells within the US, and raw model cells there of taxa without a range; duplicates are kept."""
-    us = us_cells.select("cell_id").distinct()
-    bare = taxon_flags.where("NOT has_range").select(KEY)
-    only = b.where("ds_key = 'am'").join(us, "cell_id", "left_semi").join(bare, KEY, "left_semi").select(KEY, "cell_id", F.col("val").cast("double").alias("val"))
-    return merged.join(us, "cell_id", "left_semi").select(KEY, "cell_id", "val").unionByName(only)
+    Without taxon_flags a taxon has a range if one of its cells has; a taxon's cells are
+    as many as the grid's at most, which bounds the window. One scan, no union.
+    """
+    if taxon_flags is None:
+        cells = cells.withColumn("bare", ~F.bool_or("has_range").over(Window.partitionBy(KEY)))
+    else:
+        cells = cells.join(taxon_flags.where("NOT has_range").select(KEY, F.lit(True).alias("bare")).distinct(), KEY, "left").withColumn("bare", F.coalesce("bare", F.lit(False)))
+    cells = cells.join(us_cells.select("cell_id").distinct(), "cell_id", "left_semi").where("has_range OR bare")
+    risk = taxon.select(KEY, F.col("er_score").alias("er"), F.lit(True).alias("known")).distinct()
+    none = F.expr("cast(array() AS array<double>)")
+    vals = F.concat(F.when(F.col("has_range") & F.col("known"), F.array(_fused())).otherwise(none), F.when(F.col("bare"), F.col("ams").cast("array<double>")).otherwise(none))
+    return cells.join(risk, KEY, "left").select(KEY, "cell_id", F.explode(vals).alias("val"))
 
 
-def merge(b: DataFrame, taxon: DataFrame, taxon_flags: DataFrame, us_cells: DataFrame) -> dict[str, DataFrame]:
-    footprint = range_footprint(b, taxon)
-    am = model_at_range(b, footprint)
-    every = merge_global(footprint, am)
-    return {"b_range": footprint, "b_am_rng": am, "global": every, "us": merge_us(b, taxon_flags, us_cells, every)}
+def merge(b: DataFrame, taxon: DataFrame, taxon_flags: DataFrame | None, us_cells: DataFrame) -> dict[str, DataFrame]:
+    cells = by_cell(b)
+    return {"b_range": range_footprint(cells, taxon), "b_am_rng": model_at_range(cells, taxon), "global": merge_global(cells, taxon), "us": merge_us(cells, taxon, us_cells, taxon_flags)}
 
 
 def turtle(src: DataFrame, turtle_ds: str, suit_ds: str, ch_keys: list[str]) -> DataFrame:

@@ -10,70 +10,167 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.grid import Grid
+from ..functions.grid import Grid, lon_ranges
+from ..sources.scratch import saved
 
 
-def clip_area(ring: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> float:
-    """Signed area of a ring (n, 2) within a rectangle: half-plane clips, then the shoelace sum."""
+def clip_ring(ring: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> np.ndarray:
+    """A ring (n, 2) within a rectangle, by four half-plane clips; edges may run along the rectangle."""
     for axis, bound, sign in ((0, x0, 1), (0, x1, -1), (1, y0, 1), (1, y1, -1)):
         if not len(ring):
-            return 0.0
+            break
         d = sign * (ring[:, axis] - bound)
         nxt, dn = np.roll(ring, -1, axis=0), np.roll(d, -1)
         out = []
         for p, q, a, b in zip(ring, nxt, d, dn, strict=True):
             if a >= 0:
                 out.append(p)
-            if (a > 0) != (b > 0) and a != b and a * b < 0:
+            if a * b < 0:
                 out.append(p + (q - p) * (a / (a - b)))
         ring = np.array(out).reshape(-1, 2)
-    if not len(ring):
-        return 0.0
+    return ring
+
+
+def ring_area(ring: np.ndarray) -> float:
     x, y = ring[:, 0], ring[:, 1]
-    return float(0.5 * np.sum(x * np.roll(y, -1) - np.roll(x, -1) * y))
+    return abs(float(0.5 * np.sum(x * np.roll(y, -1) - np.roll(x, -1) * y))) if len(ring) else 0.0
+
+
+def clip_area(ring: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> float:
+    """Area of a ring within a rectangle."""
+    return ring_area(clip_ring(ring, x0, y0, x1, y1))
+
+
+def union_area(parts: dict[int, list[np.ndarray]]) -> float:
+    """Area that at least one part covers; a part covers what an odd number of its rings hold, so holes are rings too.
+
+    Between the x of all vertices and crossings no edges cross, so the covered length
+    is linear there and its middle gives the area exactly.
+    """
+    edges = []
+    for part, rings in parts.items():
+        for r in rings:
+            for p, q in zip(r, np.roll(r, -1, axis=0), strict=True):
+                if p[0] != q[0]:
+                    edges.append((part, *(p if p[0] < q[0] else q), *(q if p[0] < q[0] else p)))
+    if not edges:
+        return 0.0
+    e = np.array([x[1:] for x in edges])
+    owner = [x[0] for x in edges]
+    slope = (e[:, 3] - e[:, 1]) / (e[:, 2] - e[:, 0])
+    base = e[:, 1] - slope * e[:, 0]
+    stops = set(e[:, 0].tolist()) | set(e[:, 2].tolist())
+    for i in range(len(e)):
+        d = slope[i] - slope[:i]
+        cross = np.flatnonzero(d != 0)
+        x = (base[:i][cross] - base[i]) / d[cross]
+        inside = (x > np.maximum(e[i, 0], e[:i][cross, 0])) & (x < np.minimum(e[i, 2], e[:i][cross, 2]))
+        stops.update(x[inside].tolist())
+    xs, total = sorted(stops), 0.0
+    for a, b in zip(xs, xs[1:], strict=False):
+        m = (a + b) / 2
+        by: dict[int, list[float]] = {}
+        for k in np.flatnonzero((e[:, 0] <= a) & (e[:, 2] >= b)).tolist():
+            by.setdefault(owner[k], []).append(slope[k] * m + base[k])
+        spans = sorted(pair for ys in by.values() for pair in zip(*[iter(sorted(ys))] * 2, strict=False))
+        top = -np.inf
+        for lo, hi in spans:
+            total += (b - a) * max(0.0, hi - max(lo, top))
+            top = max(top, hi)
+    return total
 
 
 def coverage(rings: DataFrame, g: Grid, key: str = "zone_key") -> DataFrame:
     """(key, cell_id, fraction): rings (key, part, is_hole, xy array of x1, y1, x2, y2..) against the cells of their boxes.
 
-    Only cells of a ring's bounding box are made; parts are summed, holes taken
-    off, and the sum capped at 1.
+    Parts may overlap: what several cover counts once. A ring may cross the dateline,
+    with longitudes that go on beyond 180 or that jump; it is laid over the grid in
+    every turn of 360 degrees. Only cells of a ring's bounding box are made, and only
+    those that several rings touch are gathered. Without a part column all outer rings
+    are parts of their own and holes are taken from all.
     """
     kind = rings.schema[key].dataType.simpleString()
+    named = "part" in rings.columns
 
-    def body(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for k, hole, xy in zip(pdf[key], pdf["is_hole"], pdf["xy"], strict=True):
+            for k, part, hole, xy in zip(pdf[key], pdf["part"], pdf["is_hole"], pdf["xy"], strict=True):
                 ring = np.asarray(xy, float).reshape(-1, 2)
                 if len(ring) < 3:
                     continue
-                if g.lon360:
-                    ring = np.column_stack([np.where(ring[:, 0] < g.xmin, ring[:, 0] + 360, ring[:, 0]), ring[:, 1]])
-                c0, c1 = (int(np.floor((v - g.xmin) / g.res + e)) for v, e in ((ring[:, 0].min(), 1e-9), (ring[:, 0].max(), -1e-9)))
+                ring = np.column_stack([np.unwrap(ring[:, 0], period=360), ring[:, 1]])
                 r0, r1 = (int(np.floor((g.ymax - v) / g.res + e)) for v, e in ((ring[:, 1].max(), 1e-9), (ring[:, 1].min(), -1e-9)))
-                cells, parts = [], []
-                for r in range(max(r0, 0), min(r1, g.nrow - 1) + 1):
-                    for c in range(max(c0, 0), min(c1, g.ncol - 1) + 1):
-                        x, y = g.xmin + c * g.res, g.ymax - (r + 1) * g.res
-                        a = abs(clip_area(ring, x, y, x + g.res, y + g.res)) / g.res**2
-                        if a > 1e-12:
-                            cells.append(r * g.ncol + c + 1)
-                            parts.append(-a if hole else a)
-                    if len(cells) > 100_000:
-                        yield pd.DataFrame({key: k, "cell_id": cells, "part_area": parts})
-                        cells, parts = [], []
-                yield pd.DataFrame({key: pd.Series([k] * len(cells), dtype=pdf[key].dtype), "cell_id": np.array(cells, np.int64), "part_area": np.array(parts, float)})
-
-    parts = rings.select(key, "is_hole", "xy").mapInPandas(body, f"{key} {kind}, cell_id long, part_area double")
-    return parts.groupBy(key, "cell_id").agg(F.least(F.sum("part_area"), F.lit(1.0)).alias("fraction"))
-
-
-def cells_in_polygon(cov: DataFrame, keep_zero: bool = False) -> DataFrame:
+                rows: list[tuple] = []
+                for turn in (-720, -360, 0, 360, 720):
+                    moved = ring + [turn, 0]
+                    c0, c1 = (int(np.floor((v - g.xmin) / g.res + e)) for v, e in ((moved[:, 0].min(), 1e-9), (moved[:, 0].max(), -1e-9)))
+                    if c1 < 0 or c0 >= g.ncol:
+                        continue
+                    for r in range(max(r0, 0), min(r1, g.nrow - 1) + 1):
+                        y = g.ymax - (r + 1) * g.res
+                        strip = clip_ring(moved, moved[:, 0].min(), y, moved[:, 0].max(), y + g.res)
+                        for c in range(max(c0, 0), min(c1, g.ncol - 1) + 1):
+                            x = g.xmin + c * g.res
+                            own = (clip_ring(strip, x, y, x + g.res, y + g.res) - [x, y]) / g.res
+                            area = ring_area(own)
+                            if area > 1e-12:
+                                rows.append((k, r * g.ncol + c + 1, part, hole, area, own.ravel().tolist()))
+                        if len(rows) > 20_000:
+                            yield pd.DataFrame(rows, columns=names)
+                            rows = []
+                if rows:
+                    yield pd.DataFrame(rows, columns=names)
+
+    def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for k, cell, found in zip(pdf[key], pdf["cell_id"], pdf["rings"], strict=True):
+                parts: dict[int, list[np.ndarray]] = {}
+                for x in found:
+                    for p in [x["part"]] if named or not x["is_hole"] else {y["part"] for y in found if not y["is_hole"]}:
+                        parts.setdefault(p, []).append(np.asarray(x["xy"], float).reshape(-1, 2))
+                out.append((k, cell, min(1.0, union_area(parts))))
+            yield pd.DataFrame(out, columns=[key, "cell_id", "fraction"])
+
+    names = [key, "cell_id", "part", "is_hole", "area", "xy"]
+    df = rings if named else rings.withColumn("part", F.monotonically_increasing_id())
+    cut = df.select(key, F.col("part").cast("long").alias("part"), "is_hole", "xy").mapInPandas(pieces, f"{key} {kind}, cell_id long, part long, is_hole boolean, area double, xy array<double>")
+    cells = cut.groupBy(key, "cell_id").agg(F.count("*").alias("n"), F.sum(F.when(F.col("is_hole"), 0.0).otherwise(F.col("area"))).alias("one"), F.collect_list(F.struct("part", "is_hole", "xy")).alias("rings"))
+    many = cells.where("n > 1").select(key, "cell_id", "rings").mapInPandas(joined, f"{key} {kind}, cell_id long, fraction double")
+    return cells.where("n = 1").select(key, "cell_id", F.least("one", F.lit(1.0)).alias("fraction")).unionByName(many).where("fraction > 1e-12")
+
+
+def whole_percents(cov: DataFrame, keep_zero: bool = False) -> DataFrame:
     """Whole percents, half to even; cells that round to 0 go unless the older rule keeps them."""
     out = cov.withColumn("pct_covered", F.bround(F.col("fraction") * 100).cast("int")).drop("fraction")
     return out if keep_zero else out.where("pct_covered > 0")
 
 
+def cells_in_polygon(rings: DataFrame, source: DataFrame | Grid, g: Grid | None = None, key: str = "zone_key") -> DataFrame:
+    """(key, cell_id, pct_covered) of polygons.
+
+    source is a cell table: its cells (lon, lat, where it has them, are filtered to the
+    polygons' box first, in one or two ranges of longitude) on grid g, less those that
+    round to 0; or a grid alone, whose cells all count, those that round to 0 too.
+    """
+    if isinstance(source, Grid):
+        return whole_percents(coverage(rings, source, key), keep_zero=True)
+    if g is None:
+        raise ValueError("a cell table needs the grid that its cell ids are of")
+    cells = source
+    if {"lon", "lat"} <= set(cells.columns):
+        at = lambda k: F.transform(F.filter("xy", lambda x, i: i % 2 == k), lambda x: x)
+        box = rings.agg(*[f(h(at(k))) for k in (0, 1) for f, h in ((F.min, F.array_min), (F.max, F.array_max))]).first()  # one row
+        if box[0] is None:
+            return whole_percents(coverage(rings, g, key))
+        jumps = box[1] - box[0] > 180
+        where = F.lit(False)
+        for a, b in [(-180.0, 180.0)] if jumps else lon_ranges(box[0], box[1]):
+            where |= F.col("lon").between(a - g.res, b + g.res)
+        cells = cells.where(where & F.col("lat").between(box[2] - g.res, box[3] + g.res))
+    return whole_percents(coverage(rings, g, key)).join(cells.select("cell_id"), "cell_id", "left_semi").select(key, "cell_id", "pct_covered")
+
+
 def cells_from_ranges(cov: DataFrame, value: float, cover: bool = False, min_coverage: float = 0.0) -> DataFrame:
     """Flat value for any overlap, or value by coverage (2 places); the largest coverage of a cell counts."""
     best = cov.groupBy("cell_id").agg(F.max("fraction").alias("fraction")).where(F.col("fraction") > min_coverage)
@@ -94,35 +191,44 @@ def rectangle_coverage(rects: DataFrame, keys: list[str], res: float, ncol: int)
     return d.select(*keys, (F.col("r") * ncol + F.col("c") + 1).cast("long").alias("cell_id"), (w * h / (res * res)).alias("fraction")).where("fraction > 0")
 
 
-def nearest(targets: DataFrame, sources: DataFrame, k: int = 8, block: int = 4096) -> DataFrame:
-    """(id, src_id, dist): the k sources nearest to each target on the unit sphere, ties by src_id.
-
-    Sources are a bounded reference set, checked before they are broadcast; targets
-    are taken in blocks against all of them.
-    """
-    n = sources.count()
-    if n > 2_000_000:
-        raise ValueError("too many sources to broadcast; take them region by region")
-    s = sources.select("src_id", "lon", "lat").orderBy("src_id").toPandas()
-    shared = targets.sparkSession.sparkContext.broadcast((s["src_id"].to_numpy(np.int64), _unit(s["lon"], s["lat"])))
-
-    def body(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, xyz = shared.value
-        for pdf in batches:
-            for a in range(0, len(pdf), block):
-                part = pdf.iloc[a : a + block]
-                near = _unit(part["lon"], part["lat"]) @ xyz.T
-                m = min(k, len(ids))
-                order = np.lexsort((np.broadcast_to(ids, near.shape), -np.round(near, 15)), axis=1)[:, :m]
-                dot = np.take_along_axis(near, order, 1)
-                yield pd.DataFrame({"id": np.repeat(part["id"].to_numpy(np.int64), m), "src_id": ids[order].ravel(), "dist": np.sqrt(np.maximum(0, 2 - 2 * dot)).ravel()})
+def _unit(df: DataFrame, **names: str) -> DataFrame:
+    lon, lat = F.radians("lon"), F.radians("lat")
+    return df.select(*[F.col(c).alias(n) for c, n in names.items()], (F.cos(lat) * F.cos(lon)).alias("x"), (F.cos(lat) * F.sin(lon)).alias("y"), F.sin(lat).alias("z"))
 
-    return targets.select("id", "lon", "lat").mapInPandas(body, "id long, src_id long, dist double")
 
+def nearest(targets: DataFrame, sources: DataFrame, k: int = 8) -> DataFrame:
+    """(id, src_id, dist): the k sources nearest to each target on the unit sphere, ties (to 9 places) by src_id; exact.
 
-def _unit(lon, lat) -> np.ndarray:
-    r, p = np.radians(np.asarray(lon, float)), np.radians(np.asarray(lat, float))
-    return np.column_stack([np.cos(p) * np.cos(r), np.cos(p) * np.sin(r), np.sin(p)])
+    Points fall into cubes of a side; all sources within a side of a target lie in its
+    27 cubes, so a target is done when its k-th source there is that near. The others
+    go on with twice the side, until it spans the sphere. The first side is what a few
+    sources share at an even density, so crowded places are done in the first rounds.
+    """
+    t, s = _unit(targets, id="id"), _unit(sources, src_id="src_id")
+    n = sources.count()
+    out, side = None, min(2.0, (max(1, k) / max(1, n)) ** 0.5)
+    cube = lambda c: F.floor(F.col(c) / side).cast("int")
+    while n:
+        around = F.explode(F.sequence(F.lit(-1), F.lit(1)))
+        near = s.select("src_id", F.col("x").alias("sx"), F.col("y").alias("sy"), F.col("z").alias("sz"), cube("x").alias("i"), cube("y").alias("j"), cube("z").alias("l"))
+        ask = t.select("*", (cube("x")).alias("_i"), cube("y").alias("_j"), cube("z").alias("_l"))
+        for c, d in (("_i", "i"), ("_j", "j"), ("_l", "l")):
+            ask = ask.withColumn("_o", around).withColumn(d, (F.col(c) + F.col("_o")).cast("int")).drop("_o", c)
+        gap = [(F.col(a) - F.col(b)) * (F.col(a) - F.col(b)) for a, b in (("x", "sx"), ("y", "sy"), ("z", "sz"))]
+        pairs = ask.join(near, ["i", "j", "l"]).select("id", "src_id", F.sqrt(gap[0] + gap[1] + gap[2]).alias("dist"))
+        w = Window.partitionBy("id").orderBy(F.round("dist", 9), "src_id")
+        best = saved(pairs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r"), "nearest")
+        last = side >= 2
+        if last:
+            return best if out is None else out.unionByName(best)
+        done = best.groupBy("id").agg(F.count("*").alias("n"), F.max("dist").alias("far")).where((F.col("n") == min(k, n)) & (F.col("far") <= side)).select("id")
+        part = best.join(done, "id", "left_semi")
+        out = part if out is None else out.unionByName(part)
+        t = saved(t.join(done, "id", "left_anti"), "targets")
+        if t.isEmpty():
+            return out
+        side = min(2.0, side * 2)
+    return targets.sparkSession.createDataFrame([], "id long, src_id long, dist double")
 
 
 def weights(near: DataFrame, power: float = 2.0, radius_km: float | None = None) -> DataFrame:

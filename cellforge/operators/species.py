@@ -10,15 +10,17 @@ from ..functions import grid
 from ..functions.keys import component_label
 from ..sources.catalog import Catalog
 
+#: Columns of a species table; categories that are left out.
 GROUP = ["sp_cat", "sp_common", "sp_scientific", "taxon_id", "taxon_authority", "er_code", "er_score", "is_mmpa", "is_mbta", "mdl_key"]
 COLUMNS = [*GROUP, "area_km2", "avg_suit", "suit_er", "suit_er_area", "cat_suit_er_area", "pct_cat"]
+LEFT_OUT = ("reptile", "amphibian")
 
 
 def _taxa(cat: Catalog) -> DataFrame:
     """Eligible taxa with canonical columns; columns that a generation lacks are typed nulls."""
     k, t = cat.species_columns(None), cat["taxon"]
     have = lambda c, expr, kind: expr if c in t.columns else F.lit(None).cast(kind)
-    t = t.where(F.col(k["valid"]) & ~F.col("sp_cat").isin("reptile", "amphibian"))
+    t = t.where(F.col(k["valid"]) & ~F.col("sp_cat").isin(*LEFT_OUT))
     if k["marine"]:
         t = t.where(F.col(k["marine"]))
     return t.select(
@@ -28,14 +30,20 @@ def _taxa(cat: Catalog) -> DataFrame:
     )
 
 
+#: Rows of a model table up to which it is broadcast.
+BROADCAST_ROWS = 1 << 20
+
+
 def _source(cat: Catalog, tiles: list[int] | None) -> tuple[DataFrame, str, str]:
     """The cell-oriented twin where it exists (with a literal tile filter), else model_cell."""
     if "cell_model" in cat:
         df = cat["cell_model"]
-        if "mdl_id" in df.columns and "mdl_key" not in df.columns:
-            df = df.join(F.broadcast(cat["model"].select("mdl_id", "mdl_key")), "mdl_id") if "model" in cat else df
         if tiles is not None and "tile" in df.columns:
             df = df.where(F.col("tile").isin(tiles))
+        if "mdl_id" in df.columns and "mdl_key" not in df.columns and "model" in cat:
+            model = cat["model"].select("mdl_id", "mdl_key")
+            small = model.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+            df = df.join(F.broadcast(model) if small else model, "mdl_id")
         key = next(c for c in ("mdl_key", "mdl_seq", "ms_merge_key") if c in df.columns)
         return df, key, cat.value("cell_model")
     k = cat.species_columns()
@@ -43,19 +51,38 @@ def _source(cat: Catalog, tiles: list[int] | None) -> tuple[DataFrame, str, str]
 
 
 def aggregate(cat: Catalog, covered: DataFrame, by: list[str], tiles: list[int] | None = None) -> DataFrame:
-    """Area and mean suitability by taxon over covered cells (cell_id, pct_covered and the columns of by)."""
+    """Area and mean suitability by taxon over covered cells (cell_id, pct_covered and the columns of by).
+
+    Model cells of other taxa go before the sums; the taxon's descriptions join the sums.
+    """
     src, key, val = _source(cat, tiles)
-    src = src.select("cell_id", F.col(key).cast("string").alias("mdl_key"), F.col(val).cast("double").alias("_v"))
-    rows = src.join(covered, "cell_id").join(cat["cell"].select("cell_id", "area_km2"), "cell_id").join(_taxa(cat), "mdl_key")
+    taxa = _taxa(cat)
+    src = src.select("cell_id", F.col(key).cast("string").alias("mdl_key"), F.col(val).cast("double").alias("_v")).join(taxa.select("mdl_key"), "mdl_key", "left_semi")
     pct = F.col("pct_covered")
-    return rows.groupBy(*by, *GROUP).agg(F.sum(F.col("area_km2") * pct / 100.0).alias("area_km2"), (F.try_divide(F.sum(F.col("_v") * pct), F.sum(pct)) / 100.0).alias("avg_suit"))
+    cells = covered.join(cat["cell"].select("cell_id", "area_km2"), "cell_id").select(*by, "cell_id", pct, (F.col("area_km2") * pct / 100.0).alias("_a"))
+    sums = src.join(cells, "cell_id").groupBy(*by, "mdl_key").agg(F.sum("_a").alias("area_km2"), (F.try_divide(F.sum(F.col("_v") * pct), F.sum(pct)) / 100.0).alias("avg_suit"))
+    return sums.join(taxa, "mdl_key").select(*by, *GROUP, "area_km2", "avg_suit")
 
 
 def shares(df: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Contribution of a species to its category."""
+    """Contribution of a species to its category.
+
+    The categories' sums are grouped, with partial sums, and joined back: no task holds a category.
+    """
+    keys = [*(by or []), "sp_cat"]
     df = df.withColumn("suit_er", F.col("avg_suit") * F.col("er_score")).withColumn("suit_er_area", F.col("suit_er") * F.col("area_km2"))
-    df = df.withColumn("cat_suit_er_area", F.coalesce(F.sum("suit_er_area").over(Window.partitionBy(*(by or []), "sp_cat")), F.lit(0.0)))
-    return df.withColumn("pct_cat", F.try_divide("suit_er_area", "cat_suit_er_area")).select(*(by or []), *COLUMNS)
+    sums = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.sum("suit_er_area").alias("_s"))
+    on = None
+    for k in keys:
+        same = F.col(k).eqNullSafe(F.col(f"_{k}"))
+        on = same if on is None else on & same
+    out = df.join(sums, on).withColumn("cat_suit_er_area", F.coalesce("_s", F.lit(0.0)))
+    return out.withColumn("pct_cat", F.try_divide("suit_er_area", "cat_suit_er_area")).select(*(by or []), *COLUMNS)
+
+
+def listed(df: DataFrame) -> DataFrame:
+    """A species table in its published order."""
+    return df.orderBy("sp_cat", "sp_scientific", "mdl_key")
 
 
 def tile_check(cat: Catalog) -> None:

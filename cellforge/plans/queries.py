@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import grid, keys
 from ..operators import fingerprint, identity, merge, spatial, species, validate
 from ..sources import files
-from .bindings import catalog, ctes, flags, load, view
+from .bindings import catalog, ctes, load, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,7 +38,7 @@ fused AS (SELECT r.ms_merge_key, r.cell_id, greatest(r.er, coalesce(am.am, 0)) A
 
 def _merged(spark, d):
     b = view(spark, d, "b")
-    return merge.merge(b, view(spark, d, "taxon"), flags(b), view(spark, d, "us_cells"))
+    return merge.merge(b, view(spark, d, "taxon"), None, view(spark, d, "us_cells"))
 
 
 @query(_RANGE + "SELECT ms_merge_key, cell_id, er FROM b_range")

@@ -99,7 +99,7 @@ def test_polygon_coverage(spark):
     ring = lambda x0, y0, x1, y1: [x0, y0, x1, y0, x1, y1, x0, y1]
     rings = spark.createDataFrame([("sq", False, ring(-121.0, 34.0, -119.0, 34.1)), ("half", False, ring(-120.05, 34.95, -120.025, 35.0)), ("hole", False, ring(0.0, 0.0, 0.1, 0.1)), ("hole", True, ring(0.0, 0.0, 0.05, 0.05))], "zone_key string, is_hole boolean, xy array<double>")
     got = {}
-    for r in spatial.cells_in_polygon(spatial.coverage(rings, g)).collect():
+    for r in spatial.whole_percents(spatial.coverage(rings, g)).collect():
         got.setdefault(r.zone_key, []).append(r.pct_covered)
     assert got["sq"] == [100] * 80 and got["half"] == [50] and got["hole"] == [100] * 3
     u = np.array([[0, 0], [3, 0], [3, 3], [2, 3], [2, 1], [1, 1], [1, 3], [0, 3]], float)
