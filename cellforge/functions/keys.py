@@ -40,6 +40,7 @@ def parse_key(key: Column) -> dict[str, Column]:
     }
 
 
+#: Fixed values in clean_name, noaa_code, noaa_mmpa, er_score and component_label: name patterns, status phrases, risk weights, label patterns.
 def clean_name(name: Column, binomial: bool = False) -> Column:
     x = F.regexp_replace(name, r"\s*\(=[^)]*\)", "")
     x = F.regexp_replace(x, r"\s+(ssp|spp|subsp|var)\.?\s+", " ")
@@ -113,5 +114,15 @@ def content_key(grid: Column, digest: Column, ext: str = "tif") -> Column:
     return F.format_string(f"cog/%s/%s.{ext}", grid, digest)
 
 
+def content_url(grid: Column, digest: Column, base: str, ext: str = "tif") -> Column:
+    return F.concat(F.lit(base.rstrip("/") + "/"), content_key(grid, digest, ext))
+
+
+def escape_html(text: Column) -> Column:
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        text = F.replace(text, F.lit(a), F.lit(b))
+    return text
+
+
 def encoded_hash(digest: Column, encoding: Column) -> Column:
     return F.lower(F.lpad(F.hex(F.xxhash64(F.concat(digest, F.lit("|"), encoding))), 16, "0"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,12 @@ def hash_table(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return content_hashes(df, [], sorted(columns or df.columns))
 
 
+def hash_query(spark: SparkSession, source: str, columns: list[str] | None = None, **tables: DataFrame) -> DataFrame:
+    """`hash_table` of a view's or table's name, or of a SELECT over views or the given tables."""
+    df = spark.sql(source, **tables) if len(source.split()) > 1 else tables[source] if source in tables else spark.table(source)
+    return hash_table(df, columns)
+
+
 def digest_lanes(df: DataFrame) -> DataFrame:
     """n_rows, n_groups and four 32-bit lanes: the xor over distinct rows of md5(row text, count)."""
     row = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})

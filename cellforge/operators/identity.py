@@ -37,15 +37,19 @@ def assign_mdl_id(keys: DataFrame, published: DataFrame | None = None, key: str
 
 
 def match_taxa(d: DataFrame, itis: DataFrame, worms: DataFrame, rest: DataFrame | None = None) -> DataFrame:
-    """worms_id by ITIS id, then by exact accepted or scientific name, then from a third source (name, worms_id)."""
-    i = itis.groupBy(F.col("taxonID").alias("itis_id")).agg(F.min("acceptedNameUsageID").alias("_a"))
-    w = worms.groupBy(F.col("scientificName").alias("name")).agg(F.min("acceptedNameUsageID").alias("_b"))
-    out = d.join(i, "itis_id", "left").join(w, "name", "left")
+    """worms_id by ITIS id, then by exact scientific name, then from a third source (name, worms_id).
+
+    A row whose id or name has several targets is returned once for each distinct one;
+    the first source that has any decides.
+    """
+    targets = lambda t, key, name, of: t.where(F.col(of).isNotNull()).groupBy(F.col(key).alias(name)).agg(F.sort_array(F.collect_set(of)))
+    out = d.join(targets(itis, "taxonID", "itis_id", "acceptedNameUsageID").toDF("itis_id", "_a"), "itis_id", "left")
+    out = out.join(targets(worms, "scientificName", "name", "acceptedNameUsageID").toDF("name", "_b"), "name", "left")
     ids = [F.col("_a"), F.col("_b")]
     if rest is not None:
-        out = out.join(rest.groupBy("name").agg(F.min("worms_id").alias("_c")), "name", "left")
+        out = out.join(targets(rest, "name", "name", "worms_id").toDF("name", "_c"), "name", "left")
         ids.append(F.col("_c"))
-    return out.withColumn("worms_id", F.coalesce(*ids)).withColumn("botw_id", F.lit(None).cast("long")).drop("_a", "_b", "_c")
+    return out.withColumn("worms_id", F.explode_outer(F.coalesce(*ids))).withColumn("botw_id", F.lit(None).cast("long")).drop("_a", "_b", "_c")
 
 
 def dataset_is_scored(datasets: DataFrame, relation: DataFrame | None, merged: str = "ms_merge") -> DataFrame:
@@ -58,16 +62,23 @@ def dataset_is_scored(datasets: DataFrame, relation: DataFrame | None, merged: s
 CLASS = ["ds_key", "asset_type", "representation"]
 
 
-def registry_merge(old: DataFrame, new: DataFrame, allow_shrink: tuple[tuple[str, str, str], ...] = ()) -> DataFrame:
-    """New rows, and the old rows of classes the new registry lacks; a class must not shrink unless allowed."""
-    a, b = old.groupBy(*CLASS).agg(F.count("*").alias("n_old")), new.groupBy(*CLASS).agg(F.count("*").alias("n_new"))
-    less = a.join(b, CLASS).where("n_new < n_old").select(*CLASS, "n_old", "n_new")
-    for c in allow_shrink:
-        less = less.where(~((F.col("ds_key") == c[0]) & (F.col("asset_type") == c[1]) & (F.col("representation") == c[2])))
-    bad = less.head(1)
+def registry_merge(old: DataFrame, new: DataFrame, allow_shrink: bool = False) -> DataFrame:
+    """New rows, and the old rows of classes the new registry lacks; a class must not shrink.
+
+    allow_shrink takes the new registry as it is: nothing is carried and nothing refused.
+    Null class columns are a class like any other.
+    """
+    if allow_shrink:
+        return new
+    a, b = old.groupBy(*CLASS).agg(F.count("*").alias("n_old")), new.groupBy(*[F.col(c).alias(f"_{c}") for c in CLASS]).agg(F.count("*").alias("n_new"))
+    same = None
+    for c in CLASS:
+        on = F.col(c).eqNullSafe(F.col(f"_{c}"))
+        same = on if same is None else same & on
+    bad = a.join(b, same).where("n_new < n_old").orderBy(*CLASS).head(5)
     if bad:
-        raise ValueError(f"class {bad[0]} shrank")
-    return new.unionByName(old.join(b.select(*CLASS), CLASS, "left_anti").select(*old.columns), allowMissingColumns=True)
+        raise ValueError("classes shrank: " + ", ".join(f"{r['ds_key']}/{r['asset_type']}/{r['representation']} {r['n_old']} to {r['n_new']}" for r in bad))
+    return new.unionByName(old.join(b, same, "left_anti").select(*old.columns), allowMissingColumns=True)
 
 
 def zone_set_resolve(registry: DataFrame, wanted: DataFrame) -> DataFrame:

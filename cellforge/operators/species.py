@@ -85,14 +85,32 @@ def listed(df: DataFrame) -> DataFrame:
     return df.orderBy("sp_cat", "sp_scientific", "mdl_key")
 
 
-def tile_check(cat: Catalog) -> None:
-    """Raises where a row of cell_model is not in the tile that the reported grid width gives; pruning would drop such rows."""
+def tile_check(cat: Catalog) -> bool:
+    """Raises where a cell of cell_model is not in the tile that the reported grid width gives, or there is none; pruning would drop such rows. All rows are checked."""
     if "cell_model" not in cat or "tile" not in cat["cell_model"].columns:
-        return
+        return True
     width = cat.tile_width()
-    bad = cat["cell_model"].where(~F.col("tile").eqNullSafe(grid.tile(F.col("cell_id"), width))).select("cell_id", "tile").first()
-    if bad:
-        raise ValueError(f"cell_model tile ids do not match the grid width {width}: cell {bad['cell_id']} is stored in tile {bad['tile']}")
+    cells = cat["cell_model"].groupBy("cell_id").agg(F.min("tile").alias("tile"), F.max("tile").alias("_top"))
+    wrong = ~(F.col("tile").eqNullSafe(grid.tile(F.col("cell_id"), width)) & F.col("tile").eqNullSafe(F.col("_top")))
+    r = cells.agg(F.count("*").alias("n"), F.count_if(wrong).alias("bad"), F.min(F.when(wrong, F.struct("cell_id", "tile", grid.tile(F.col("cell_id"), width).alias("want")))).alias("one")).first()
+    if not r["n"]:
+        raise ValueError("cell_model has no rows to check")
+    if r["bad"]:
+        x = r["one"]
+        raise ValueError(f"cell_model tile ids do not match the grid width {width}: cell {x['cell_id']} is stored in tile {x['tile']}, not {x['want']}; {r['bad']} of {r['n']} cells disagree")
+    return True
+
+
+def top(df: DataFrame, n: int = 10, by: str = "suit_er_area") -> DataFrame:
+    """The n species of a table with the largest values, ties by model key."""
+    return df.orderBy(F.desc_nulls_last(by), "mdl_key").limit(n)
+
+
+def report(df: DataFrame, model_url: str) -> DataFrame:
+    """A species table as shown: an address by model key, percentages, published order; either generation's key."""
+    key = "mdl_key" if "mdl_key" in df.columns else "mdl_seq"
+    pct = lambda c: F.round(F.col(c) * 100, 1)
+    return df.select("sp_cat", "sp_common", "sp_scientific", F.concat(F.lit(model_url), F.url_encode(F.col(key).cast("string"))).alias("model_url"), "er_code", pct("er_score").alias("er_pct"), "is_mmpa", "is_mbta", F.round("area_km2", 0).alias("area_km2"), pct("avg_suit").alias("suit_pct"), pct("pct_cat").alias("pct_cat")).orderBy("sp_cat", "sp_scientific", "model_url")
 
 
 def for_cells(cat: Catalog, cells: DataFrame, cell_list: list[int] | None = None) -> DataFrame:

@@ -37,12 +37,19 @@ def zone_metric_scores(cat: Catalog, field: str = "programarea_key", zone_set: s
             raise ValueError(f"no zone of set {zone_set}")
     z = z.select("zone_seq", F.col(cat.value("zone")).cast("string").alias("zone_key"))
     zm = cat["zone_metric"].select("zone_seq", "metric_seq", F.col(cat.value("zone_metric")).cast("double").alias("score"))
-    return z.join(zm, "zone_seq").join(cat["metric"].select("metric_seq", "metric_key"), "metric_seq").select("zone_key", "metric_key", "score")
+    return z.join(zm, "zone_seq").join(cat["metric"].select("metric_seq", "metric_key"), "metric_seq").select("zone_seq", "zone_key", "metric_key", "score")
+
+
+def pra_score_delta(a: Catalog, b: Catalog, metric: str, labels: tuple[str, str] = ("a", "b"), zone_set: str | None = None) -> DataFrame:
+    """Scores of one metric by program area in two releases, of whatever generation, largest change first."""
+    x, y = (zone_metric_scores(c, zone_set=zone_set).where(F.col("metric_key") == metric).select("zone_key", "score") for c in (a, b))
+    return score_delta(x, y, "zone_key", labels=labels)
 
 
 def zone_score_delta(a: DataFrame, b: DataFrame) -> DataFrame:
-    """By shared metric over shared zones: counts, means, deltas and correlation; the smallest score of a repeated zone counts."""
-    x, y = (d.groupBy("zone_key", "metric_key").agg(F.min("score").alias(n)) for d, n in ((a, "sa"), (b, "sb")))
+    """By shared metric over shared zones: counts, means, deltas and correlation; of a repeated zone the row with the smallest zone_seq counts, or the smallest score without one."""
+    first = lambda d: F.min_by("score", "zone_seq") if "zone_seq" in d.columns else F.min("score")
+    x, y = (d.groupBy("zone_key", "metric_key").agg(first(d).alias(n)) for d, n in ((a, "sa"), (b, "sb")))
     d = x.join(y, ["zone_key", "metric_key"]).withColumn("d", F.col("sb") - F.col("sa"))
     sd = F.stddev_samp("sa") * F.stddev_samp("sb")
     cor = F.when((F.count("*") > 2) & (sd > 0), F.try_divide(F.covar_samp("sa", "sb"), sd))

@@ -1,12 +1,16 @@
-"""Pipelines as graphs of targets, and the release registry."""
+"""Pipelines as graphs of targets, and signed version tokens."""
 
 from __future__ import annotations
 
 import hashlib
 import hmac
-import re
+import os
+import secrets
 import time
 from dataclasses import dataclass, field
+from functools import cache
+
+from .releases import is_version
 
 
 @dataclass
@@ -43,24 +47,14 @@ def plan(targets: list[Target], exclude: tuple[str, ...] = ()) -> list[str]:
     return out
 
 
-def is_version(v: str) -> bool:
-    return re.fullmatch(r"v[0-9]+[a-z]?", v) is not None
-
+@cache
+def _own_secret() -> str:
+    return secrets.token_hex(32)
 
-def resolve_version(registry: dict, wanted: str = "latest") -> str:
-    """A known version by name; the latest is never a prerelease."""
-    known = {v["version"]: v for v in registry["versions"]}
-    if wanted == "latest":
-        return registry.get("latest") or max((v for v, x in known.items() if not x.get("prerelease")), key=lambda v: int(re.sub(r"\D", "", v)))
-    if wanted not in known:
-        raise ValueError(f"unknown version {wanted}; known: {', '.join(known)}")
-    return wanted
 
-
-def access(registry: dict, version: str) -> str:
-    """Anything not stated public is restricted."""
-    x = next((v for v in registry["versions"] if v["version"] == version), {})
-    return "public" if x.get("access") == "public" and not x.get("prerelease") else "restricted"
+def token_secret(env: str = "TOKEN_SECRET") -> str:
+    """The environment's secret, else one of this process."""
+    return os.environ.get(env) or _own_secret()
 
 
 def sign(version: str, secret: str, expires: int) -> str:
@@ -76,13 +70,3 @@ def verify(token: str | None, secret: str, now: float | None = None) -> str | No
     if not hmac.compare_digest(sign(parts[0], secret, int(parts[1])), token) or int(parts[1]) < (now or time.time()):
         return None
     return parts[0]
-
-
-def manifest(tables: dict[str, list[str]], version: str) -> dict:
-    """Capabilities of a release from its tables' columns; what is not there is False."""
-    has = lambda t, *c: t in tables and set(c) <= set(tables[t])
-    return {"version": version, "capabilities": {"polygon": has("cell", "lon", "lat"), "tiles": has("cell_model", "tile"), "zone_taxon": "zone_taxon" in tables, "zone_sets": has("zone", "zone_set_key"), "cell_scores": "cell_metric" in tables, "zone_scores": "zone_metric" in tables}}
-
-
-def can(m: dict, what: str) -> bool:
-    return bool(m.get("capabilities", {}).get(what, False))

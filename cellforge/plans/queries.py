@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..functions import grid, keys
 from ..operators import fingerprint, identity, merge, spatial, species, validate
 from ..sources import files
+from ..sources.catalog import Catalog, cell_grid
+from ..sources.scratch import scratch_path
+from . import releases
 from .bindings import catalog, ctes, load, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,13 +119,23 @@ def species_shares(spark, d):
     return species.shares(p).select("sp_cat", "taxon_id", F.round("pct_cat", 9).alias("pct_cat"))
 
 
-@query("SELECT p_partkey AS taxon_id, p_size / 100.0::DOUBLE AS er_score, cast(NULL AS BOOLEAN) AS is_mmpa, cast(p_partkey AS VARCHAR) AS mdl_key, round(0.5 * p_size / 100.0::DOUBLE * p_retailprice, 6) AS suit_er_area FROM part")
+_V = "SELECT {v} AS vintage, p_partkey AS taxon_id, p_size / 100.0::DOUBLE AS er_score, {m} AS is_mmpa, {k} AS mdl_key, round(0.5 * p_size / 100.0::DOUBLE * p_retailprice, 6) AS suit_er_area FROM part"
+
+
+@query(" UNION ALL ".join(_V.format(v=v, m="cast(NULL AS BOOLEAN)" if v == 1 else "p_partkey % 3 = 0", k="'k' || p_partkey" if v == 8 else "cast(p_partkey AS VARCHAR)") for v in (1, 3, 8)))
 def zone_taxon_vintages(spark, d):
-    p = load(spark, d, "part").select(
-        F.col("p_type").alias("sp_cat"), F.col("p_brand").alias("sp_common"), F.col("p_name").alias("sp_scientific"), F.col("p_partkey").alias("taxon_id"), F.lit("WORMS").alias("taxon_authority"),
-        F.col("p_partkey").alias("mdl_seq"), F.lit("EN").alias("rl_code"), F.col("p_size").cast("double").alias("er_score"), F.col("p_retailprice").alias("area_km2"), F.lit(0.5).alias("avg_suit"),
-    )
-    return species.normalise_vintage(p).select("taxon_id", "er_score", "is_mmpa", "mdl_key", r6("suit_er_area"))
+    p, out = load(spark, d, "part"), None
+    common = [F.col("p_type").alias("sp_cat"), F.col("p_brand").alias("sp_common"), F.col("p_name").alias("sp_scientific"), F.col("p_partkey").alias("taxon_id"), F.lit("WORMS").alias("taxon_authority"), F.col("p_retailprice").alias("area_km2"), F.lit(0.5).alias("avg_suit")]
+    part, mmpa = F.col("p_size").cast("double") / 100, [(F.col("p_partkey") % 3 == 0).alias("is_mmpa"), F.lit(False).alias("is_mbta")]
+    own = {
+        1: [F.col("p_partkey").alias("mdl_seq"), F.lit("EN").alias("rl_code"), part.alias("rl_score")],
+        3: [F.col("p_partkey").alias("mdl_seq"), F.lit("EN").alias("rl_code"), (part * 100).alias("er_score"), *mmpa],
+        8: [F.concat(F.lit("k"), F.col("p_partkey").cast("string")).alias("mdl_key"), F.lit("EN").alias("er_code"), part.alias("er_score"), *mmpa],
+    }
+    for v, columns in own.items():
+        x = species.normalise_vintage(p.select(*common, *columns)).select(F.lit(v).alias("vintage"), "taxon_id", "er_score", "is_mmpa", "mdl_key", r6("suit_er_area"))
+        out = x if out is None else out.unionByName(x)
+    return out
 
 
 # ---- scores
@@ -158,9 +171,9 @@ def flower_petals(spark, d):
     return species.petals(n, "component", "score", "even").select("component", "ymax", "ymin", "xmax")
 
 
-@query(ctes("taxon") + "SELECT taxon_id, sp_cat, er_score FROM taxon ORDER BY er_score DESC, taxon_id LIMIT 10")
+@query(ctes("taxon") + "SELECT taxon_id, mdl_key, er_score FROM (SELECT taxon_id, ms_merge_key AS mdl_key, er_score FROM taxon) ORDER BY er_score DESC, mdl_key LIMIT 10")
 def topk_species(spark, d):
-    return view(spark, d, "taxon").select("taxon_id", "sp_cat", "er_score").orderBy(F.desc("er_score"), "taxon_id").limit(10)
+    return species.top(view(spark, d, "taxon").withColumnRenamed("ms_merge_key", "mdl_key"), 10, "er_score").select("taxon_id", "mdl_key", "er_score")
 
 
 # ---- identity
@@ -180,10 +193,10 @@ def noaa_status(spark, d):
     return s.select("taxon_id", keys.noaa_code(F.col("s")).alias("code"), keys.noaa_mmpa(F.col("s")).alias("is_mmpa"))
 
 
-_KEY = "CASE p_partkey % 3 WHEN 0 THEN 'ms_merge|WORMS:' || cast(p_partkey AS {s}) WHEN 1 THEN 'am|' || p_name || '|annual' ELSE 'rng|' || p_name END"
+_KEY = "CASE p_partkey % 3 WHEN 0 THEN 'ms_merge|WORMS:' || cast(p_partkey AS {s}) || CASE WHEN p_partkey % 2 = 0 THEN ':x' ELSE '' END WHEN 1 THEN 'am|' || p_name || '|annual' ELSE 'rng|' || p_name END"
 
 
-@query("SELECT k, split_part(k, '|', 1) AS ds_key, nullif(split_part(k, '|', 2), '') AS sp_id, nullif(split_part(k, '|', 3), '') AS interval_key, CASE WHEN k LIKE 'ms_merge|%' THEN split_part(split_part(k, '|', 2), ':', 1) END AS authority, CASE WHEN k LIKE 'ms_merge|%' THEN split_part(split_part(k, '|', 2), ':', 2) END AS taxon_id FROM (SELECT " + _KEY.format(s="VARCHAR") + " AS k FROM part)")
+@query("SELECT k, split_part(k, '|', 1) AS ds_key, nullif(split_part(k, '|', 2), '') AS sp_id, nullif(split_part(k, '|', 3), '') AS interval_key, CASE WHEN k LIKE 'ms_merge|%' THEN split_part(split_part(k, '|', 2), ':', 1) END AS authority, CASE WHEN k LIKE 'ms_merge|%' THEN substr(split_part(k, '|', 2), strpos(split_part(k, '|', 2), ':') + 1) END AS taxon_id FROM (SELECT " + _KEY.format(s="VARCHAR") + " AS k FROM part)")
 def mdl_key_parse(spark, d):
     k = load(spark, d, "part").selectExpr(_KEY.format(s="STRING") + " AS k")
     p = keys.parse_key(F.col("k"))
@@ -209,11 +222,11 @@ def clean_sci_name(spark, d):
     return load(spark, d, "part").select(F.col("p_partkey").alias("taxon_id"), keys.clean_name(x).alias("name"), keys.clean_name(x, True).alias("binomial"))
 
 
-@query("""WITH d AS (SELECT c_custkey AS itis_id, 'NATION_' || (c_custkey % 40) AS name FROM customer), i AS (SELECT o_custkey AS itis_id, min(o_orderkey) AS a FROM orders WHERE o_custkey % 2 = 0 GROUP BY 1), w AS (SELECT n_name AS name, cast(n_nationkey + 7 AS bigint) AS b FROM nation)
+@query("""WITH d AS (SELECT c_custkey AS itis_id, 'NATION_' || (c_custkey % 40) AS name FROM customer), i AS (SELECT DISTINCT o_custkey AS itis_id, cast(o_orderkey % 3 AS bigint) AS a FROM orders WHERE o_custkey % 2 = 0), w AS (SELECT n_name AS name, cast(n_nationkey + 7 AS bigint) AS b FROM nation)
 SELECT d.itis_id, d.name, coalesce(i.a, w.b) AS worms_id FROM d LEFT JOIN i USING (itis_id) LEFT JOIN w USING (name)""")
 def match_taxa_cascade(spark, d):
     t = load(spark, d, "customer").selectExpr("c_custkey AS itis_id", "'NATION_' || cast(c_custkey % 40 AS string) AS name")
-    i = load(spark, d, "orders").selectExpr("CASE WHEN o_custkey % 2 = 0 THEN o_custkey END AS taxonID", "o_orderkey AS acceptedNameUsageID")
+    i = load(spark, d, "orders").selectExpr("CASE WHEN o_custkey % 2 = 0 THEN o_custkey END AS taxonID", "cast(o_orderkey % 3 AS bigint) AS acceptedNameUsageID")
     w = load(spark, d, "nation").selectExpr("n_name AS scientificName", "cast(n_nationkey + 7 AS bigint) AS acceptedNameUsageID")
     return identity.match_taxa(t, i, w).select("itis_id", "name", "worms_id")
 
@@ -228,8 +241,7 @@ def dataset_is_scored(spark, d):
 SELECT taxon_id, 'am' AS ds_key, am AS mdl_seq FROM w WHERE am IS NOT NULL UNION ALL SELECT taxon_id, 'bl', bl FROM w WHERE bl IS NOT NULL UNION ALL SELECT taxon_id, 'ms_merge', mdl_seq FROM w""")
 def taxon_unpivot(spark, d):
     w = load(spark, d, "part").selectExpr("p_partkey AS taxon_id", "CASE WHEN p_partkey % 2 = 0 THEN p_partkey * 10 END AS am", "CASE WHEN p_partkey % 3 = 0 THEN p_partkey * 10 + 1 END AS bl", "p_partkey AS mdl_seq")
-    long = identity.taxon_unpivot(w.drop("mdl_seq").withColumn("mdl_seq", F.lit(None).cast("long")), ["am", "bl"])
-    return long.unionByName(w.select("taxon_id", F.lit("ms_merge").alias("ds_key"), "mdl_seq"))
+    return identity.taxon_unpivot(w, ["am", "bl"])
 
 
 _REG = "WITH o AS (SELECT 'c' || (c_custkey % 7) AS ds_key, 'cog' AS asset_type, 'model' AS representation, c_name AS mdl_key FROM customer), n AS (SELECT 'c' || (c_custkey % 7) AS ds_key, 'cog' AS asset_type, 'model' AS representation, c_name || '_v2' AS mdl_key FROM customer WHERE c_custkey % 7 < 4)"
@@ -283,10 +295,20 @@ def tile_ids(spark, d):
     return load(spark, d, "orders").select("o_orderkey", grid.tile(F.expr(_CELL), 7200).alias("tile"))
 
 
-@query("SELECT cast((cell_id - 1) // 10 AS bigint) AS tile, cell_id, max(val) AS val FROM (SELECT cast(l_suppkey % 100 + 1 AS bigint) AS cell_id, l_quantity * 2 AS val FROM lineitem) WHERE cell_id IN (3, 57) GROUP BY 1, 2")
+_TILED = "l_suppkey * 97001 % 25920000 + 1"
+
+
+@query(f"SELECT cast((cell_id - 1) // 7200 // 50 * 144 + (cell_id - 1) % 7200 // 50 AS bigint) AS tile, cell_id, max(val) AS val FROM (SELECT cast({_TILED} AS bigint) AS cell_id, l_quantity * 2 AS val FROM lineitem) WHERE cell_id IN (3 * 97001 + 1, 57 * 97001 + 1) GROUP BY 1, 2")
 def tile_prune_scan(spark, d):
-    b = view(spark, d, "b").groupBy("cell_id").agg(F.max("val").alias("val")).withColumn("tile", F.floor((F.col("cell_id") - 1) / 10))
-    return b.where(F.col("tile").isin(0, 5) & F.col("cell_id").isin(3, 57)).select("tile", "cell_id", "val")
+    """Writes the cells by tile, then reads two of them through the tiles they lie in."""
+    b = load(spark, d, "lineitem").selectExpr(f"cast({_TILED} AS bigint) AS cell_id", "cast(l_quantity * 2 AS double) AS val").groupBy("cell_id").agg(F.max("val").alias("val"))
+    b = b.withColumn("mdl_key", F.lit("m")).withColumn("tile", grid.tile(F.col("cell_id"), 7200))
+    path = scratch_path(spark, "tiles")
+    files.write_parquet(b, path, partition_by=["tile"])
+    cat = Catalog({"cell_model": spark.read.parquet(path), "cell_grid": cell_grid(spark, "global05")})
+    wanted = [3 * 97001 + 1, 57 * 97001 + 1]
+    src, _, val = species._source(cat, grid.tiles_of(wanted, cat.tile_width()))
+    return src.where(F.col("cell_id").isin(wanted)).select(F.col("tile").cast("long").alias("tile"), "cell_id", F.col(val).alias("val"))
 
 
 _LON = "cast(c_custkey * 53 % 360 AS double) - 180"
@@ -373,9 +395,14 @@ def pct_marine(spark, d):
     return validate.pct_marine(c, c.where("cell_id % 3 = 0"), "area_km2")
 
 
-@query("SELECT n_zones, n_nations FROM (SELECT count(*) AS n_zones, count(DISTINCT s_nationkey) AS n_nations FROM supplier)")
-def report_keys(spark, d):
-    return load(spark, d, "supplier").agg(F.count("*").alias("n_zones"), F.countDistinct("s_nationkey").alias("n_nations"))
+@query(ctes("zone") + " SELECT cast(NULL AS VARCHAR) AS zone_set_key, tbl, fld, count(*) AS n FROM zone GROUP BY 2, 3")
+def zone_units(spark, d):
+    return releases.zone_units(catalog(spark, d))
+
+
+@query(ctes("metric", "cell_metric") + " SELECT metric_seq, metric_key FROM metric WHERE metric_seq IN (SELECT metric_seq FROM cell_metric)")
+def cell_metrics(spark, d):
+    return releases.cell_metrics(catalog(spark, d))
 
 
 @query(ctes("b") + " SELECT count(*) AS n_rows, count(DISTINCT ms_merge_key) AS n_models, min(val) AS val_min, max(val) AS val_max FROM b")
@@ -390,13 +417,13 @@ def fingerprint_groups(spark, d):
     return fingerprint.content_hashes(s, ["mdl"], ["cell_id", "val"]).groupBy("content_hash", "n").agg(F.count("*").alias("models")).select("n", "models")
 
 
-_ROW = """'{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '","n_regionkey":' || n_regionkey || '}'"""
+_ROW = """'{"c_nationkey":' || c_nationkey || ',"c_mktsegment":"' || c_mktsegment || '"}'"""
 _LANE = "bit_xor(('0x' || substr(m, {a}, 8))::BIGINT) AS lane{k}"
 
 
-@query(f"WITH g AS (SELECT {_ROW} AS r, count(*) AS n FROM nation GROUP BY 1), h AS (SELECT n, md5(r || chr(31) || n) AS m FROM g) SELECT cast(sum(n) AS BIGINT) AS n_rows, count(*) AS n_groups, {', '.join(_LANE.format(a=8 * k + 1, k=k) for k in range(4))} FROM h")
+@query(f"WITH g AS (SELECT {_ROW} AS r, count(*) AS n FROM customer GROUP BY 1), h AS (SELECT n, md5(r || chr(31) || n) AS m FROM g) SELECT cast(sum(n) AS BIGINT) AS n_rows, count(*) AS n_groups, {', '.join(_LANE.format(a=8 * k + 1, k=k) for k in range(4))} FROM h")
 def parquet_digest(spark, d):
-    return fingerprint.digest_lanes(load(spark, d, "nation"))
+    return fingerprint.digest_lanes(load(spark, d, "customer").select("c_nationkey", "c_mktsegment"))
 
 
 @query("WITH a AS (SELECT n_name AS name, n_regionkey AS x FROM nation WHERE n_nationkey < 20), b AS (SELECT n_name AS name, CASE WHEN n_nationkey % 4 = 0 THEN -1 ELSE n_regionkey END AS x FROM nation WHERE n_nationkey > 4) SELECT name, CASE WHEN b.x IS NULL THEN 'missing' WHEN a.x IS NULL THEN 'extra' WHEN a.x = b.x THEN 'same' ELSE 'changed' END AS status FROM a FULL JOIN b USING (name)")
@@ -451,3 +478,34 @@ def bilinear_resample(spark, d):
     src = load(spark, d, "supplier").selectExpr("s_suppkey % 10 AS col", "s_suppkey div 10 AS row", "s_acctbal AS val")
     t = load(spark, d, "nation").selectExpr("cast(n_nationkey AS bigint) AS id", "n_nationkey * 0.3125D AS x", "n_regionkey * 1.25D AS y")
     return spatial.bilinear(t, src).select("id", F.round("val", 4).alias("val"))
+
+
+# two rectangles a zone that overlap, laid over the dateline on the half-degree grid
+_HALF = grid.Grid(720, 360, -180.0, 90.0, 0.5, False)
+_TWO = "SELECT n_nationkey AS k, 176 + n_nationkey * 0.25::DOUBLE AS x0, 178 + n_nationkey * 0.25::DOUBLE AS x1, 177.25 + n_nationkey * 0.25::DOUBLE AS u0, 179.4 + n_nationkey * 0.25::DOUBLE AS u1, n_regionkey * 1.3::DOUBLE AS y0, n_regionkey * 1.3::DOUBLE + 1.1 AS y1, n_regionkey * 1.3::DOUBLE + 0.6 AS v0, n_regionkey * 1.3::DOUBLE + 2.2 AS v1 FROM nation"
+
+
+@query(f"""WITH r AS ({_TWO}), c AS (SELECT k, a.i AS c, b.i AS r, 175 + a.i * 0.5 AS l, 9 - b.i * 0.5 AS t, x0, x1, u0, u1, y0, y1, v0, v1 FROM r, range(30) a(i), range(20) b(i)),
+o AS (SELECT k, c, r, greatest(0, least(x1, l + 0.5) - greatest(x0, l)) * greatest(0, least(y1, t) - greatest(y0, t - 0.5)) + greatest(0, least(u1, l + 0.5) - greatest(u0, l)) * greatest(0, least(v1, t) - greatest(v0, t - 0.5))
+  - greatest(0, least(x1, u1, l + 0.5) - greatest(x0, u0, l)) * greatest(0, least(y1, v1, t) - greatest(y0, v0, t - 0.5)) AS area FROM c)
+SELECT k, cast((r + 162) * 720 + (c + 710) % 720 + 1 AS bigint) AS cell_id, round(area / 0.25, 6) AS fraction FROM o WHERE area > 1e-9""")
+def polygon_union(spark, d):
+    n = load(spark, d, "nation").selectExpr("n_nationkey AS k", "n_nationkey * 0.25D AS o", "n_regionkey * 1.3D AS y")
+    ring = "array({x0} + o, y + {y0}, {x1} + o, y + {y0}, {x1} + o, y + {y1}, {x0} + o, y + {y1})"
+    parts = "array(struct(1L AS part, {a} AS xy), struct(2L AS part, {b} AS xy))".format(a=ring.format(x0="176D", x1="178D", y0="0D", y1="1.1D"), b=ring.format(x0="177.25D", x1="179.4D", y0="0.6D", y1="2.2D"))
+    rings = n.select("k", F.explode(F.expr(parts)).alias("p")).select("k", "p.part", F.lit(False).alias("is_hole"), "p.xy")
+    return spatial.coverage(rings, _HALF, "k").where("fraction > 4e-9").select("k", "cell_id", r6("fraction"))
+
+
+_FINE = "cast({k} * 7919 % 36000 AS double) / 100 - 179.995 AS lon, cast({k} * 104729 % 17000 AS double) / 100 - 84.995 AS lat"
+_XYZ = "cos(radians(lat)) * cos(radians(lon)) AS x, cos(radians(lat)) * sin(radians(lon)) AS y, sin(radians(lat)) AS z"
+
+
+@query(f"""WITH t AS (SELECT *, {_XYZ} FROM (SELECT cast(n_nationkey AS bigint) AS id, {_POINT.format(k='n_nationkey')} FROM nation)), s AS (SELECT *, {_XYZ} FROM (SELECT o_orderkey AS src_id, {_FINE.format(k='o_orderkey')} FROM orders)),
+p AS (SELECT id, src_id, sqrt((t.x - s.x) * (t.x - s.x) + (t.y - s.y) * (t.y - s.y) + (t.z - s.z) * (t.z - s.z)) AS dist FROM t, s)
+SELECT id, src_id, round(dist, 6) AS dist FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(dist, 9), src_id) AS r FROM p) WHERE r <= 8""")
+def nearest_orders(spark, d):
+    split = lambda x: x.replace(", cast", "|cast").split("|")
+    t = load(spark, d, "nation").selectExpr("cast(n_nationkey AS bigint) AS id", *split(_POINT.format(k="n_nationkey")))
+    s = load(spark, d, "orders").selectExpr("o_orderkey AS src_id", *split(_FINE.format(k="o_orderkey")))
+    return spatial.nearest(t, s, 8).select("id", "src_id", r6("dist"))

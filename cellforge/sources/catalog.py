@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.grid import grid
+
 VIEWS = ("cell", "taxon", "model", "zone", "zone_cell", "zone_taxon", "metric", "cell_metric", "zone_metric", "dataset", "cell_grid")
 
 
@@ -73,9 +77,45 @@ class Catalog:
             out |= {"mkey": self.column(cells, "model key", "mdl_key", "mdl_seq", "ms_merge_key"), "val": self.value(cells)}
         return out
 
+    def exclude(self, name: str, *columns: str) -> DataFrame:
+        """All columns of a table but these."""
+        return self[name].drop(*columns)
+
     def tile_width(self) -> int:
         if "cell_grid" in self:
             row = self["cell_grid"].select("ncol").first()
             if row:
                 return int(row[0])
         return 7200
+
+
+def cell_grid(spark: SparkSession, name: str) -> DataFrame:
+    """The one-row table that tells the width of the grid that cell ids are of."""
+    g = grid(name)
+    return spark.createDataFrame([(name, g.ncol, g.nrow)], "grid_id string, ncol int, nrow int")
+
+
+def write_cell_grid(spark: SparkSession, base: str, name: str) -> DataFrame:
+    out = cell_grid(spark, name)
+    out.coalesce(1).write.mode("overwrite").parquet(f"{base}/cell_grid.parquet")
+    return out
+
+
+def require_spark(spark: SparkSession, least: str) -> None:
+    """The engine's version floor."""
+    number = lambda v: [int(x) for x in re.findall(r"\d+", v)[:3]]
+    if number(spark.version) < number(least):
+        raise ValueError(f"Spark {least} or later is needed, this is {spark.version}")
+
+
+def content_index(lines: DataFrame, grid_id: str, column: str = "line") -> DataFrame:
+    """hash: the distinct content hashes of a store's listing under cog/{grid}/."""
+    found = F.regexp_extract(column, rf"cog/{re.escape(grid_id)}/([0-9a-f]{{16}})\.tif$", 1)
+    return lines.select(found.alias("hash")).where("hash <> ''").distinct()
+
+
+def pages(total: int, size: int | None) -> list[tuple[int, int]]:
+    """(offset from 1, rows) of the requests that fetch `total` rows, `size` at a time; one without a size."""
+    if total < 0 or (size is not None and size < 1):
+        raise ValueError("total must not be negative, size at least 1")
+    return [(1, total)] if size is None else [(a + 1, min(size, total - a)) for a in range(0, total, size)]

@@ -39,17 +39,23 @@ def write_manifest(path: str, target: str, content_hash: str, stats: dict, force
 
 
 def forced(target: str, env: str = "FORCE_TARGETS") -> bool:
+    # fixed values: what counts as true
     v = os.environ.get(env, "").strip()
     return v.lower() in ("1", "true", "yes", "t", "on") or target in [x.strip() for x in v.split(",") if x.strip()]
 
 
 def parquet_manifest(spark: SparkSession, root: str) -> list[dict]:
-    """A digest for each {name}.parquet or {name}/ under root, sorted by name."""
+    """A digest for each {name}.parquet or {name}/ under root, sorted by name; any store that Spark reads."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [(x.getPath().getName(), x.getPath().toString(), x.isDirectory()) for x in fs.listStatus(top)]
     out = []
-    for p in sorted(Path(root).iterdir()):
-        if p.suffix == ".parquet" or p.is_dir():
-            df = read_any(spark, str(p))
-            out.append({"name": p.name.removesuffix(".parquet"), "n_files": len(df.inputFiles()), "bytes": sum(f.stat().st_size for f in ([p] if p.is_file() else p.rglob("*.parquet")))} | table_digest(df))
+    for name, path, folder in sorted(found):
+        if name.endswith(".parquet") or (folder and not name.startswith(("_", "."))):
+            df = read_any(spark, path)
+            size = fs.getContentSummary(jvm.org.apache.hadoop.fs.Path(path)).getLength()
+            out.append({"name": name.removesuffix(".parquet"), "n_files": len(df.inputFiles()), "bytes": size} | table_digest(df))
     return out
 
 
@@ -73,6 +79,7 @@ def pipeline_targets(root: str, key: str = "target") -> list[dict]:
 
 def listing(lines: DataFrame, column: str = "line") -> DataFrame:
     """(key, size) of a store's text listing."""
+    # fixed value: a line of the listing
     p = r"^\S+\s+\S+\s+(\d+)\s+(.+)$"
     return lines.where(F.col(column).rlike(p)).select(F.regexp_extract(column, p, 2).alias("key"), F.regexp_extract(column, p, 1).cast("long").alias("size"))
 
