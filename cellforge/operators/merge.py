@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 KEY = "ms_merge_key"
 
 
 def by_cell(b: DataFrame) -> DataFrame:
-    """(key, cell_id, am, ams, has_range): one pass over (key, ds_key, cell_id, val); ams has every model value, repeats too."""
-    model = F.when(F.col("ds_key") == "am", F.col("val"))
-    return b.groupBy(KEY, "cell_id").agg(F.max(model).alias("am"), F.collect_list(model).alias("ams"), F.bool_or(F.col("ds_key") != "am").alias("has_range"))
+    """(key, cell_id, am, has_range): one pass over (key, ds_key, cell_id, val)."""
+    return b.groupBy(KEY, "cell_id").agg(F.max(F.when(F.col("ds_key") == "am", F.col("val"))).alias("am"), F.bool_or(F.col("ds_key") != "am").alias("has_range"))
+
+
+def flags(cells: DataFrame) -> DataFrame:
+    """(key, has_am, has_range) of every taxon."""
+    return cells.groupBy(KEY).agg(F.bool_or(F.col("am").isNotNull()).alias("has_am"), F.bool_or("has_range").alias("has_range"))
 
 
 def _ranged(cells: DataFrame, taxon: DataFrame) -> DataFrame:
@@ -37,26 +40,22 @@ def merge_global(cells: DataFrame, taxon: DataFrame) -> DataFrame:
     return _ranged(cells, taxon).select(KEY, "cell_id", _fused().alias("val"))
 
 
-def merge_us(cells: DataFrame, taxon: DataFrame, us_cells: DataFrame, taxon_flags: DataFrame | None = None) -> DataFrame:
+def merge_us(b: DataFrame, cells: DataFrame, taxon: DataFrame, us_cells: DataFrame, taxon_flags: DataFrame | None = None) -> DataFrame:
     """Merged cells within the US, and raw model cells there of taxa without a range; duplicates are kept.
 
-    Without taxon_flags a taxon has a range if one of its cells has; a taxon's cells are
-    as many as the grid's at most, which bounds the window. One scan, no union.
+    Without taxon_flags they follow from the cells, whose exchange is read again; b is
+    scanned once for the cells and once for the raw rows.
     """
-    if taxon_flags is None:
-        cells = cells.withColumn("bare", ~F.bool_or("has_range").over(Window.partitionBy(KEY)))
-    else:
-        cells = cells.join(taxon_flags.where("NOT has_range").select(KEY, F.lit(True).alias("bare")).distinct(), KEY, "left").withColumn("bare", F.coalesce("bare", F.lit(False)))
-    cells = cells.join(us_cells.select("cell_id").distinct(), "cell_id", "left_semi").where("has_range OR bare")
-    risk = taxon.select(KEY, F.col("er_score").alias("er"), F.lit(True).alias("known")).distinct()
-    none = F.expr("cast(array() AS array<double>)")
-    vals = F.concat(F.when(F.col("has_range") & F.col("known"), F.array(_fused())).otherwise(none), F.when(F.col("bare"), F.col("ams").cast("array<double>")).otherwise(none))
-    return cells.join(risk, KEY, "left").select(KEY, "cell_id", F.explode(vals).alias("val"))
+    us = us_cells.select("cell_id").distinct()
+    known = taxon_flags if taxon_flags is not None else flags(cells)
+    bare = known.where("has_am AND NOT has_range").select(KEY)
+    only = b.where("ds_key = 'am'").select(KEY, "cell_id", F.col("val").cast("double").alias("val")).join(us, "cell_id", "left_semi").join(bare, KEY, "left_semi")
+    return merge_global(cells, taxon).join(us, "cell_id", "left_semi").select(KEY, "cell_id", "val").unionByName(only)
 
 
 def merge(b: DataFrame, taxon: DataFrame, taxon_flags: DataFrame | None, us_cells: DataFrame) -> dict[str, DataFrame]:
     cells = by_cell(b)
-    return {"b_range": range_footprint(cells, taxon), "b_am_rng": model_at_range(cells, taxon), "global": merge_global(cells, taxon), "us": merge_us(cells, taxon, us_cells, taxon_flags)}
+    return {"b_range": range_footprint(cells, taxon), "b_am_rng": model_at_range(cells, taxon), "global": merge_global(cells, taxon), "us": merge_us(b, cells, taxon, us_cells, taxon_flags)}
 
 
 def turtle(src: DataFrame, turtle_ds: str, suit_ds: str, ch_keys: list[str]) -> DataFrame:
