@@ -1,7 +1,8 @@
-"""Every operator against a brute-force version on rows with nulls, empty and long texts, ties, repeats and clashing columns."""
+"""Operators against brute-force versions, on rows with nulls, empty and long texts, ties, repeats and clashing columns, and on the smaller given tables."""
 
 import hashlib
 import math
+import os
 import random
 import re
 import unicodedata
@@ -560,9 +561,156 @@ def test_stage_rejects_by_score(spark, docs):
     assert {r.doc_id for r in corpus_pipeline.identify_language(spark, none, "").collect()} == {*range(50), 100, 101}
 
 
+def _stage(spark, name, rows, tmp_path, schema="doc_id long, text string, lang string, source string, n_chars long, _text string, key string, comp string"):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    df = spark.createDataFrame([(*r[:5], "x", "y", "z") for r in rows], schema)
+    out = dict(pipeline.STAGES)[name](spark, df, str(tmp_path))
+    if name != "packing":
+        assert out.columns == df.columns
+        assert all((r["_text"], r["key"], r["comp"]) == ("x", "y", "z") for r in out.collect())
+    return sorted((tuple(r)[:5] for r in out.collect()), key=str) if name != "packing" else out.collect()
+
+
+def test_pipeline_stages(spark, tmp_path):
+    """Every stage on rows with nulls, repeats and clashing columns by its plain definition, and on none."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    passage = ROWS[8][1][300:520]
+    spark.createDataFrame([(1, passage), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [*ROWS, (None, ROWS[7][1], "en", "s", 0), (None, None, "en", "s", 0), (7, ROWS[7][1], "en", "s", 0), (60, "begin " + passage + " end", "en", "s", 0)]
+    rows = [r[:5] for r in rows]
+    key = lambda xs: sorted(xs, key=str)
+    for name, _ in pipeline.STAGES:
+        assert _stage(spark, name, [], tmp_path) == []
+    # language: what has letters and is like the learnt profiles; the texts without letters go
+    got = _stage(spark, "language", rows, tmp_path)
+    assert set(got) <= set(rows) and not [r for r in got if not any(c.isalpha() for c in r[1] or "")] and {r for r in rows if r[2] == "en" and r[1] and len(r[1]) > 100 and r[0] in (7, 8, 10, 60)} <= set(got)
+    # near duplicates: the smallest of every group, by all pairs of 5-word sets
+    sets = {}
+    for r in rows:
+        w = words(r[1], True)
+        if r[0] is not None:
+            sets[r[0]] = frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+    comp = {i: i for i in sets}
+    for _ in sets:
+        for i, j in combinations(sets, 2):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                comp[i] = comp[j] = min(comp[i], comp[j])
+    assert _stage(spark, "near_duplicates", rows, tmp_path) == key(r for r in rows if r[0] is None or comp[r[0]] == r[0])
+    # repeated windows: words that a smaller document's windows cover are cut; emptied documents go
+    want = _repeats(ROWS)
+    got = _stage(spark, "repeated_windows", [r[:5] for r in ROWS], tmp_path)
+    assert {r[0]: b" ".join(words(r[1])) for r in got} == {i: x[3] for i, x in want.items() if x[3] or not x[1]}
+    # decontamination: no row with the passage, each by its own text
+    assert _stage(spark, "decontamination", rows, tmp_path) == key(r for r in rows if decontam.normalise(passage) not in decontam.normalise(r[1]))
+    # packing: each id once, in order, gapless in its sequence
+    lib, at, fill = Tokenizer.from_file(WORD), defaultdict(int), defaultdict(list)
+    some = [r for r in rows if r[0] is not None and r[0] != 7]
+    ids = {r[0]: np.array([*lib.encode(r[1] or "", add_special_tokens=False).ids, 1], "<u4") for r in some}
+    for r in sorted(_stage(spark, "packing", some, tmp_path), key=lambda r: (r.doc_id, r.start)):
+        x = ids[r.doc_id]
+        assert r.start == at[r.doc_id] and zlib.crc32(x[r.start : r.start + r.length].tobytes()) == r.ids_crc32
+        at[r.doc_id] += r.length
+        fill[r.sequence_id].append((r.offset, r.length))
+    assert at == {d: len(x) for d, x in ids.items()} and sorted(fill) == list(range(len(fill)))
+    assert all(sum(n for _, n in x) <= 2048 and [o for o, _ in sorted(x)] == [sum(n for _, n in sorted(x)[:k]) for k in range(len(x))] for x in fill.values())
+
+
 def test_pipeline(spark, docs, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     docs.drop("n_words", "key", "part").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, ROWS[8][1][300:520])], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     got = {r.doc_id for r in pipeline.run(spark, str(tmp_path)).collect()}
     assert 7 in got and not got & {0, 1, 2, 8, 22}  # und, the benchmark's, a copy
+
+
+SF = "/root/testdata/sf0.01"
+given = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables here")
+
+
+def _given():
+    import pyarrow.parquet as pq
+
+    return [(i, t) for i, t in zip(*pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"]).to_pydict().values())]
+
+
+@given
+def test_links_of_the_given_documents(spark):
+    """All links among the given documents, by all pairs: none is lost, none is made up."""
+    rows, sets = _given(), {}
+    for i, t in rows:
+        w = words(t, True)
+        sets[i] = frozenset(zip(w, w[1:])) if len(w) >= 2 else frozenset([tuple(w)] if w else [])
+    comp, order = {i: i for i in sets}, sorted(sets, key=lambda i: len(sets[i]))
+    links = []
+    for a, i in enumerate(order):
+        for j in order[a + 1 :]:
+            if 100 * len(sets[i]) < 80 * len(sets[j]):
+                break
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                links.append((i, j))
+    for _ in range(30):
+        for i, j in links:
+            comp[i] = comp[j] = min(comp[i], comp[j])
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.query(spark, SF).collect()}
+    assert links and got == {i: (len(s), comp[i], comp[i] == i) for i, s in sets.items()}
+
+
+@given
+def test_tokens_of_the_given_documents(spark):
+    lib, rows = tokens.library(P.path("byte_bpe_50k.json")), _given()
+    want = {i: (len((t or "").encode()), len(e.ids)) for (i, t), e in zip(rows, lib.encode_batch([t or "" for _, t in rows], add_special_tokens=False))}
+    assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in tokens.query(spark, SF).collect()} == want
+    assert all(r.over_limit == (r.n_tokens > 512) for r in tokens.query(spark, SF).collect())
+
+
+@given
+def test_shards_of_the_given_documents(spark):
+    rows = {i: (len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in _given()}
+    got = shards.query(spark, SF).collect()
+    assert {r.doc_id: (r.size, r.text_crc32) for r in got} == rows and len(got) == len(rows)
+    by = defaultdict(list)
+    for r in got:
+        by[r.shard].append(r.slot)
+        assert (r.law, r.grown_shard) == ("rows", None)
+    assert sorted(by) == list(range(16)) and all(sorted(x) == list(range(len(x))) for x in by.values())
+    assert max(map(len, by.values())) - min(map(len, by.values())) <= 1
+
+
+@given
+def test_languages_of_the_given_documents(spark):
+    """Profiles and predictions by the plain definition: ranks of dictionaries, one n-gram after another."""
+    import pyarrow.parquet as pq
+
+    rows = list(zip(*pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text", "lang"]).to_pydict().values()))[:400]
+
+    def ranks(texts):
+        n = Counter()
+        for t in texts:
+            x = "".join(c.lower()[0] if c.isalpha() else "\0" for c in t)
+            x = "\0" + re.sub("\0+", "\0", x).strip("\0") + "\0"
+            if x == "\0\0":
+                continue
+            n.update(g for k in (1, 2, 3) for g in (x[i : i + k] for i in range(len(x) - k + 1)) if g.strip("\0") and "\0" not in g[1:-1] and g != "\0")
+        code = lambda g: int(language.grams(np.array([ord(c) for c in g], np.uint32)).max()) if len(g) == 3 else (ord(g[0]) << 21) + ord(g[1]) + (1 << 42) if len(g) == 2 else ord(g)
+        return [g for g, _ in sorted(n.items(), key=lambda x: (-x[1], code(x[0])))[: language.PROFILE]]
+
+    train = defaultdict(list)
+    for i, t, lang in rows:
+        if zlib.crc32(str(i).encode()) % 5 and t and lang:
+            train[lang].append(t)
+    profiles = {k: {g: r for r, g in enumerate(ranks(v))} for k, v in train.items()}
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learnt = language.learn(df.where(~language.held_out()).select("text", "lang"))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(df, learnt).collect()}
+    right = 0
+    for i, t, lang in rows:
+        own = ranks([t or ""])
+        if not own:
+            assert got[i] == ("und", 0.0)
+            continue
+        score = {k: 1 - sum(min(abs(p[g] - r), language.PROFILE) if g in p else language.PROFILE for r, g in enumerate(own)) / (language.PROFILE * len(own)) for k, p in profiles.items()}
+        best = max(sorted(score), key=score.get)
+        assert got[i][1] == pytest.approx(score[best], abs=2e-3)
+        assert got[i][0] == best or score[best] - score[got[i][0]] < 2e-3
+        right += lang is None or got[i][0] == lang
+    assert right > 0.97 * len(rows)
