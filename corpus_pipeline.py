@@ -2,7 +2,17 @@
 
 language ID -> near duplicates -> repeated windows -> benchmark passages -> packing.
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept;
-all but the last return the columns of documents.
+all but the last return the columns of documents, others that docs has with them,
+whatever their names.
+
+Defined results, stage by stage. Null or empty texts have no letter: the language
+stage drops them, and where they are given to a later stage they are linked with
+nothing, lose nothing, hold no passage and pack as one end token. Very long texts are
+read whole. Rows with a null doc_id are judged on their own: kept as near duplicates
+of nothing, not cut, decontaminated by their text, packed first. Repeated rows of one
+doc_id are one document to near_duplicates (they stay or go together) and are treated
+alike by the others. Ties of languages go to the one that sorts first, of a group of
+copies to the smallest doc_id. An empty table gives an empty result in every stage.
 """
 
 from __future__ import annotations
