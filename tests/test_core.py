@@ -20,24 +20,27 @@ def _surface(df, key="ms_merge_key"):
 
 @pytest.fixture(scope="module")
 def merged(spark):
-    cells = {
-        ("T_range", "rng"): {1: 1, 2: 1, 100: 1}, ("T_both_mask", "rng"): {1: 1, 2: 1}, ("T_both_mask", "am"): {1: 60, 2: 40, 3: 90, 101: 95},
-        ("T_noeez", "rng"): {100: 1, 101: 1}, ("T_noeez", "am"): {1: 70, 2: 80}, ("T_am_single", "am"): {1: 55, 2: 65, 3: 75},
-    }
-    rows = [(k, ds, c, float(v)) for (k, ds), m in cells.items() for c, v in m.items()] + [("T_am_multi", "am", c, v) for c, v in ((1, 50.0), (1, 60.0), (2, 70.0))]
+    """Taxa with a range alone, with range and model that overlap in part, that never meet, and with a model alone."""
+    rows = [("otter", "iucn", c, 1.0) for c in (3, 4, 40)] + [("seal", "iucn", 3, 1.0), ("seal", "bl", 3, 1.0), ("seal", "am", 3, 12.0), ("seal", "am", 3, 33.0), ("seal", "am", 9, 99.0)]
+    rows += [("whale", "iucn", 50, 1.0), ("whale", "am", 4, 88.0), ("krill", "am", 4, 5.0), ("krill", "am", 4, 5.0), ("krill", "am", 60, 7.0), ("stray", "iucn", 3, 1.0)]
     b = spark.createDataFrame(rows, "ms_merge_key string, ds_key string, cell_id int, val double")
-    names = ["T_range", "T_both_mask", "T_noeez", "T_am_single", "T_am_multi"]
-    taxon = spark.createDataFrame(list(zip(names, [50, 30, 20, 0, 0])), "ms_merge_key string, er_score int")
-    flags = spark.createDataFrame(list(zip(names, [False, True, True, True, True], [True, True, True, False, False])), "ms_merge_key string, has_am boolean, has_range boolean")
-    return merge.merge(b, taxon, flags, spark.createDataFrame([(i,) for i in range(1, 6)], "cell_id int"))
+    taxon = spark.createDataFrame([("otter", 10), ("seal", 25), ("whale", 40), ("krill", 0)], "ms_merge_key string, er_score int")
+    us = spark.createDataFrame([(c,) for c in (3, 4, 5, 9)], "cell_id int")
+    return merge.merge(b, taxon, None, us)
 
 
 def test_merge_us(merged):
-    assert _surface(merged["us"]) == {"T_range": [(1, 50), (2, 50)], "T_both_mask": [(1, 60), (2, 40)], "T_am_single": [(1, 55), (2, 65), (3, 75)], "T_am_multi": [(1, 50), (1, 60), (2, 70)]}
+    assert _surface(merged["us"]) == {"otter": [(3, 10), (4, 10)], "seal": [(3, 33)], "krill": [(4, 5), (4, 5)]}
 
 
 def test_merge_global(merged):
-    assert _surface(merged["global"]) == {"T_range": [(1, 50), (2, 50), (100, 50)], "T_both_mask": [(1, 60), (2, 40)], "T_noeez": [(100, 20), (101, 20)]}
+    assert _surface(merged["global"]) == {"otter": [(3, 10), (4, 10), (40, 10)], "seal": [(3, 33)], "whale": [(50, 40)]}
+    assert {(r.ms_merge_key, r.cell_id, r.am) for r in merged["b_am_rng"].collect()} == {("seal", 3, 33.0)}
+
+
+def test_merge_scans_its_surface_twice(merged):
+    plan = merged["us"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list") == 0
 
 
 def test_turtle(spark):
@@ -47,32 +50,33 @@ def test_turtle(spark):
 
 def _catalog(spark, new, **extra):
     t = {
-        "cell": spark.createDataFrame([(1, 100.0), (2, 200.0)], "cell_id long, area_km2 double"),
-        "zone": spark.createDataFrame([(1, "z", "programarea_key", "AAA")], "zone_seq int, tbl string, fld string, val string"),
-        "zone_cell": spark.createDataFrame([(1, 1, 100.0), (1, 2, 50.0)], "zone_seq int, cell_id long, pct_covered double"),
+        "cell": spark.createDataFrame([(11, 40.0), (12, 10.0), (13, 5.0)], "cell_id long, area_km2 double"),
+        "zone": spark.createDataFrame([(7, "z", "programarea_key", "BAY")], "zone_seq int, tbl string, fld string, val string"),
+        "zone_cell": spark.createDataFrame([(7, 11, 50.0), (7, 12, 100.0)], "zone_seq int, cell_id long, pct_covered double"),
     }
-    rows = [(1, "WORMS", "Aaa aaa", "alpha", "mammal", "NMFS:EN", 50.0, True, False, True), (2, "WORMS", "Bbb bbb", "beta", "mammal", "NMFS:LC", 20.0, False, False, False)]
+    rows = [(4, "WORMS", "Lutra ficta", "otter", "mammal", "IUCN:VU", 30.0, False, False, True), (5, "ITIS", "Phoca ficta", "seal", "mammal", "IUCN:LC", 90.0, True, True, False), (6, "WORMS", "Rana ficta", "frog", "amphibian", "IUCN:LC", 90.0, False, False, True)]
     taxon = spark.createDataFrame(rows, "taxon_id int, taxon_authority string, scientific_name string, common_name string, sp_cat string, extrisk_code string, er_score double, is_mmpa boolean, is_mbta boolean, is_ok boolean")
+    surface = [(11, 60.0, 4), (12, 30.0, 4), (13, 99.0, 4), (11, 50.0, 5), (11, 50.0, 6)]
     if new:
-        taxon = taxon.withColumnRenamed("is_ok", "is_valid_usa").withColumn("is_marine", F.lit(True)).withColumn("ms_merge_key", F.concat(F.lit("ms_merge|WORMS:"), "taxon_id"))
-        mc = spark.createDataFrame([(1, 80.0, 1), (2, 40.0, 1), (1, 10.0, 2)], "cell_id long, val double, t int").select("cell_id", "val", F.concat(F.lit("ms_merge|WORMS:"), "t").alias("mdl_key"))
+        taxon = taxon.withColumnRenamed("is_ok", "is_valid_usa").withColumn("is_marine", F.lit(True)).withColumn("ms_merge_key", F.concat(F.lit("k"), "taxon_id"))
+        mc = spark.createDataFrame([(c, v, f"k{t}") for c, v, t in surface], "cell_id long, val double, mdl_key string")
     else:
-        taxon = taxon.withColumn("mdl_seq", F.col("taxon_id") * 10)
-        mc = spark.createDataFrame([(1, 80.0, 10), (2, 40.0, 10), (1, 10.0, 20)], "cell_id long, value double, mdl_seq int")
+        taxon = taxon.withColumn("mdl_seq", F.col("taxon_id") + 100)
+        mc = spark.createDataFrame([(c, v, t + 100) for c, v, t in surface], "cell_id long, value double, mdl_seq int")
     return Catalog(t | {"taxon": taxon, "model_cell": mc} | extra)
 
 
-@pytest.mark.parametrize("new,key", [(False, "10"), (True, "ms_merge|WORMS:1")])
+@pytest.mark.parametrize("new,key", [(False, "104"), (True, "k4")])
 def test_species_generations(spark, new, key):
-    (r,) = species.for_zone(_catalog(spark, new), "programarea_key", "AAA").collect()
-    assert (r.mdl_key, r.area_km2, round(r.avg_suit, 4), r.er_score, r.pct_cat) == (key, 200, 0.6667, 0.5, 1)
+    (r,) = species.for_zone(_catalog(spark, new), "programarea_key", "BAY").collect()
+    assert (r.mdl_key, r.area_km2, round(r.avg_suit, 6), r.er_score, r.pct_cat) == (key, 30, 0.4, 0.3, 1)
 
 
 def test_species_needs_validity(spark):
     c = _catalog(spark, False)
     c.tables["taxon"] = c["taxon"].drop("is_ok")
     with pytest.raises(ValueError, match="cannot resolve"):
-        species.for_zone(c, "programarea_key", "AAA")
+        species.for_zone(c, "programarea_key", "BAY")
 
 
 def test_vintage_scale(spark):
@@ -94,6 +98,7 @@ def test_grid(spark):
     assert sorted(got) == grid.tiles_of(ids, 7200)
 
 
+#: Cells and tiles of the two grids are in test_grid.
 def test_polygon_coverage(spark):
     g = grid.grid("global05")
     ring = lambda x0, y0, x1, y1: [x0, y0, x1, y0, x1, y1, x0, y1]
