@@ -209,11 +209,11 @@ def mdl_key_build(spark, d):
     return p.select("p_partkey", keys.normalize_ds_key(F.lit("am_0.05")).alias("ds"), keys.raw_key(F.lit("bl"), F.col("p_name"), F.lit("annual")).alias("raw_key"), keys.merged_key(F.lit("worms"), F.col("p_partkey")).alias("merged_key"))
 
 
-@query("""WITH pub AS (SELECT n_name AS mdl_key, cast(n_nationkey * 2 + 1 AS bigint) AS mdl_id FROM nation WHERE n_nationkey % 3 = 0), new AS (SELECT n_name AS mdl_key FROM nation n WHERE NOT EXISTS (SELECT 1 FROM pub WHERE pub.mdl_key = n.n_name))
+@query("""WITH pub AS (SELECT 'NATION_' || r_regionkey * 3 AS mdl_key, cast(r_regionkey * 2 + 1 AS bigint) AS mdl_id FROM region), new AS (SELECT n_name AS mdl_key FROM nation n WHERE NOT EXISTS (SELECT 1 FROM pub WHERE pub.mdl_key = n.n_name))
 SELECT mdl_key, mdl_id FROM pub UNION ALL SELECT mdl_key, (SELECT max(mdl_id) FROM pub) + row_number() OVER (ORDER BY mdl_key) FROM new""")
 def assign_mdl_id(spark, d):
-    n = load(spark, d, "nation")
-    return identity.assign_mdl_id(n.select(F.col("n_name").alias("mdl_key")), n.where("n_nationkey % 3 = 0").selectExpr("n_name AS mdl_key", "cast(n_nationkey * 2 + 1 AS bigint) AS mdl_id"))
+    published = load(spark, d, "region").selectExpr("'NATION_' || cast(r_regionkey * 3 AS string) AS mdl_key", "cast(r_regionkey * 2 + 1 AS bigint) AS mdl_id")
+    return identity.assign_mdl_id(load(spark, d, "nation").select(F.col("n_name").alias("mdl_key")), published)
 
 
 @query("SELECT p_partkey AS taxon_id, 'Genus ' || replace(p_name, ' ', '') || ' minor' AS name, 'Genus ' || replace(p_name, ' ', '') AS binomial FROM part")
@@ -244,14 +244,14 @@ def taxon_unpivot(spark, d):
     return identity.taxon_unpivot(w, ["am", "bl"])
 
 
-_REG = "WITH o AS (SELECT 'c' || (c_custkey % 7) AS ds_key, 'cog' AS asset_type, 'model' AS representation, c_name AS mdl_key FROM customer), n AS (SELECT 'c' || (c_custkey % 7) AS ds_key, 'cog' AS asset_type, 'model' AS representation, c_name || '_v2' AS mdl_key FROM customer WHERE c_custkey % 7 < 4)"
+_REG = "WITH o AS (SELECT 'c' || (c_custkey % 7) AS ds_key, 'cog' AS asset_type, 'model' AS representation, c_name AS mdl_key FROM customer), n AS (SELECT 'c' || (c_custkey % 4) AS ds_key, 'cog' AS asset_type, 'model' AS representation, c_name || '_v2' AS mdl_key FROM customer)"
 
 
 @query(_REG + " SELECT * FROM n UNION ALL SELECT * FROM o WHERE (ds_key, asset_type, representation) NOT IN (SELECT ds_key, asset_type, representation FROM n)")
 def registry_merge(spark, d):
     c = load(spark, d, "customer")
     o = c.selectExpr("'c' || cast(c_custkey % 7 AS string) AS ds_key", "'cog' AS asset_type", "'model' AS representation", "c_name AS mdl_key")
-    n = c.where("c_custkey % 7 < 4").selectExpr("'c' || cast(c_custkey % 7 AS string) AS ds_key", "'cog' AS asset_type", "'model' AS representation", "c_name || '_v2' AS mdl_key")
+    n = c.selectExpr("'c' || cast(c_custkey % 4 AS string) AS ds_key", "'cog' AS asset_type", "'model' AS representation", "c_name || '_v2' AS mdl_key")
     return identity.registry_merge(o, n)
 
 
@@ -350,12 +350,12 @@ def angular_distance(spark, d):
 
 
 # ---- validation
-_AB = "WITH a AS (SELECT o_custkey AS k, max(o_totalprice) AS s FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1), b AS (SELECT o_custkey AS k, max(o_totalprice) AS s FROM orders WHERE o_orderkey % 3 <> 1 GROUP BY 1), j AS (SELECT k, a.s AS score_a, b.s AS score_b, b.s - a.s AS delta FROM a JOIN b USING (k))"
+_AB = "WITH a AS (SELECT o_custkey AS k, max(o_totalprice) AS s FROM orders GROUP BY 1), b AS (SELECT c_custkey AS k, c_acctbal AS s FROM customer), j AS (SELECT k, a.s AS score_a, b.s AS score_b, b.s - a.s AS delta FROM a JOIN b USING (k))"
 
 
 def _delta(spark, d):
-    o = load(spark, d, "orders")
-    a, b = (o.where(f"o_orderkey % 3 <> {k}").groupBy(F.col("o_custkey").alias("k")).agg(F.max("o_totalprice").alias("score")) for k in (0, 1))
+    a = load(spark, d, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.max("o_totalprice").alias("score"))
+    b = load(spark, d, "customer").selectExpr("c_custkey AS k", "c_acctbal AS score")
     return validate.score_delta(a, b, "k")
 
 
@@ -426,11 +426,10 @@ def parquet_digest(spark, d):
     return fingerprint.digest_lanes(load(spark, d, "customer").select("c_nationkey", "c_mktsegment"))
 
 
-@query("WITH a AS (SELECT n_name AS name, n_regionkey AS x FROM nation WHERE n_nationkey < 20), b AS (SELECT n_name AS name, CASE WHEN n_nationkey % 4 = 0 THEN -1 ELSE n_regionkey END AS x FROM nation WHERE n_nationkey > 4) SELECT name, CASE WHEN b.x IS NULL THEN 'missing' WHEN a.x IS NULL THEN 'extra' WHEN a.x = b.x THEN 'same' ELSE 'changed' END AS status FROM a FULL JOIN b USING (name)")
+@query("WITH a AS (SELECT c_custkey * 2 AS name, c_custkey % 2 AS x FROM customer), b AS (SELECT p_partkey AS name, CASE WHEN p_size < 10 THEN -1 ELSE p_partkey % 4 // 2 END AS x FROM part) SELECT name, CASE WHEN b.x IS NULL THEN 'missing' WHEN a.x IS NULL THEN 'extra' WHEN a.x = b.x THEN 'same' ELSE 'changed' END AS status FROM a FULL JOIN b USING (name)")
 def sync_plan(spark, d):
-    n = load(spark, d, "nation")
-    a = n.where("n_nationkey < 20").selectExpr("n_name AS name", "n_regionkey AS digest")
-    b = n.where("n_nationkey > 4").selectExpr("n_name AS name", "CASE WHEN n_nationkey % 4 = 0 THEN -1 ELSE n_regionkey END AS digest")
+    a = load(spark, d, "customer").selectExpr("c_custkey * 2 AS name", "c_custkey % 2 AS digest")
+    b = load(spark, d, "part").selectExpr("p_partkey AS name", "CASE WHEN p_size < 10 THEN -1 ELSE p_partkey % 4 div 2 END AS digest")
     return fingerprint.sync_plan(a, b).select("name", "status")
 
 

@@ -24,7 +24,7 @@ def test_same_rows(spark, name):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables here")
-@pytest.mark.parametrize(("name", "cut"), [("bilinear_resample", "s_suppkey"), ("lon_span", "lon"), ("match_taxa_cascade", "o_custkey")])
+@pytest.mark.parametrize(("name", "cut"), [("bilinear_resample", "s_suppkey"), ("lon_span", "lon"), ("match_taxa_cascade", "o_custkey"), ("sync_plan", "c_custkey"), ("registry_merge", "c_custkey %"), ("assign_mdl_id", "r_regionkey"), ("score_delta", "o_orderkey")])
 def test_whole_tables(spark, name, cut):
     out, c = e.queries()[name](spark, SF), duckdb.connect()
     assert not [x for x in out._jdf.queryExecution().analyzed().toString().splitlines() if "Filter" in x and cut in x]
