@@ -16,13 +16,14 @@ them as context only, so every id is scored once; windows are batched, with a ma
 that is causal and does not cross documents.
 
 What is learnt. One pass over all training texts counts words by 64-bit hash and
-subword ids, and takes one window in SHARE (chosen by its content, from every text).
+subword ids, and keeps all their windows, up to SHARE neighbouring ones a row.
 Classes, shares, chances of going on and the first output bias follow from the id
-counts. The distinct windows are dealt by hash into buckets of about BUCKET windows;
-in each of ROUNDS rounds every bucket trains its own copy of the attention weights by
-gradients, and the copies are averaged, an id's rows by how often a bucket has the
-id. Windows and buckets grow with the input; what reaches the driver is one row an
-id. Counts of words that make up more than 1 / FREQUENT of all training words are
+counts. The distinct rows are dealt by a hash of their ids into buckets of about
+BUCKET windows; in each of ROUNDS rounds every bucket trains its own copy of the
+attention weights by gradients on all its windows, and the copies are averaged, an
+id's rows by how often a bucket has the id. So every training text has its part in
+the weights, copies of a text once. Windows and buckets grow with the input; what
+reaches the driver is one row an id. Counts of words that make up more than 1 / FREQUENT of all training words are
 broadcast (there are at most FREQUENT of them); every other word meets its count in
 a join, so the vocabulary is nowhere held whole.
 
@@ -47,8 +48,8 @@ from pyspark.sql import functions as F
 from . import common, kernel, wordpieces
 
 FOLDS, FREQUENT = 10, 1 << 18
-#: One in so many windows trains the attention weights, in buckets of about so many, so many times.
-SHARE, BUCKET, ROUNDS = 24, 1 << 15, 2
+#: Windows of a text that share a row; windows of a bucket, about; times that all windows train the attention weights.
+SHARE, BUCKET, ROUNDS = 64, 1 << 19, 1
 #: Ids of a window, and of its end that are scored; width of the head; groups of classes, and classes a group; classes with one id.
 CONTEXT, STRIDE, WIDTH, GROUPS, SINGLE = 32, 24, 16, 32, 960
 CLASSES = GROUPS * GROUPS
@@ -181,97 +182,126 @@ def id_logs(m: Attention, ids: np.ndarray, doc: np.ndarray, batch: int = 256) ->
     return out
 
 
-def training_windows(ids: np.ndarray, doc: np.ndarray, share: int = SHARE) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, ids) of one in `share` windows of CONTEXT ids and the one after, chosen by content; each lies in one document, padded beyond it."""
+def training_rows(ids: np.ndarray, doc: np.ndarray, share: int = SHARE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, numbers of windows, ids) of rows that hold all windows of CONTEXT ids and the one after, up to `share` neighbouring ones a row; each lies in one document, padded beyond it."""
     n = np.bincount(doc)
     begin = np.cumsum(n) - n
     per = -(-(n - 1) // STRIDE)
-    of = np.repeat(np.arange(len(n)), per)
-    first = begin[of] + STRIDE * (np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per)) - _LEAD
-    low, high = begin[of], begin[of] + n[of] - 1
-    h = np.zeros(len(first), np.uint64)
-    for k in (_LEAD, _LEAD + 1, _LEAD + 2, 20, CONTEXT):  # enough of a window to tell it from others
-        h = kernel.mix(h * np.uint64(0x9E3779B97F4A7C15) + ids[np.clip(first + k, low, high)].astype(np.uint64) + np.uint64(1))
-    chosen = np.flatnonzero(h % np.uint64(share) == 0)
-    at = first[chosen, None] + np.arange(CONTEXT + 1)
-    inside = (at >= low[chosen, None]) & (at <= high[chosen, None])
-    rows = np.where(inside, ids[np.clip(at, 0, len(ids) - 1)], _PAD).astype(np.uint16)
-    full = h[chosen]
-    for k in range(CONTEXT + 1):
-        full = kernel.mix(full * np.uint64(0xD6E8FEB86659FD93) + rows[:, k])
-    return full, rows
+    rows = -(-per // share)
+    of = np.repeat(np.arange(len(n)), rows)
+    first = share * (np.arange(len(of)) - np.repeat(np.cumsum(rows) - rows, rows))
+    windows = np.minimum(share, per[of] - first)
+    size = _LEAD + STRIDE * windows + 1
+    edge = np.cumsum(size) - size
+    within = np.arange(int(size.sum())) - np.repeat(edge, size)
+    at = np.repeat(STRIDE * first - _LEAD, size) + within  # in the document
+    inside = (at >= 0) & (at < np.repeat(n[of], size))
+    at += np.repeat(begin[of], size)
+    flat = np.where(inside, ids[np.clip(at, 0, len(ids) - 1)], _PAD).astype(np.uint16)
+    h = kernel.mix((within.astype(np.uint64) << np.uint64(16)) | flat)
+    return kernel.mix(np.add.reduceat(h, edge)), windows, flat
+
+
+def all_windows(rows: list[bytes]) -> np.ndarray:
+    """All windows, CONTEXT + 1 ids each, of such rows' ids."""
+    flat = np.frombuffer(b"".join(rows), np.uint16)
+    size = np.array([len(x) // 2 for x in rows])
+    per = (size - _LEAD - 1) // STRIDE
+    start = np.repeat(np.cumsum(size) - size, per) + STRIDE * (np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per))
+    return np.lib.stride_tricks.sliding_window_view(flat, CONTEXT + 1)[start]
 
 
 def _slope(z: np.ndarray, at: np.ndarray, each: np.float32) -> np.ndarray:
     """Gradient of the mean negative log-softmax at the given columns; z is used up."""
-    z -= z.max(axis=1, keepdims=True)
+    if z.max(initial=0) > 80:  # beyond what exp holds
+        z -= z.max(axis=1, keepdims=True)
     np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
-    z[np.arange(len(z)), at] -= 1
-    z *= each
+    z *= (each / (z @ np.ones(z.shape[1], np.float32)))[:, None]
+    z[np.arange(len(z)), at] -= each
     return z
 
 
-def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 32, rate: float = 0.02, seed: int = 11) -> Attention:
+def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate: float = 0.02, seed: int = 11) -> Attention:
     """Train m in place by Adam on windows of CONTEXT + 1 ids (_PAD where there is none)."""
     rng, f = np.random.RandomState(seed), np.float32
     weights = (m.rows, m.bias, m.group, m.inside)
     first, second, step = [np.zeros_like(t) for t in weights], [np.zeros_like(t) for t in weights], 0
-    w = WIDTH
+    w, lag = WIDTH, np.abs(_LAG[_LEAD:])
+    ahead = np.where(_CAUSAL[_LEAD:], f(0), f(-1e4))
     for epoch in range(epochs):
         for chosen in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // batch)):
-            x = rows[chosen].astype(np.int64)
-            there = x != _PAD
+            x = rows[chosen]
+            n, there = len(x), x != _PAD
             x[~there] = START
             t = m.rows.take(x[:, :-1], axis=0)
             q, k, v, own = t[:, _LEAD:, :w], t[:, :, w : 2 * w], t[:, :, 2 * w : 3 * w], t[:, _LEAD:, 3 * w :]
             a = q @ k.transpose(0, 2, 1)
-            a += m.bias[np.abs(_LAG[_LEAD:])]
-            a[~(_CAUSAL[_LEAD:] & there[:, None, :-1])] = -1e4
-            np.minimum(a, 60, out=a)
+            a += m.bias[lag] + ahead
+            if not there.all():
+                a += np.where(there[:, None, :-1], f(0), f(-1e4))
+            if a.max() > 60:
+                np.minimum(a, 60, out=a)
             np.exp(a, out=a)
-            a /= np.maximum(a.sum(axis=2, keepdims=True), f(1e-30))
-            h = a @ v + own
-            flat = np.ones((h.shape[0] * STRIDE, w + 1), f)
+            a /= np.maximum(a.reshape(-1, CONTEXT) @ np.ones(CONTEXT, f), f(1e-30)).reshape(n, STRIDE, 1)
+            mean = a @ v
+            h = mean + own
             np.maximum(h, f(0.1) * h, out=h)
+            flat = np.ones((n * STRIDE, w + 1), f)
             flat[:, :w] = h.reshape(-1, w)
-            ok = (there[:, _LEAD + 1 :] & there[:, _LEAD:-1]).ravel()
             want = m.classes[x[:, _LEAD + 1 :].ravel()]
-            order = np.argsort(np.where(ok, want, CLASSES), kind="stable")[: int(ok.sum())]
-            flat_o, want_o, each = flat[order], want[order], f(1 / max(1, int(ok.sum())))
-            edge = np.searchsorted(want_o, np.arange(GROUPS + 1) * GROUPS)
+            group = (want // GROUPS).astype(np.uint8)
+            group[~(there[:, _LEAD + 1 :] & there[:, _LEAD:-1]).ravel()] = GROUPS
+            order = np.argsort(group, kind="stable")
+            edge = np.searchsorted(group[order], np.arange(GROUPS + 1))
+            order = order[: edge[-1]]
+            flat_o, want_o, each = flat.take(order, axis=0), want[order], f(1 / max(1, len(order)))
             g = _slope(flat_o @ m.group, want_o // GROUPS, each)
             d_group, back = flat_o.T @ g, g @ m.group.T
             z = np.empty((len(flat_o), GROUPS), f)
-            for c in range(GROUPS):
-                np.matmul(flat_o[edge[c] : edge[c + 1]], m.inside[c], out=z[edge[c] : edge[c + 1]])
+            parts = [(c, slice(i, j)) for c, (i, j) in enumerate(zip(edge.tolist(), edge[1:].tolist(), strict=False)) if i < j]
+            for c, part in parts:
+                np.matmul(flat_o[part], m.inside[c], out=z[part])
             g = _slope(z, want_o % GROUPS, each)
             d_inside = np.zeros_like(m.inside)
-            for c in range(GROUPS):
-                if edge[c] < edge[c + 1]:
-                    part = slice(edge[c], edge[c + 1])
-                    np.matmul(flat_o[part].T, g[part], out=d_inside[c])
-                    back[part] += g[part] @ m.inside[c].T
-            dh = np.zeros((len(flat), w), f)
-            dh[order] = back[:, :w] * np.where(flat_o[:, :w] > 0, f(1), f(0.1))
+            for c, part in parts:
+                np.matmul(flat_o[part].T, g[part], out=d_inside[c])
+                back[part] += g[part] @ m.inside[c].T
+            dh = np.zeros((n * STRIDE, w), f)
+            dh[order] = back[:, :w]
+            dh *= np.where(flat[:, :w] > 0, f(1), f(0.1))
             dh = dh.reshape(h.shape)
             da = dh @ v.transpose(0, 2, 1)
-            d = np.zeros_like(t)
-            d[:, :, 2 * w : 3 * w] = a.transpose(0, 2, 1) @ dh
-            da -= (dh * (a @ v)).sum(axis=2, keepdims=True)
+            mean *= dh
+            da -= (mean.reshape(-1, w) @ np.ones(w, f)).reshape(n, STRIDE, 1)
             da *= a
-            d[:, _LEAD:, :w], d[:, :, w : 2 * w], d[:, _LEAD:, 3 * w :] = da @ k, da.transpose(0, 2, 1) @ q, dh
-            d_bias = np.bincount(np.abs(_LAG[_LEAD:]).ravel(), da.sum(0).ravel(), CONTEXT).astype(f)
+            d = np.zeros_like(t)
+            np.matmul(da, k, out=d[:, _LEAD:, :w])
+            np.matmul(da.transpose(0, 2, 1), q, out=d[:, :, w : 2 * w])
+            np.matmul(a.transpose(0, 2, 1), dh, out=d[:, :, 2 * w : 3 * w])
+            d[:, _LEAD:, 3 * w :] = dh
+            d_bias = np.bincount(lag.ravel(), da.sum(0).ravel(), CONTEXT).astype(f)
             seen = x[:, :-1].ravel()
             order = np.argsort(seen, kind="stable")
-            at = np.flatnonzero(np.concatenate([[True], np.diff(seen[order]) > 0]))
-            grads = [(seen[order][at], np.add.reduceat(d.reshape(-1, 4 * w).take(order, axis=0), at)), (slice(None), d_bias), (slice(None), d_group), (slice(None), d_inside)]
+            seen = seen[order]
+            at = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]]))
+            grads = [(seen[at].astype(np.int64), np.add.reduceat(d.reshape(-1, 4 * w).take(order, axis=0), at)), (slice(None), d_bias), (slice(None), d_group), (slice(None), d_inside)]
             step += 1
             scale = rate * min(1.0, step / 10) * (1 - 0.9 * epoch / epochs)
+            by, of = f(scale / (1 - 0.9**step)), f(1 / (1 - 0.99**step))
             for tab, p, s, (i, grad) in zip(weights, first, second, grads, strict=True):
-                p[i] = 0.9 * p[i] + 0.1 * grad
-                s[i] = 0.99 * s[i] + 0.01 * grad * grad
-                tab[i] -= scale * (p[i] / (1 - 0.9**step)) / (np.sqrt(s[i] / (1 - 0.99**step)) + 1e-7)
+                move = f(0.9) * p[i]
+                move += f(0.1) * grad
+                p[i] = move
+                grad *= grad
+                grad *= f(0.01)
+                grad += f(0.99) * s[i]
+                s[i] = grad
+                grad *= of
+                np.sqrt(grad, out=grad)
+                grad += f(1e-7)
+                move *= by
+                move /= grad
+                tab[i] -= move
     return m
 
 
@@ -297,22 +327,41 @@ def unpacked(rows: np.ndarray, like: Attention) -> Attention:
     return Attention(rows[:VOCABULARY].copy(), bias, group.reshape(-1, GROUPS), inside.reshape(GROUPS, -1, GROUPS), like.classes, like.share, like.on, like.off)
 
 
-def trained_round(start: Attention, windows: DataFrame, buckets: int, rate: float) -> Attention:
-    """start, trained on by windows (h, ids): each bucket on its own, then averaged."""
-    spark = windows.sparkSession
+def once(rows: DataFrame) -> DataFrame:
+    """rows (h, ids), each h once a task, so that no bucket is sent all copies of a text."""
+
+    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            new = []
+            for i, h in enumerate(batch.column(0).to_pylist()):
+                if h not in seen:
+                    seen.add(h)
+                    new.append(i)
+            if len(seen) > 1 << 18:
+                seen.clear()
+            yield batch.take(pa.array(new, pa.int64()))
+
+    return rows.mapInArrow(body, "h long, ids binary")
+
+
+def trained_round(start: Attention, rows: DataFrame, buckets: int, rate: float) -> Attention:
+    """start, trained on by the windows of rows (h, ids), each h once: each bucket on its own, then averaged."""
+    spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(start)
     names = [f"w{k}" for k in range(_ROW)]
 
     def body(table: pa.Table) -> pa.Table:
-        table = table.sort_by("h")
-        rows = np.frombuffer(b"".join(table["ids"].to_pylist()), np.uint16).reshape(-1, CONTEXT + 1)
-        own = fit(shared.value.copy(), rows, rate=rate)
-        seen, n = np.unique(rows[:, :-1][rows[:, :-1] != _PAD], return_counts=True)
-        seen, n = np.concatenate([seen.astype(np.int32), np.arange(VOCABULARY, VOCABULARY + _OTHERS, dtype=np.int32)]), np.concatenate([n, np.full(_OTHERS, len(rows))])
-        values = packed(own)[seen] * n[:, None].astype(np.float64)
+        _, one = np.unique(table["h"].to_numpy(), return_index=True)
+        windows = all_windows(table["ids"].take(pa.array(one)).to_pylist())
+        own = fit(shared.value.copy(), windows, rate=rate)
+        n = np.bincount(windows[:, :-1].ravel(), minlength=_PAD + 1)[:VOCABULARY]
+        seen = np.flatnonzero(n)
+        seen, n = np.concatenate([seen, np.arange(VOCABULARY, VOCABULARY + _OTHERS)]).astype(np.int32), np.concatenate([n[seen], np.full(_OTHERS, len(windows))])
+        values = packed(own)[seen] * n[:, None].astype(np.float32)
         return pa.table([pa.array(seen), pa.array(n.astype(np.float64)), *[pa.array(x) for x in np.ascontiguousarray(values.T)]], ["id", "n", *names])
 
-    fitted = windows.withColumn("bucket", F.pmod("h", F.lit(buckets))).groupBy("bucket").applyInArrow(body, ", ".join(["id int", "n double", *[f"{x} double" for x in names]]))
+    fitted = rows.withColumn("bucket", F.pmod("h", F.lit(buckets))).groupBy("bucket").applyInArrow(body, ", ".join(["id int", "n double", *[f"{x} float" for x in names]]))
     summed = common.save(fitted.groupBy("id").agg(F.sum("n").alias("n"), *[F.sum(x).alias(x) for x in names]), "weights")
     found = summed.toPandas()  # at most one row an id
     common.drop(summed, shared)
@@ -323,7 +372,7 @@ def trained_round(start: Attention, windows: DataFrame, buckets: int, rate: floa
 
 
 def gather(texts: DataFrame, path: str, share: int = SHARE) -> DataFrame:
-    """From one pass over texts (text): kind 0 word (64-bit hash, the end's among them) and count, 1 subword id, count and count inside words, 2 hash and ids of a training window."""
+    """From one pass over texts (text): kind 0 word (64-bit hash, the end's among them) and count, 1 subword id, count and count inside words, 2 hash, number of windows and ids of a row of training windows."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -331,10 +380,14 @@ def gather(texts: DataFrame, path: str, share: int = SHARE) -> DataFrame:
         table = wordpieces.shared(path, STRAY, START)
         per_id, inner = np.zeros(VOCABULARY, np.int64), np.zeros(VOCABULARY, np.int64)
 
-        def rows(kind: int, word: np.ndarray, c: np.ndarray | None = None, c2: np.ndarray | None = None, ids: np.ndarray | None = None) -> pa.RecordBatch:
+        def rows(kind: int, word: np.ndarray, c: np.ndarray, c2: np.ndarray | None = None, ids: np.ndarray | None = None) -> pa.RecordBatch:
             n = len(word)
             longs = [pa.nulls(n, pa.int64()) if x is None else pa.array(x.astype(np.int64)) for x in (c, c2)]
-            blobs = pa.nulls(n, pa.binary()) if ids is None else pa.array([x.tobytes() for x in ids], pa.binary())
+            if ids is None:
+                blobs = pa.nulls(n, pa.binary())
+            else:
+                edge = np.concatenate([[0], np.cumsum(2 * (_LEAD + STRIDE * c + 1))])
+                blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(edge), pa.py_buffer(ids)]).cast(pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), pa.array(word.view(np.int64)), *longs, blobs], ["kind", "word", "c", "c2", "ids"])
 
         def merge() -> None:
@@ -357,9 +410,8 @@ def gather(texts: DataFrame, path: str, share: int = SHARE) -> DataFrame:
                 content = (ids != START) & (ids != END)
                 per_id += np.bincount(ids, minlength=VOCABULARY)
                 inner += np.bincount(ids[content & ~last], minlength=VOCABULARY)
-                full, chosen = training_windows(ids, doc, share)
-                if len(full):
-                    yield rows(2, full, ids=chosen)
+                own, windows, flat = training_rows(ids, doc, share)
+                yield rows(2, own, windows, ids=flat)
                 if size > 1 << 20:
                     merge()
                     size = len(held[0][0])
@@ -397,14 +449,14 @@ def learn(training: DataFrame, path: str, share: int = SHARE, bucket: int = BUCK
     raw = common.save(gather(training.select(F.coalesce("text", F.lit("")).alias("text")), path, share), "gathered")
     counts = common.save(raw.where("kind = 0").groupBy("word").agg(F.sum("c").alias("c")), "counts")
     found = raw.where("kind = 1").groupBy("word").agg(F.sum("c").alias("c"), F.sum("c2").alias("c2")).toPandas()  # at most one row an id
-    windows = common.save(raw.where("kind = 2").groupBy(F.col("word").alias("h")).agg(F.first("ids").alias("ids")), "windows")
+    n = raw.where("kind = 2").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    windows = once(raw.where("kind = 2").select(F.col("word").alias("h"), "ids"))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     ids = found["word"].to_numpy(np.int64)
     m = initial(*[np.bincount(ids, found[c].to_numpy(np.float64), VOCABULARY) for c in ("c", "c2")])
-    n = windows.count()
     for k in range(rounds if n else 0):
         m = trained_round(m, windows, max(1, -(-n // bucket)), 0.02 / (k + 1))
-    common.drop(raw, windows)
+    common.drop(raw)
     return Learned(counts, total, distinct, m)
 
 

@@ -455,6 +455,27 @@ def test_language_model_learns_from_all_texts(docs):
     assert np.allclose(again.rows, more.rows, atol=1e-4) and np.allclose(again.inside, more.inside, atol=1e-4)
 
 
+def test_all_windows_train_the_language_model(docs):
+    """Each id of each text is predicted in one training window, whatever the rows that windows share."""
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    lib = Tokenizer.from_file(WORD)
+    ids = Counter(i if i < lm.START else lm.STRAY for r in ROWS for w in words(r[1], True) for i in lib.encode(w.decode(), add_special_tokens=False).ids or [lm.STRAY])
+    rows = lm.gather(texts, WORD).where("kind = 2").select(F.col("word").alias("h"), "ids", "c")
+    held = rows.collect()
+    x = lm.all_windows([bytes(r.ids) for r in held])
+    assert sum(r.c for r in held) == len(x) and max(r.c for r in held) > 1
+    target, before = x[:, lm._LEAD + 1 :], x[:, lm._LEAD : -1]
+    assert Counter(target[(target != lm._PAD) & (before != lm._PAD)].tolist()) == ids | {lm.END: len(ROWS)}
+    single = lm.all_windows([bytes(r.ids) for r in lm.gather(texts, WORD, 1).where("kind = 2").collect()])
+    assert sorted(map(bytes, single)) == sorted(map(bytes, x))
+    # copies train once
+    rows = common.save(rows.drop("c").dropDuplicates(["h"]), "rows")
+    start = lm.initial(*[np.array([ids.get(i, 0) for i in range(lm.VOCABULARY)], float)] * 2)
+    assert lm.once(rows.union(rows).coalesce(1)).count() == rows.count()
+    plain, twice = lm.trained_round(start, rows, 2, 0.02), lm.trained_round(start, rows.union(rows), 2, 0.02)
+    assert np.allclose(plain.rows, twice.rows, atol=1e-4) and np.allclose(plain.inside, twice.inside, atol=1e-4)
+
+
 def test_fit_lowers_its_loss():
     rng = np.random.RandomState(3)
     counts = rng.rand(lm.VOCABULARY) * 9
