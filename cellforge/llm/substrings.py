@@ -46,6 +46,8 @@ from . import common, kernel
 WINDOW, GRAM = 50, 8
 #: Runs of a level before they are compacted; batches of the query.
 FAN_IN, BATCHES = 2, 3
+#: Bytes of text to a bucket of the query's index, where that gives fewer than the session's shuffle partitions.
+BUCKET_BYTES = 16 << 20
 
 
 def anchors(hashes: np.ndarray, row: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -188,10 +190,10 @@ class FingerprintIndex:
         common.write_text(self.spark, f"{self.path}/index.json", json.dumps(self.state))
 
     def _write(self, df: DataFrame, by: list[str]) -> str:
-        """A bucketed, sorted table of the folder."""
+        """A bucketed, sorted table of the folder, one file a bucket."""
         name, n = f"part-{uuid.uuid4().hex}", self.state["buckets"]
         table = f"cellforge_{name.replace('-', '_')}"
-        writer = df.repartition(n, by[0]).write.bucketBy(n, by[0]).sortBy(*by).option("path", f"{self.path}/{name}").option("compression", "zstd").format("parquet")
+        writer = df.repartitionById(n, F.pmod(F.hash(by[0]), F.lit(n))).write.bucketBy(n, by[0]).sortBy(*by).option("path", f"{self.path}/{name}").option("compression", "zstd").format("parquet")
         writer.saveAsTable(table)
         self.tables[name] = table
         return name
@@ -340,10 +342,16 @@ def add_batches(index: FingerprintIndex, docs: DataFrame, batches: int = 1) -> t
     return prof, out
 
 
+def bucket_count(docs: DataFrame, size: int = BUCKET_BYTES) -> int:
+    """Buckets for an index of docs (text): every table of the index has a file a bucket, and each file written locally starts processes beside the executor."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, min(-(-total // size), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def repeated(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES) -> tuple[DataFrame, list[DataFrame]]:
     """The same with an index that goes afterwards."""
     spark = docs.sparkSession
-    index = FingerprintIndex(spark, common.scratch_path(spark, "index"), window)
+    index = FingerprintIndex(spark, common.scratch_path(spark, "index"), window, buckets=bucket_count(docs))
     out = add_batches(index, docs, batches)
     index.remove()
     return out

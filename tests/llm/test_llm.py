@@ -455,6 +455,19 @@ def test_language_model_learns_from_all_texts(docs):
     assert np.allclose(again.rows, more.rows, atol=1e-4) and np.allclose(again.inside, more.inside, atol=1e-4)
 
 
+def test_index_files_follow_the_text(spark, docs, tmp_path):
+    """Few buckets for little text, at most the session's partitions, and one file a bucket."""
+    assert substrings.bucket_count(docs) == 1 and substrings.bucket_count(docs.where("false")) == 1
+    assert substrings.bucket_count(docs, 1) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    index = substrings.FingerprintIndex(spark, f"{tmp_path}/index", buckets=3)
+    substrings.add_batches(index, docs.select("doc_id", "text"), 2)
+    names = [x["name"] for x in [*index.state["runs"], *index.state["stores"]]]
+    for name in names:
+        files = [x.name for x in (tmp_path / "index" / name).glob("part-*")]
+        assert 1 <= len(files) == len({re.search(r"_(\d{5})\.", x).group(1) for x in files}) <= 3, files
+    index.remove()
+
+
 def test_all_windows_train_the_language_model(docs):
     """Each id of each text is predicted in one training window, whatever the rows that windows share."""
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
