@@ -25,7 +25,10 @@ id's rows by how often a bucket has the id. So every training text has its part
 the weights, copies of a text once. Windows and buckets grow with the input; what
 reaches the driver is one row an id. Counts of words that make up more than 1 / FREQUENT of all training words are
 broadcast (there are at most FREQUENT of them); every other word meets its count in
-a join, so the vocabulary is nowhere held whole.
+a part of the hashes, so the vocabulary is nowhere held whole. Parts follow from the
+size of the input (PART_BYTES). Between tasks, words and counts go as arrays in few
+rows: a pack of about PACK rare words asks every part for the counts of its words, and
+the answers come back to it in the order of the questions.
 
 Defined results: a null or empty text is the end alone; texts are read whole, in
 windows of bounded size; repeated rows are scored row by row; rows with a null
@@ -47,7 +50,9 @@ from pyspark.sql import functions as F
 
 from . import common, kernel, wordpieces
 
-FOLDS, FREQUENT = 10, 1 << 18
+FOLDS, FREQUENT = 10, 1 << 20
+#: Bytes of input a part of the words' hashes; rare words a pack; words a row of merged counts.
+PART_BYTES, PACK, CHUNK = 16 << 20, 1 << 19, 1 << 16
 #: Windows of a text that share a row; windows of a bucket, about; times that all windows train the attention weights.
 SHARE, BUCKET, ROUNDS = 64, 1 << 19, 1
 #: Ids of a window, and of its end that are scored; width of the head; groups of classes, and classes a group; classes with one id.
@@ -228,6 +233,8 @@ def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate:
     first, second, step = [np.zeros_like(t) for t in weights], [np.zeros_like(t) for t in weights], 0
     w, lag = WIDTH, np.abs(_LAG[_LEAD:])
     ahead = np.where(_CAUSAL[_LEAD:], f(0), f(-1e4))
+    ones = np.ones(CONTEXT, f)
+    z, d_inside = np.empty((2 * batch * STRIDE, GROUPS), f), np.empty_like(m.inside)
     for epoch in range(epochs):
         for chosen in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // batch)):
             x = rows[chosen]
@@ -237,16 +244,18 @@ def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate:
             q, k, v, own = t[:, _LEAD:, :w], t[:, :, w : 2 * w], t[:, :, 2 * w : 3 * w], t[:, _LEAD:, 3 * w :]
             a = q @ k.transpose(0, 2, 1)
             a += m.bias[lag] + ahead
-            if not there.all():
-                a += np.where(there[:, None, :-1], f(0), f(-1e4))
+            short = np.flatnonzero(~there[:, :-1].all(axis=1))
+            if len(short):
+                a[short] += (there[short, None, :-1] - f(1)) * f(1e4)
             if a.max() > 60:
                 np.minimum(a, 60, out=a)
             np.exp(a, out=a)
-            a /= np.maximum(a.reshape(-1, CONTEXT) @ np.ones(CONTEXT, f), f(1e-30)).reshape(n, STRIDE, 1)
+            a *= (f(1) / np.maximum(a.reshape(-1, CONTEXT) @ ones, f(1e-30))).reshape(n, STRIDE, 1)
             mean = a @ v
             h = mean + own
             np.maximum(h, f(0.1) * h, out=h)
-            flat = np.ones((n * STRIDE, w + 1), f)
+            flat = np.empty((n * STRIDE, w + 1), f)
+            flat[:, w] = 1
             flat[:, :w] = h.reshape(-1, w)
             want = m.classes[x[:, _LEAD + 1 :].ravel()]
             group = (want // GROUPS).astype(np.uint8)
@@ -257,19 +266,21 @@ def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate:
             flat_o, want_o, each = flat.take(order, axis=0), want[order], f(1 / max(1, len(order)))
             g = _slope(flat_o @ m.group, want_o // GROUPS, each)
             d_group, back = flat_o.T @ g, g @ m.group.T
-            z = np.empty((len(flat_o), GROUPS), f)
             parts = [(c, slice(i, j)) for c, (i, j) in enumerate(zip(edge.tolist(), edge[1:].tolist(), strict=False)) if i < j]
             for c, part in parts:
                 np.matmul(flat_o[part], m.inside[c], out=z[part])
-            g = _slope(z, want_o % GROUPS, each)
-            d_inside = np.zeros_like(m.inside)
+            g = _slope(z[: len(flat_o)], want_o % GROUPS, each)
+            more = np.empty_like(back)
+            if len(parts) < GROUPS:
+                d_inside[:] = 0
             for c, part in parts:
                 np.matmul(flat_o[part].T, g[part], out=d_inside[c])
-                back[part] += g[part] @ m.inside[c].T
+                np.matmul(g[part], m.inside[c].T, out=more[part])
+            back += more
             dh = np.zeros((n * STRIDE, w), f)
             dh[order] = back[:, :w]
-            dh *= np.where(flat[:, :w] > 0, f(1), f(0.1))
             dh = dh.reshape(h.shape)
+            dh *= np.copysign(f(0.45), h) + f(0.55)  # 1, or 0.1 below 0
             da = dh @ v.transpose(0, 2, 1)
             mean *= dh
             da -= (mean.reshape(-1, w) @ np.ones(w, f)).reshape(n, STRIDE, 1)
@@ -284,7 +295,7 @@ def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate:
             order = np.argsort(seen, kind="stable")
             seen = seen[order]
             at = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]]))
-            grads = [(seen[at].astype(np.int64), np.add.reduceat(d.reshape(-1, 4 * w).take(order, axis=0), at)), (slice(None), d_bias), (slice(None), d_group), (slice(None), d_inside)]
+            grads = [(seen[at].astype(np.int64), np.add.reduceat(d.reshape(-1, 4 * w).take(order, axis=0).view(np.complex64), at).view(f)), (slice(None), d_bias), (slice(None), d_group), (slice(None), d_inside)]  # sums two columns at a time
             step += 1
             scale = rate * min(1.0, step / 10) * (1 - 0.9 * epoch / epochs)
             by, of = f(scale / (1 - 0.9**step)), f(1 / (1 - 0.99**step))
@@ -371,8 +382,43 @@ def trained_round(start: Attention, rows: DataFrame, buckets: int, rate: float)
     return unpacked(rows, start)
 
 
-def gather(texts: DataFrame, path: str, share: int = SHARE) -> DataFrame:
-    """From one pass over texts (text): kind 0 word (64-bit hash, the end's among them) and count, 1 subword id, count and count inside words, 2 hash, number of windows and ids of a row of training windows."""
+def part_count(docs: DataFrame, size: int = PART_BYTES) -> int:
+    """Parts of the words' hashes for docs (text), by the bytes that the plan expects, or those counted where it knows none."""
+    known = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if known >= 1 << 50:
+        known = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, min(-(-known // size), 1 << 15))
+
+
+def part_of(h: np.ndarray, parts: int) -> np.ndarray:
+    """Parts in the order of the hashes."""
+    return ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.uint16)
+
+
+def _blobs(columns: list[np.ndarray], edge: np.ndarray) -> list[bytes]:
+    """For each range between edges, its values of every column, one column after another."""
+    return [b"".join(x[a:b].tobytes() for x in columns) for a, b in zip(edge.tolist(), edge[1:].tolist(), strict=False)]
+
+
+def _counted(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of blobs of both."""
+    both = [np.frombuffer(x, np.uint64) for x in blobs]
+    empty = np.zeros(0, np.uint64)
+    return np.concatenate([empty, *[x[: len(x) // 2] for x in both]]), np.concatenate([empty, *[x[len(x) // 2 :] for x in both]]).view(np.int64)
+
+
+def _summed(word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each hash once, in order, with the sum of its counts."""
+    if not len(word):
+        return word, n
+    order = np.argsort(word)
+    word, n = word[order], n[order]
+    at = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    return word[at], np.add.reduceat(n, at)
+
+
+def gather(texts: DataFrame, path: str, share: int = SHARE, parts: int = 1) -> DataFrame:
+    """From one pass over texts (text): kind 0 part of the words' 64-bit hashes (the end's among them), number of them, hashes and counts, 1 subword id, count and count inside words, 2 hash, number of windows and ids of a row of training windows."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -391,11 +437,15 @@ def gather(texts: DataFrame, path: str, share: int = SHARE) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), pa.array(word.view(np.int64)), *longs, blobs], ["kind", "word", "c", "c2", "ids"])
 
         def merge() -> None:
-            word, n = np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])
-            order = np.argsort(word)
-            word, n = word[order], n[order]
-            at = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-            held[:] = [(word[at], np.add.reduceat(n, at))]
+            held[:] = [_summed(np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held]))]
+
+        def counted(word: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            edge = np.searchsorted(part_of(word, parts), np.arange(parts + 1))
+            some = np.flatnonzero(np.diff(edge))
+            blobs = _blobs([word, n], edge)
+            size = np.diff(edge)[some]
+            longs = [some, size, size]
+            return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(some), np.int8)), *[pa.array(x.astype(np.int64)) for x in longs], pa.array([blobs[k] for k in some.tolist()], pa.binary())], ["kind", "word", "c", "c2", "ids"])
 
         for batch in batches:
             data, offsets = kernel.utf8(batch.column(0))
@@ -416,13 +466,13 @@ def gather(texts: DataFrame, path: str, share: int = SHARE) -> DataFrame:
                     merge()
                     size = len(held[0][0])
                     if size > 1 << 19:
-                        yield rows(0, *held[0])
+                        yield counted(*held[0])
                         held.clear()
                         size = 0
         if ends:
             held.append((np.array([_END_HASH]), np.array([ends])))
             merge()
-            yield rows(0, *held[0])
+            yield counted(*held[0])
             per_id[START] = 0
             seen = np.flatnonzero(per_id)
             yield rows(1, seen, per_id[seen], inner[seen])
@@ -432,9 +482,10 @@ def gather(texts: DataFrame, path: str, share: int = SHARE) -> DataFrame:
 
 @dataclass
 class Learned:
-    """counts (word, c) of all training words, N, V and the attention model."""
+    """counts (part, n, total, blob of hashes and counts) of all training words, number of parts, N, V and the attention model."""
 
     counts: DataFrame
+    parts: int
     total: int
     distinct: int
     model: Attention
@@ -444,20 +495,46 @@ class Learned:
         return float(np.log10(self.total + 0.1 * (self.distinct + 1)))
 
 
+def merged(rows: DataFrame) -> DataFrame:
+    """(part, n, total, counts) of rows (part, ids): each hash of a part once, up to CHUNK a row."""
+
+    def body(table: pa.Table) -> pa.Table:
+        word, n = _summed(*_counted(table["ids"].to_pylist()))
+        edge = np.append(np.arange(0, len(word), CHUNK), len(word))
+        return pa.table([pa.array([table["part"][0].as_py()] * (len(edge) - 1), pa.int64()), pa.array(np.diff(edge)), pa.array(np.add.reduceat(n, edge[:-1])), pa.array(_blobs([word, n], edge), pa.binary())], ["part", "n", "total", "counts"])
+
+    return rows.groupBy("part").applyInArrow(body, "part long, n long, total long, counts binary")
+
+
+def often(learned: Learned, frequent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of the words that make up more than 1 / frequent of all, of which there are at most `frequent`."""
+    total = learned.total
+
+    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word, n = _counted(batch.column(0).to_pylist())
+            keep = n > total // frequent  # n and total are whole
+            yield pa.RecordBatch.from_arrays([pa.array(word[keep].view(np.int64)), pa.array(n[keep])], ["word", "c"])
+
+    known = learned.counts.select("counts").mapInArrow(body, "word long, c long").toPandas()
+    return known["word"].to_numpy(np.int64).view(np.uint64), known["c"].to_numpy(np.int64)
+
+
 def learn(training: DataFrame, path: str, share: int = SHARE, bucket: int = BUCKET, rounds: int = ROUNDS) -> Learned:
     """What all rows of training (text) give."""
-    raw = common.save(gather(training.select(F.coalesce("text", F.lit("")).alias("text")), path, share), "gathered")
-    counts = common.save(raw.where("kind = 0").groupBy("word").agg(F.sum("c").alias("c")), "counts")
+    parts = part_count(training)
+    raw = common.save(gather(training.select(F.coalesce("text", F.lit("")).alias("text")), path, share, parts), "gathered")
+    counts = common.save(merged(raw.where("kind = 0").select(F.col("word").alias("part"), "ids")), "counts")
     found = raw.where("kind = 1").groupBy("word").agg(F.sum("c").alias("c"), F.sum("c2").alias("c2")).toPandas()  # at most one row an id
     n = raw.where("kind = 2").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     windows = once(raw.where("kind = 2").select(F.col("word").alias("h"), "ids"))
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    total, distinct = counts.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     ids = found["word"].to_numpy(np.int64)
     m = initial(*[np.bincount(ids, found[c].to_numpy(np.float64), VOCABULARY) for c in ("c", "c2")])
     for k in range(rounds if n else 0):
         m = trained_round(m, windows, max(1, -(-n // bucket)), 0.02 / (k + 1))
     common.drop(raw)
-    return Learned(counts, total, distinct, m)
+    return Learned(counts, parts, total, distinct, m)
 
 
 def _mixed(base: np.ndarray, model: np.ndarray) -> np.ndarray:
@@ -479,22 +556,79 @@ def word_logs(m: Attention, words: kernel.Words, table: wordpieces.WordIds) -> n
     return per
 
 
-_COLUMNS = ["uid", "doc_id", "word", "n_tokens", "n_known", "base", "score"]
+_SCORED = "pack long, part int, blob binary, place int, doc_id long, n_tokens long, n_known long, base double, score double"
+_COLUMNS = [x.split()[0] for x in _SCORED.split(", ")]
+#: Parts of rows that are none of the questions: a document, and the places and log10s under attention of a pack's rare words.
+_DOCUMENT, _OWN = -2, -1
 
 
-def score(docs: DataFrame, learned: Learned, path: str, frequent: int = FREQUENT) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row of docs (doc_id, text)."""
-    spark, total = docs.sparkSession, learned.total
-    known = learned.counts.where(F.col("c") * frequent > total).toPandas()  # at most `frequent` words
-    word = known["word"].to_numpy(np.int64).view(np.uint64)
+def _answers(table: pa.Table) -> pa.Table:
+    """To every question (pack, part, hashes) the counts of its words, by the part's merged counts (no pack)."""
+    word, n = _counted(table.filter(table["pack"].is_null())["blob"].to_pylist())
+    asked = table.filter(table["pack"].is_valid())
     order = np.argsort(word)
-    table: Broadcast = spark.sparkContext.broadcast((learned.model, word[order], known["c"].to_numpy(np.int64)[order]))
-    floor = learned.floor
+    word, n = np.append(word[order], ~np.uint64(0)), np.append(n[order], 0)  # the last one is no word's, or has its own before it
+    out = []
+    for x in asked["blob"].to_pylist():
+        h = np.frombuffer(x, np.uint64)
+        at = np.searchsorted(word, h)
+        out.append(np.where(word[at] == h, n[at], 0).tobytes())
+    return pa.table([asked["pack"], asked["part"].cast(pa.int32()), pa.array(out, pa.binary())], ["pack", "part", "blob"])
+
+
+def _totals(floor: float):
+    def body(table: pa.Table) -> pa.Table:
+        """The documents of a pack, with what its rare words add."""
+        part = table["part"].to_numpy()
+        blob = table["blob"]
+        docs = table.filter(pa.array(part == _DOCUMENT))
+        place, columns = docs["place"].to_numpy(), [docs[c].to_numpy() for c in ("n_known", "base", "score")]
+        of = np.zeros(int(place.max(initial=-1)) + 1, np.int64)
+        of[place] = np.arange(len(place))
+        answers = np.flatnonzero(part >= 0)
+        c = np.frombuffer(b"".join(blob[k].as_py() for k in answers[np.argsort(part[answers])].tolist()), np.int64)
+        own = blob.filter(pa.array(part == _OWN)).to_pylist()
+        if len(c):
+            row = of[np.frombuffer(own[0][: 4 * len(c)], np.uint32)]
+            per = np.frombuffer(own[0][4 * len(c) :], np.float64)
+            base = np.log10(c + 0.1) - floor
+            columns = [x + np.bincount(row, y, len(place)).astype(x.dtype) for x, y in zip(columns, (c > 0, base, _mixed(base, per)), strict=True)]
+        return pa.table([docs["doc_id"], docs["n_tokens"], *[pa.array(x) for x in columns]], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    return body
+
+
+def score(docs: DataFrame, learned: Learned, path: str, frequent: int = FREQUENT, pack: int = PACK) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row of docs (doc_id, text)."""
+    spark, total, parts, floor = docs.sparkSession, learned.total, learned.parts, learned.floor
+    table: Broadcast = spark.sparkContext.broadcast((learned.model, *often(learned, frequent)))
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, word, c = table.value
-        ids_of, log_c = wordpieces.shared(path, STRAY, START), np.log10(c + 0.1) - floor
-        nxt = TaskContext.get().partitionId() << 40  # rows are saved with these numbers before anything joins them
+        find, log_c = wordpieces.Slots(word), np.append(np.log10(c + 0.1) - floor, 0.0)
+        ids_of = wordpieces.shared(path, STRAY, START)
+        number = TaskContext.get().partitionId() << 32  # rows are saved with these numbers before anything is sent to a pack
+        rows: list[pa.RecordBatch] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = place = 0
+
+        def done() -> Iterator[pa.RecordBatch]:
+            """The rows of a pack: its documents, questions and the rest of its rare words, in the order of the questions."""
+            yield from rows
+            h, at, per = (np.concatenate(x) for x in zip(*held, strict=True))
+            part = part_of(h, parts)
+            order = np.argsort(part, kind="stable")
+            edge = np.searchsorted(part[order], np.arange(parts + 1))
+            some = np.flatnonzero(np.diff(edge))
+            asked = _blobs([h[order]], edge)
+            if len(h):
+                kinds = np.append(some, _OWN).astype(np.int32)
+                blobs = pa.array([*[asked[k] for k in some.tolist()], b"".join((at[order].tobytes(), per[order].tobytes()))], pa.binary())
+                n = len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, number)), pa.array(kinds), blobs, pa.nulls(n, pa.int32()), *[pa.nulls(n, pa.int64())] * 3, *[pa.nulls(n, pa.float64())] * 2], _COLUMNS)
+            rows.clear()
+            held.clear()
+
         for batch in batches:
             data, offsets = kernel.utf8(batch.column(1))
             for a, b in kernel.blocks(offsets):
@@ -505,30 +639,32 @@ def score(docs: DataFrame, learned: Learned, path: str, frequent: int = FREQUENT
                 # words with their text's end after them
                 h = np.full(len(row), _END_HASH, np.uint64)
                 h[np.arange(len(words.start)) + words.row] = words.hashes()
-                if len(word):
-                    at = np.minimum(np.searchsorted(word, h), len(word) - 1)
-                    often = word[at] == h
-                    base = log_c[at]
-                else:
-                    often, base = np.zeros(len(h), bool), np.zeros(len(h))
-                uid = nxt + np.arange(b - a)
-                nxt += b - a
-                some = [np.bincount(row[often], x, b - a).astype(np.float64) for x in (base[often], _mixed(base[often], per[often]))]
-                sizes = [pa.array(n + 1, pa.int64()), pa.array(np.bincount(row[often], minlength=b - a), pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(uid), batch.column(0).slice(a, b - a), pa.nulls(b - a, pa.int64()), *sizes, *[pa.array(x) for x in some]], _COLUMNS)
-                rare = np.flatnonzero(~often)
-                zero = pa.array(np.zeros(len(rare), np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(uid[row[rare]]), pa.nulls(len(rare), pa.int64()), pa.array(h[rare].view(np.int64)), zero, zero, pa.array(np.zeros(len(rare))), pa.array(per[rare])], _COLUMNS)
-
-    rows = common.save(docs.select("doc_id", "text").mapInArrow(body, "uid long, doc_id long, word long, n_tokens long, n_known long, base double, score double"), "scored")
+                at = find(h)
+                rare = at < 0
+                base = log_c[at]
+                mixed = _mixed(base, per)
+                base[rare] = mixed[rare] = 0
+                some = [np.bincount(row, x, b - a) for x in (base, mixed)]
+                sizes = [pa.array(n + 1, pa.int64()), pa.array(n + 1 - np.bincount(row[rare], minlength=b - a), pa.int64())]
+                here = place + np.arange(b - a)
+                rows.append(pa.RecordBatch.from_arrays([pa.array(np.full(b - a, number)), pa.array(np.full(b - a, _DOCUMENT, np.int32)), pa.nulls(b - a, pa.binary()), pa.array(here.astype(np.int32)), batch.column(0).slice(a, b - a), *sizes, *[pa.array(x) for x in some]], _COLUMNS))
+                rare = np.flatnonzero(rare)
+                held.append((h[rare], here[row[rare]].astype(np.uint32), per[rare]))
+                size, place = size + len(rare), place + b - a
+                if size >= pack:
+                    yield from done()
+                    size, place, number = 0, 0, number + 1
+        if rows:
+            yield from done()
+
+    rows = common.save(docs.select("doc_id", "text").mapInArrow(body, _SCORED), "scored")
     common.drop(table)
-    rare = rows.where("word IS NOT NULL").select("uid", "word", F.col("score").alias("own")).join(learned.counts, "word", "left")
-    base = F.log10(F.coalesce("c", F.lit(0)) + 0.1) - F.lit(floor)
-    low, high = base + float(np.log10(1 - MIX)), F.col("own") + float(np.log10(MIX))
-    mixed = F.greatest(low, high) + F.log10(1 + F.pow(F.lit(10.0), F.least(low, high) - F.greatest(low, high)))
-    rare = rare.select("uid", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n_tokens"), F.when(F.col("c") > 0, 1).otherwise(0).cast("long").alias("n_known"), base.alias("base"), mixed.alias("score"))
-    summed = rows.where("word IS NULL").drop("word").unionByName(rare).groupBy("uid").agg(F.max("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")])
-    return summed.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
+    known = learned.counts.select("part", F.lit(None).cast("long").alias("pack"), F.col("counts").alias("blob"))
+    asked = rows.where("part >= 0").select(F.col("part").cast("long").alias("part"), "pack", "blob")
+    answers = asked.unionByName(known).groupBy("part").applyInArrow(_answers, "pack long, part int, blob binary")
+    every = rows.where("part < 0").unionByName(answers, allowMissingColumns=True)
+    summed = every.groupBy("pack").applyInArrow(_totals(floor), "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return summed.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def held_out(column: str = "doc_id"):

@@ -7,6 +7,7 @@ pattern does; a word with characters outside Latin letters and common signs, or
 with the mark of a special token, is left to the library as a whole. The pieces
 of new words are merged by tiktoken with the vocabulary's own ranks, a line feed
 standing for the word's end; the tests hold this against the library word by word.
+New words of ASCII and accented letters, digits and signs are cut into pieces all at once.
 
 The table is an open-addressing one in numpy: 64-bit hash -> place and number of
 ids. Words of up to eight bytes have hashes of their own; of longer ones two
@@ -30,6 +31,11 @@ CACHE_WORDS, CACHE_BYTES = 1 << 19, 16 << 20
 #: The vocabulary's pattern, in full and on lower-case ASCII.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Bytes of a piece: lower-case letters, single digits, other signs; what else there is (apostrophes begin pieces of their own, "<" may begin a special token).
+_LETTER, _DIGIT, _SIGN, _OTHER = range(4)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[33:127] = _SIGN
+_KIND[48:58], _KIND[97:123], _KIND[[39, 60]] = _DIGIT, _LETTER, _OTHER
 _UNUSUAL = re.compile("[^\x21-\x7e\xa1-\xac\xae-įĲ-ž‐-…€]|<\\|")
 
 
@@ -109,18 +115,65 @@ def encode_words(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray,
     return out, size, same
 
 
-class WordIds:
-    """Ids of words; `stray` takes the place of special tokens inside words and of words without ids."""
+def _encode_plain(path: str, data: np.ndarray, kind: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, how many each has) of words without bytes of kind _OTHER, one after another, without a step a word."""
+    if not len(length):
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    first = np.cumsum(length) - length
+    begins = np.ones(len(data), bool)
+    begins[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    begins[first] = True
+    piece = np.cumsum(begins) - 1
+    text = np.full(len(data) + int(piece[-1]) + 1, 10, np.uint8)  # a line feed after every piece
+    text[np.arange(len(data)) + piece] = data
+    encoding, ends = _ranks(path)
+    ids = encoding.encode_to_numpy(text.tobytes().decode()).astype(np.uint32)
+    stop = np.concatenate([[0], np.flatnonzero(ends[ids]) + 1])
+    return ids, np.diff(stop[np.append(piece[first], piece[-1] + 1)])
 
-    def __init__(self, path: str, stray: int | None = None, special: int = 1 << 30, limit: int = CACHE_WORDS) -> None:
-        self.path, self.stray, self.special, self.limit = path, stray, special, limit
-        self._clear()
 
-    def _clear(self) -> None:
-        self.n = self.used = 0
-        self._room(1 << 14)
-        self.first, self.size, self.same = np.zeros(1 << 13, np.int64), np.zeros(1 << 13, np.int32), np.zeros(1 << 13, bool)
-        self.pool = np.zeros(1 << 15, np.uint32)
+def encode_chosen(path: str, words: kernel.Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What encode_words gives for these words of a block."""
+    length = words.length[chosen]
+    first = np.cumsum(length) - length
+    data = words.data[np.repeat(words.start[chosen] - first, length) + np.arange(int(length.sum()))]
+    low = kernel._LOWER[data]
+    # after C3, the lower-case letters from U+00DF on are letters as well
+    kind, next_ = _KIND[low], np.append(low[1:], np.uint8(0))
+    accent = np.flatnonzero((low == 0xC3) & (next_ >= 0x9F) & (next_ <= 0xBF) & (next_ != 0xB7))
+    kind[accent] = kind[accent + 1] = _LETTER
+    rest = np.logical_or.reduceat(kind == _OTHER, first)
+    same = np.ones(len(chosen), bool) if words.lower else ~np.logical_or.reduceat(low != data, first)
+    if not rest.any():
+        return *_encode_plain(path, low, kind, length), same
+    size, here = np.zeros(len(chosen), np.int64), ~np.repeat(rest, length)
+    other, size[rest], same[rest] = encode_words(path, words.texts(chosen[rest]))
+    plain, size[~rest] = _encode_plain(path, low[here], kind[here], length[~rest])
+    of = np.repeat(rest, size)
+    ids = np.empty(len(of), np.uint32)
+    ids[of], ids[~of] = other, plain
+    return ids, size, same
+
+
+def _never_0(h: np.ndarray) -> np.ndarray:
+    """Hashes of a table in which 0 is an empty slot."""
+    return np.where(h == 0, np.uint64(1), h)
+
+
+class Slots:
+    """An open-addressing table in numpy: 64-bit hash -> entry."""
+
+    def __init__(self, h: np.ndarray) -> None:
+        """Of distinct hashes, whose entries are their places."""
+        slots = 1 << 10
+        while 2 * len(h) > slots:
+            slots *= 2
+        self._room(slots)
+        self._put(_never_0(h), np.arange(len(h), dtype=np.int32))
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        """Entry of each hash, or -1."""
+        return self._find(_never_0(h))
 
     def _room(self, slots: int) -> None:
         self.key, self.entry = np.zeros(slots, np.uint64), np.zeros(slots, np.int32)
@@ -155,22 +208,35 @@ class WordIds:
             won[first] = True
             h, entry, slot = h[~won], entry[~won], (slot[~won] + 1) & mask
 
+
+class WordIds(Slots):
+    """Ids of words; `stray` takes the place of special tokens inside words and of words without ids."""
+
+    def __init__(self, path: str, stray: int | None = None, special: int = 1 << 30, limit: int = CACHE_WORDS) -> None:
+        self.path, self.stray, self.special, self.limit = path, stray, special, limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.n = self.used = 0
+        self._room(1 << 14)
+        self.first, self.size, self.same = np.zeros(1 << 13, np.int64), np.zeros(1 << 13, np.int32), np.zeros(1 << 13, bool)
+        self.pool = np.zeros(1 << 15, np.uint32)
+
     def entries(self, words: kernel.Words) -> np.ndarray:
         """The entry of every word, new ones learnt."""
         if self.n > self.limit or self.used * 4 > CACHE_BYTES:
             self._clear()
-        h = words.hashes()
-        h = np.where(h == 0, np.uint64(1), h)  # 0 is an empty slot
+        h = _never_0(words.hashes())
         out = self._find(h)
         new = np.flatnonzero(out < 0)
         if len(new):
             fresh, at = np.unique(h[new], return_index=True)
-            self._learn(fresh, words.texts(new[at]))
+            self._learn(fresh, words, new[at])
             out[new] = self._find(h[new])
         return out
 
-    def _learn(self, h: np.ndarray, texts: list[bytes]) -> None:
-        ids, size, same = encode_words(self.path, texts)
+    def _learn(self, h: np.ndarray, words: kernel.Words, chosen: np.ndarray) -> None:
+        ids, size, same = encode_chosen(self.path, words, chosen)
         if self.stray is not None:
             ids = np.where(ids >= self.special, np.uint32(self.stray), ids)
             if (size == 0).any():
