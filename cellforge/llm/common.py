@@ -28,11 +28,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/cellforge/{name}-{uuid.uuid4().hex}"
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
+def save(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends, and a lost executor costs one stage."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out

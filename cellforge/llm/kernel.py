@@ -15,8 +15,6 @@ import pyarrow as pa
 #: Bytes of text that one vectorised step takes (a longer document is taken alone).
 BLOCK_BYTES = 1 << 18
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -61,7 +59,7 @@ class Words:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> None:
         self.rows = len(offsets) - 1
         self.data = data
-        inside = ~_SPACE[data]
+        inside = (data != 0x20) & ((data - np.uint8(9)) > 4)
         edge = np.empty(len(data) + 1, bool)
         edge[1:-1] = inside[1:] & ~inside[:-1]
         edge[0], edge[-1] = bool(len(data)) and inside[0], False
@@ -74,8 +72,8 @@ class Words:
         cuts = cuts[cuts > 0]
         edge[cuts] |= inside[cuts - 1]
         self.length = np.flatnonzero(edge) - self.start
-        self.row = np.searchsorted(offsets, self.start, "right") - 1
-        self.first = np.searchsorted(self.row, np.arange(self.rows + 1))  # of each row, its first word
+        self.first = np.searchsorted(self.start, offsets)  # of each row, its first word
+        self.row = np.repeat(np.arange(self.rows), np.diff(self.first))
         self.lower = lower
         self._hashes: np.ndarray | None = None
 

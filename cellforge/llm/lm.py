@@ -51,6 +51,8 @@ from pyspark.sql import functions as F
 from . import common, kernel, wordpieces
 
 FOLDS, FREQUENT = 10, 1 << 20
+#: Words whose ids a worker holds, in some 90 MB.
+WORDS = 1 << 21
 #: Bytes of input a part of the words' hashes; rare words a pack; words a row of merged counts.
 PART_BYTES, PACK, CHUNK = 16 << 20, 1 << 19, 1 << 16
 #: Windows of a text that share a row; windows of a bucket, about; times that all windows train the attention weights.
@@ -112,31 +114,56 @@ _CAUSAL = _LAG >= 0
 
 def stream(words: kernel.Words, table: wordpieces.WordIds) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(ids, document, word, whether an id is its word's last; by word, whether the ids spell it) of texts one after another; each begins with START (word -1) and ends with END, and words count on over all texts, the ends included."""
-    entry = table.entries(words)
-    own, size = table.ids(entry)
-    row = np.repeat(words.row, size)
-    n = np.bincount(row, minlength=words.rows) + 2
-    begin = np.cumsum(n) - n
-    place = np.arange(len(own)) + 2 * row + 1
-    ids, word, last = np.full(int(n.sum()), START, np.int64), np.full(int(n.sum()), -1, np.int64), np.zeros(int(n.sum()), bool)
-    ids[place], word[place] = own, np.repeat(np.arange(len(size)) + words.row, size)
-    last[place[np.cumsum(size) - 1]] = True
-    stop = begin + n - 1
-    ids[stop], word[stop] = END, words.first[1:] + np.arange(words.rows)
-    return ids, np.repeat(np.arange(words.rows), n), word, last, table.same[entry]
+    entry, rows = table.entries(words), words.rows
+    row, edge = np.arange(rows), np.arange(len(entry)) + 2 * words.row + 1
+    # words with START and END about each text, as words that have one id
+    every = np.empty(len(entry) + 2 * rows, np.int64)
+    begin = words.first[:-1] + 2 * row
+    every[begin], every[words.first[1:] + 2 * row + 1], every[edge] = table.starts, table.ends, entry
+    number = np.arange(len(every)) - np.repeat(row + 1, np.diff(words.first) + 2)
+    number[begin] = -1
+    ids, size = table.ids(every)
+    n = np.add.reduceat(size, begin) if rows else size
+    last = np.zeros(len(ids), bool)
+    last[(np.cumsum(size) - 1)[edge]] = True
+    return ids.astype(np.int64), np.repeat(row, n), np.repeat(number, size), last, table.same[entry]
+
+
+#: exp2 takes half the time of exp, so logits of classes are made in units of log 2; products of tall matrices are made in blocks of rows.
+_TO_2, _TALL = np.float32(1 / np.log(2)), 192
+
+
+def _tall(x: np.ndarray, w: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """x @ w."""
+    n = len(x) // _TALL * _TALL
+    np.matmul(x[:n].reshape(-1, _TALL, x.shape[1]), w, out=out[:n].reshape(-1, _TALL, w.shape[1]))
+    np.matmul(x[n:], w, out=out[n:])
+    return out
+
+
+def _across(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """x.T @ y."""
+    n = len(x) // _TALL * _TALL
+    out = (x[:n].reshape(-1, _TALL, x.shape[1]).transpose(0, 2, 1) @ y[:n].reshape(-1, _TALL, y.shape[1])).sum(axis=0)
+    out += x[n:].T @ y[n:]
+    return out
+
+
+def _powers(z: np.ndarray) -> np.ndarray:
+    """2 ** z, but for a factor a row where rows need one, in place."""
+    if z.max(initial=0) > 115:  # beyond what exp2 holds
+        z -= z.max(axis=1, keepdims=True)
+    return np.exp2(z, out=z)
 
 
 def _chosen(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log-softmax of each row of z at the given column; z is used up."""
-    own = z[np.arange(len(z)), at]
-    if z.max(initial=0) > 80:  # beyond what exp holds
-        most = z.max(axis=1)
-        z, own = z - most[:, None], own - most
-    np.exp(z, out=z)
-    return own - np.log(z @ np.ones(z.shape[1], np.float32))
+    """log2 of the softmax of each row of z, in units of log 2, at the given column; z is used up."""
+    at = at + z.shape[1] * np.arange(len(z))
+    _powers(z)
+    return np.log2(z.ravel().take(at) / (z @ np.ones(z.shape[1], np.float32)))
 
 
-def id_logs(m: Attention, ids: np.ndarray, doc: np.ndarray, batch: int = 256) -> np.ndarray:
+def id_logs(m: Attention, ids: np.ndarray, doc: np.ndarray, batch: int = 192) -> np.ndarray:
     """log10 probability of every id of the stream after those before it in its document (0 for the starts); documents have their own windows."""
     out = np.zeros(len(ids), np.float64)
     if len(ids) < 2:
@@ -148,15 +175,20 @@ def id_logs(m: Attention, ids: np.ndarray, doc: np.ndarray, batch: int = 256) ->
     # what predicts: all ids but the documents' last; a document's start at the scored part of a window
     goes = np.ones(len(ids), bool)
     goes[begin + size] = False
-    goes = np.flatnonzero(goes)
-    at = _LEAD + first[doc[goes]] * STRIDE + goes - begin[doc[goes]]
-    x, target = np.full(_LEAD + n * STRIDE, START), np.zeros(_LEAD + n * STRIDE, np.int64)
-    x[at], target[at] = ids[goes], m.classes[ids[goes + 1]]
-    target = target[_LEAD:]
+    then = np.ones(len(ids), bool)
+    then[begin] = False
+    at = np.arange(len(ids) - len(size))
+    at += np.repeat(first * STRIDE - np.cumsum(size) + size, size)
+    nxt = ids[then]
+    x, target = np.full(_LEAD + n * STRIDE, START), np.zeros(n * STRIDE, np.int64)
+    x[at + _LEAD], target[at] = ids[goes], m.classes[nxt]
     lead = np.zeros(n, bool)
     lead[first[size > 0]] = True  # what stands before these windows is no context
     logs = np.empty(n * STRIDE, np.float32)
     place = np.where(_CAUSAL, m.bias[np.abs(_LAG)], np.float32(-1e4))[_LEAD:]
+    ones, h_all = np.ones(CONTEXT, np.float32), np.ones((batch * STRIDE, WIDTH + 1), np.float32)
+    z_all = np.empty((batch * STRIDE, GROUPS), np.float32)
+    group, inside = m.group * _TO_2, m.inside * _TO_2
     for b in range(0, n, batch):
         k = min(batch, n - b)
         t = m.rows.take(x[b * STRIDE : (b + k) * STRIDE + _LEAD], axis=0)
@@ -167,23 +199,23 @@ def id_logs(m: Attention, ids: np.ndarray, doc: np.ndarray, batch: int = 256) ->
         if a.max() > 60:
             np.minimum(a, 60, out=a)
         np.exp(a, out=a)
-        h = np.ones((k * STRIDE, WIDTH + 1), np.float32)
+        h = h_all[: k * STRIDE]
         g = a @ view[:, :, 2 * WIDTH : 3 * WIDTH]
-        g /= (a.reshape(-1, CONTEXT) @ np.ones(CONTEXT, np.float32)).reshape(k, STRIDE, 1)
+        g *= (np.float32(1) / (a.reshape(-1, CONTEXT) @ ones)).reshape(k, STRIDE, 1)
         g += view[:, _LEAD:, 3 * WIDTH :]
-        np.maximum(g, np.float32(0.1) * g, out=g)
-        h[:, :WIDTH] = g.reshape(-1, WIDTH)
+        g = g.reshape(-1, WIDTH)
+        np.maximum(g, np.float32(0.1) * g, out=h[:, :WIDTH])
         want = target[b * STRIDE : (b + k) * STRIDE]
         own = want // GROUPS
-        logs[b * STRIDE : (b + k) * STRIDE] = _chosen(h @ m.group, own)
+        z = z_all[: len(h)]
+        logs[b * STRIDE : (b + k) * STRIDE] = _chosen(_tall(h, group, z), own)
         order = np.argsort(own.astype(np.uint8), kind="stable")
         edge = np.searchsorted(own[order], np.arange(GROUPS + 1))
         h = h.take(order, axis=0)
-        z = np.empty((len(h), GROUPS), np.float32)
         for c in range(GROUPS):
-            np.matmul(h[edge[c] : edge[c + 1]], m.inside[c], out=z[edge[c] : edge[c + 1]])
+            np.matmul(h[edge[c] : edge[c + 1]], inside[c], out=z[edge[c] : edge[c + 1]])
         logs[b * STRIDE + order] += _chosen(z, want[order] % GROUPS)
-    out[goes + 1] = logs[at - _LEAD] / np.log(10) + m.share[ids[goes + 1]]
+    out[then] = logs[at] * np.log10(2) + m.share[nxt]
     return out
 
 
@@ -217,12 +249,10 @@ def all_windows(rows: list[bytes]) -> np.ndarray:
 
 
 def _slope(z: np.ndarray, at: np.ndarray, each: np.float32) -> np.ndarray:
-    """Gradient of the mean negative log-softmax at the given columns; z is used up."""
-    if z.max(initial=0) > 80:  # beyond what exp holds
-        z -= z.max(axis=1, keepdims=True)
-    np.exp(z, out=z)
+    """Gradient, by the logits, of the mean negative log-softmax at the given columns of logits in units of log 2; z is used up."""
+    _powers(z)
     z *= (each / (z @ np.ones(z.shape[1], np.float32)))[:, None]
-    z[np.arange(len(z)), at] -= each
+    z.ravel()[at + z.shape[1] * np.arange(len(z))] -= each
     return z
 
 
@@ -242,7 +272,8 @@ def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate:
             x[~there] = START
             t = m.rows.take(x[:, :-1], axis=0)
             q, k, v, own = t[:, _LEAD:, :w], t[:, :, w : 2 * w], t[:, :, 2 * w : 3 * w], t[:, _LEAD:, 3 * w :]
-            a = q @ k.transpose(0, 2, 1)
+            turned = np.ascontiguousarray(t[:, :, w : 3 * w].transpose(0, 2, 1))  # products with turned views take longer
+            a = q @ turned[:, :w]
             a += m.bias[lag] + ahead
             short = np.flatnonzero(~there[:, :-1].all(axis=1))
             if len(short):
@@ -264,24 +295,25 @@ def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate:
             edge = np.searchsorted(group[order], np.arange(GROUPS + 1))
             order = order[: edge[-1]]
             flat_o, want_o, each = flat.take(order, axis=0), want[order], f(1 / max(1, len(order)))
-            g = _slope(flat_o @ m.group, want_o // GROUPS, each)
-            d_group, back = flat_o.T @ g, g @ m.group.T
+            g = _slope(_tall(flat_o, m.group * _TO_2, z[: len(flat_o)]), want_o // GROUPS, each)
+            d_group, back = _across(flat_o, g), _tall(g, m.group[:w].T, np.empty((len(g), w), f))
+            inside = m.inside * _TO_2
             parts = [(c, slice(i, j)) for c, (i, j) in enumerate(zip(edge.tolist(), edge[1:].tolist(), strict=False)) if i < j]
             for c, part in parts:
-                np.matmul(flat_o[part], m.inside[c], out=z[part])
+                np.matmul(flat_o[part], inside[c], out=z[part])
             g = _slope(z[: len(flat_o)], want_o % GROUPS, each)
             more = np.empty_like(back)
             if len(parts) < GROUPS:
                 d_inside[:] = 0
             for c, part in parts:
                 np.matmul(flat_o[part].T, g[part], out=d_inside[c])
-                np.matmul(g[part], m.inside[c].T, out=more[part])
+                np.matmul(g[part], m.inside[c, :w].T, out=more[part])
             back += more
             dh = np.zeros((n * STRIDE, w), f)
-            dh[order] = back[:, :w]
+            dh[order] = back
             dh = dh.reshape(h.shape)
             dh *= np.copysign(f(0.45), h) + f(0.55)  # 1, or 0.1 below 0
-            da = dh @ v.transpose(0, 2, 1)
+            da = dh @ turned[:, w:]
             mean *= dh
             da -= (mean.reshape(-1, w) @ np.ones(w, f)).reshape(n, STRIDE, 1)
             da *= a
@@ -295,7 +327,8 @@ def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate:
             order = np.argsort(seen, kind="stable")
             seen = seen[order]
             at = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]]))
-            grads = [(seen[at].astype(np.int64), np.add.reduceat(d.reshape(-1, 4 * w).take(order, axis=0).view(np.complex64), at).view(f)), (slice(None), d_bias), (slice(None), d_group), (slice(None), d_inside)]  # sums two columns at a time
+            summed = np.add.reduceat(d.reshape(-1, 4 * w).take(order, axis=0).view(np.complex64), at).view(f)  # two columns at a time
+            grads = [(seen[at].astype(np.int64), summed), (slice(None), d_bias), (slice(None), d_group), (slice(None), d_inside)]
             step += 1
             scale = rate * min(1.0, step / 10) * (1 - 0.9 * epoch / epochs)
             by, of = f(scale / (1 - 0.9**step)), f(1 / (1 - 0.99**step))
@@ -423,7 +456,7 @@ def gather(texts: DataFrame, path: str, share: int = SHARE, parts: int = 1) -> D
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = ends = 0
-        table = wordpieces.shared(path, STRAY, START)
+        table = wordpieces.shared(path, STRAY, START, WORDS)
         per_id, inner = np.zeros(VOCABULARY, np.int64), np.zeros(VOCABULARY, np.int64)
 
         def rows(kind: int, word: np.ndarray, c: np.ndarray, c2: np.ndarray | None = None, ids: np.ndarray | None = None) -> pa.RecordBatch:
@@ -523,7 +556,7 @@ def often(learned: Learned, frequent: int) -> tuple[np.ndarray, np.ndarray]:
 def learn(training: DataFrame, path: str, share: int = SHARE, bucket: int = BUCKET, rounds: int = ROUNDS) -> Learned:
     """What all rows of training (text) give."""
     parts = part_count(training)
-    raw = common.save(gather(training.select(F.coalesce("text", F.lit("")).alias("text")), path, share, parts), "gathered")
+    raw = common.save(gather(training.select(F.coalesce("text", F.lit("")).alias("text")), path, share, parts), "gathered", "snappy")
     counts = common.save(merged(raw.where("kind = 0").select(F.col("word").alias("part"), "ids")), "counts")
     found = raw.where("kind = 1").groupBy("word").agg(F.sum("c").alias("c"), F.sum("c2").alias("c2")).toPandas()  # at most one row an id
     n = raw.where("kind = 2").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
@@ -606,7 +639,7 @@ def score(docs: DataFrame, learned: Learned, path: str, frequent: int = FREQUENT
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, word, c = table.value
         find, log_c = wordpieces.Slots(word), np.append(np.log10(c + 0.1) - floor, 0.0)
-        ids_of = wordpieces.shared(path, STRAY, START)
+        ids_of = wordpieces.shared(path, STRAY, START, WORDS)
         number = TaskContext.get().partitionId() << 32  # rows are saved with these numbers before anything is sent to a pack
         rows: list[pa.RecordBatch] = []
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []

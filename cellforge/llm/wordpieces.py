@@ -27,7 +27,7 @@ import numpy as np
 from . import kernel
 
 #: Words and bytes of ids held; beyond either, the table starts anew.
-CACHE_WORDS, CACHE_BYTES = 1 << 19, 16 << 20
+CACHE_WORDS, CACHE_BYTES = 1 << 20, 16 << 20
 #: The vocabulary's pattern, in full and on lower-case ASCII.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
@@ -217,14 +217,17 @@ class WordIds(Slots):
         self._clear()
 
     def _clear(self) -> None:
-        self.n = self.used = 0
         self._room(1 << 14)
-        self.first, self.size, self.same = np.zeros(1 << 13, np.int64), np.zeros(1 << 13, np.int32), np.zeros(1 << 13, bool)
-        self.pool = np.zeros(1 << 15, np.uint32)
+        self.first, self.size, self.same = np.zeros(1 << 13, np.int32), np.zeros(1 << 13, np.int32), np.zeros(1 << 13, bool)
+        self.pool = np.zeros(1 << 15, np.uint16 if len(_ranks(self.path)[1]) < 1 << 16 else np.uint32)
+        self.n = self.used = 0
+        if self.stray is not None:  # entries of the two special ids, which no hash leads to
+            self.starts, self.ends, self.n, self.used = 0, 1, 2, 2
+            self.first[1], self.size[:2], self.pool[:2] = 1, 1, (self.special, self.special + 1)
 
     def entries(self, words: kernel.Words) -> np.ndarray:
         """The entry of every word, new ones learnt."""
-        if self.n > self.limit or self.used * 4 > CACHE_BYTES:
+        if self.n > self.limit or self.pool[: self.used].nbytes > CACHE_BYTES:
             self._clear()
         h = _never_0(words.hashes())
         out = self._find(h)
@@ -268,10 +271,10 @@ class WordIds(Slots):
         size = self.size[entries].astype(np.int64)
         at = np.cumsum(size)
         where = np.repeat(self.first[entries] - at + size, size) + np.arange(at[-1] if len(at) else 0)
-        return self.pool[where], size
+        return self.pool[where].astype(np.uint32), size
 
 
 @cache
-def shared(path: str, stray: int | None = None, special: int = 1 << 30) -> WordIds:
+def shared(path: str, stray: int | None = None, special: int = 1 << 30, limit: int = CACHE_WORDS) -> WordIds:
     """The table of this process, which later tasks of the same worker find filled."""
-    return WordIds(path, stray, special)
+    return WordIds(path, stray, special, limit)
