@@ -113,7 +113,7 @@ _CAUSAL = _LAG >= 0
 
 
 def stream(words: kernel.Words, table: wordpieces.WordIds) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, document, word, whether an id is its word's last; by word, whether the ids spell it) of texts one after another; each begins with START (word -1) and ends with END, and words count on over all texts, the ends included."""
+    """(ids, document, word, whether an id is its word's last; by word, its entry) of texts one after another; each begins with START (word -1) and ends with END, and words count on over all texts, the ends included."""
     entry, rows = table.entries(words), words.rows
     row, edge = np.arange(rows), np.arange(len(entry)) + 2 * words.row + 1
     # words with START and END about each text, as words that have one id
@@ -126,7 +126,7 @@ def stream(words: kernel.Words, table: wordpieces.WordIds) -> tuple[np.ndarray,
     n = np.add.reduceat(size, begin) if rows else size
     last = np.zeros(len(ids), bool)
     last[(np.cumsum(size) - 1)[edge]] = True
-    return ids.astype(np.int64), np.repeat(row, n), np.repeat(number, size), last, table.same[entry]
+    return ids.astype(np.int64), np.repeat(row, n), np.repeat(number, size), last, entry
 
 
 #: exp2 takes half the time of exp, so logits of classes are made in units of log 2; products of tall matrices are made in blocks of rows.
@@ -168,7 +168,7 @@ def id_logs(m: Attention, ids: np.ndarray, doc: np.ndarray, batch: int = 192) ->
     out = np.zeros(len(ids), np.float64)
     if len(ids) < 2:
         return out
-    size = np.bincount(doc) - 1
+    size = np.diff(np.searchsorted(doc, np.arange(doc[-1] + 2))) - 1
     begin = np.cumsum(size + 1) - size - 1
     per = -(-size // STRIDE)
     n, first = int(per.sum()), np.cumsum(per) - per
@@ -264,15 +264,19 @@ def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate:
     w, lag = WIDTH, np.abs(_LAG[_LEAD:])
     ahead = np.where(_CAUSAL[_LEAD:], f(0), f(-1e4))
     ones = np.ones(CONTEXT, f)
-    z, d_inside = np.empty((2 * batch * STRIDE, GROUPS), f), np.empty_like(m.inside)
+    # what every step writes anew; d holds 0 where nothing is predicted, flat and turned end with 1
+    z, d_inside, more = np.empty((2 * batch * STRIDE, GROUPS), f), np.empty_like(m.inside), np.empty((2 * batch * STRIDE, w), f)
+    d_all, dh_all = np.zeros((2 * batch, CONTEXT, 4 * w), f), np.empty((2 * batch * STRIDE, w + 1), f)
+    flat_all, turned_all = np.ones((2 * batch * STRIDE, w + 1), f), np.ones((2 * batch, 2 * w + 1, CONTEXT), f)
     for epoch in range(epochs):
         for chosen in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // batch)):
-            x = rows[chosen]
+            x = rows.take(chosen, axis=0)
             n, there = len(x), x != _PAD
             x[~there] = START
             t = m.rows.take(x[:, :-1], axis=0)
             q, k, v, own = t[:, _LEAD:, :w], t[:, :, w : 2 * w], t[:, :, 2 * w : 3 * w], t[:, _LEAD:, 3 * w :]
-            turned = np.ascontiguousarray(t[:, :, w : 3 * w].transpose(0, 2, 1))  # products with turned views take longer
+            turned = turned_all[:n]
+            turned[:, : 2 * w] = t[:, :, w : 3 * w].transpose(0, 2, 1)  # products with turned views take longer
             a = q @ turned[:, :w]
             a += m.bias[lag] + ahead
             short = np.flatnonzero(~there[:, :-1].all(axis=1))
@@ -280,20 +284,18 @@ def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate:
                 a[short] += (there[short, None, :-1] - f(1)) * f(1e4)
             if a.max() > 60:
                 np.minimum(a, 60, out=a)
-            np.exp(a, out=a)
+            np.exp(a, out=a)  # exp2 is slow where it gives 0
             a *= (f(1) / np.maximum(a.reshape(-1, CONTEXT) @ ones, f(1e-30))).reshape(n, STRIDE, 1)
             mean = a @ v
             h = mean + own
-            np.maximum(h, f(0.1) * h, out=h)
-            flat = np.empty((n * STRIDE, w + 1), f)
-            flat[:, w] = 1
-            flat[:, :w] = h.reshape(-1, w)
+            flat = flat_all[: n * STRIDE]
+            np.maximum(h, f(0.1) * h, out=flat.reshape(n, STRIDE, w + 1)[:, :, :w])
             want = m.classes[x[:, _LEAD + 1 :].ravel()]
             group = (want // GROUPS).astype(np.uint8)
             group[~(there[:, _LEAD + 1 :] & there[:, _LEAD:-1]).ravel()] = GROUPS
             order = np.argsort(group, kind="stable")
             edge = np.searchsorted(group[order], np.arange(GROUPS + 1))
-            order = order[: edge[-1]]
+            order, rest = order[: edge[-1]], order[edge[-1] :]
             flat_o, want_o, each = flat.take(order, axis=0), want[order], f(1 / max(1, len(order)))
             g = _slope(_tall(flat_o, m.group * _TO_2, z[: len(flat_o)]), want_o // GROUPS, each)
             d_group, back = _across(flat_o, g), _tall(g, m.group[:w].T, np.empty((len(g), w), f))
@@ -302,22 +304,24 @@ def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate:
             for c, part in parts:
                 np.matmul(flat_o[part], inside[c], out=z[part])
             g = _slope(z[: len(flat_o)], want_o % GROUPS, each)
-            more = np.empty_like(back)
             if len(parts) < GROUPS:
                 d_inside[:] = 0
             for c, part in parts:
                 np.matmul(flat_o[part].T, g[part], out=d_inside[c])
                 np.matmul(g[part], m.inside[c, :w].T, out=more[part])
-            back += more
-            dh = np.zeros((n * STRIDE, w), f)
-            dh[order] = back
-            dh = dh.reshape(h.shape)
-            dh *= np.copysign(f(0.45), h) + f(0.55)  # 1, or 0.1 below 0
-            da = dh @ turned[:, w:]
+            back += more[: len(back)]
+            both = dh_all[: n * STRIDE]
+            both[order, :w], both[rest] = back, 0
+            both = both.reshape(n, STRIDE, w + 1)
+            np.copysign(f(0.45), h, out=h)
+            h += f(0.55)  # 1, or 0.1 below 0
+            h *= both[:, :, :w]
+            both[:, :, :w], dh = h, h
             mean *= dh
-            da -= (mean.reshape(-1, w) @ np.ones(w, f)).reshape(n, STRIDE, 1)
+            np.negative((mean.reshape(-1, w) @ ones[:w]).reshape(n, STRIDE), out=both[:, :, w])
+            da = both @ turned[:, w:]  # less the mean of each row
             da *= a
-            d = np.zeros_like(t)
+            d = d_all[:n]
             np.matmul(da, k, out=d[:, _LEAD:, :w])
             np.matmul(da.transpose(0, 2, 1), q, out=d[:, :, w : 2 * w])
             np.matmul(a.transpose(0, 2, 1), dh, out=d[:, :, 2 * w : 3 * w])
@@ -333,19 +337,26 @@ def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate:
             scale = rate * min(1.0, step / 10) * (1 - 0.9 * epoch / epochs)
             by, of = f(scale / (1 - 0.9**step)), f(1 / (1 - 0.99**step))
             for tab, p, s, (i, grad) in zip(weights, first, second, grads, strict=True):
-                move = f(0.9) * p[i]
+                some = isinstance(i, np.ndarray)
+                move = p.take(i, axis=0) if some else p.copy()
+                move *= f(0.9)
                 move += f(0.1) * grad
                 p[i] = move
+                before = s.take(i, axis=0) if some else s.copy()
+                before *= f(0.99)
                 grad *= grad
                 grad *= f(0.01)
-                grad += f(0.99) * s[i]
+                grad += before
                 s[i] = grad
                 grad *= of
                 np.sqrt(grad, out=grad)
                 grad += f(1e-7)
                 move *= by
                 move /= grad
-                tab[i] -= move
+                if some:
+                    tab[i] = np.subtract(tab.take(i, axis=0), move, out=move)
+                else:
+                    tab -= move
     return m
 
 
@@ -371,20 +382,25 @@ def unpacked(rows: np.ndarray, like: Attention) -> Attention:
     return Attention(rows[:VOCABULARY].copy(), bias, group.reshape(-1, GROUPS), inside.reshape(GROUPS, -1, GROUPS), like.classes, like.share, like.on, like.off)
 
 
+def _fresh(hashes: list[int], seen: set[int]) -> list[int]:
+    """Places of hashes that are not in seen, to which they go; it starts anew when it is large."""
+    new = []
+    for i, h in enumerate(hashes):
+        if h not in seen:
+            seen.add(h)
+            new.append(i)
+    if len(seen) > 1 << 18:
+        seen.clear()
+    return new
+
+
 def once(rows: DataFrame) -> DataFrame:
-    """rows (h, ids), each h once a task, so that no bucket is sent all copies of a text."""
+    """rows (h, ids), each h once a task, for rows that gather did not mark."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            new = []
-            for i, h in enumerate(batch.column(0).to_pylist()):
-                if h not in seen:
-                    seen.add(h)
-                    new.append(i)
-            if len(seen) > 1 << 18:
-                seen.clear()
-            yield batch.take(pa.array(new, pa.int64()))
+            yield batch.take(pa.array(_fresh(batch.column(0).to_pylist(), seen), pa.int64()))
 
     return rows.mapInArrow(body, "h long, ids binary")
 
@@ -451,17 +467,17 @@ def _summed(word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def gather(texts: DataFrame, path: str, share: int = SHARE, parts: int = 1) -> DataFrame:
-    """From one pass over texts (text): kind 0 part of the words' 64-bit hashes (the end's among them), number of them, hashes and counts, 1 subword id, count and count inside words, 2 hash, number of windows and ids of a row of training windows."""
+    """From one pass over texts (text): kind 0 part of the words' 64-bit hashes (the end's among them), number of them, hashes and counts, 1 subword id, count and count inside words, 2 hash, number of windows and ids of a row of training windows, and 1 as the second count where this task had them before."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = ends = 0
         table = wordpieces.shared(path, STRAY, START, WORDS)
-        per_id, inner = np.zeros(VOCABULARY, np.int64), np.zeros(VOCABULARY, np.int64)
+        per_id, inner, seen = np.zeros(VOCABULARY, np.int64), np.zeros(VOCABULARY, np.int64), set()
 
-        def rows(kind: int, word: np.ndarray, c: np.ndarray, c2: np.ndarray | None = None, ids: np.ndarray | None = None) -> pa.RecordBatch:
+        def rows(kind: int, word: np.ndarray, c: np.ndarray, c2: np.ndarray, ids: np.ndarray | None = None) -> pa.RecordBatch:
             n = len(word)
-            longs = [pa.nulls(n, pa.int64()) if x is None else pa.array(x.astype(np.int64)) for x in (c, c2)]
+            longs = [pa.array(x.astype(np.int64)) for x in (c, c2)]
             if ids is None:
                 blobs = pa.nulls(n, pa.binary())
             else:
@@ -494,7 +510,7 @@ def gather(texts: DataFrame, path: str, share: int = SHARE, parts: int = 1) -> D
                 per_id += np.bincount(ids, minlength=VOCABULARY)
                 inner += np.bincount(ids[content & ~last], minlength=VOCABULARY)
                 own, windows, flat = training_rows(ids, doc, share)
-                yield rows(2, own, windows, ids=flat)
+                yield rows(2, own, windows, np.isin(np.arange(len(own)), _fresh(own.tolist(), seen), invert=True), flat)
                 if size > 1 << 20:
                     merge()
                     size = len(held[0][0])
@@ -507,8 +523,8 @@ def gather(texts: DataFrame, path: str, share: int = SHARE, parts: int = 1) -> D
             merge()
             yield counted(*held[0])
             per_id[START] = 0
-            seen = np.flatnonzero(per_id)
-            yield rows(1, seen, per_id[seen], inner[seen])
+            there = np.flatnonzero(per_id)
+            yield rows(1, there, per_id[there], inner[there])
 
     return texts.select("text").mapInArrow(body, "kind byte, word long, c long, c2 long, ids binary")
 
@@ -560,7 +576,7 @@ def learn(training: DataFrame, path: str, share: int = SHARE, bucket: int = BUCK
     counts = common.save(merged(raw.where("kind = 0").select(F.col("word").alias("part"), "ids")), "counts")
     found = raw.where("kind = 1").groupBy("word").agg(F.sum("c").alias("c"), F.sum("c2").alias("c2")).toPandas()  # at most one row an id
     n = raw.where("kind = 2").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    windows = once(raw.where("kind = 2").select(F.col("word").alias("h"), "ids"))
+    windows = raw.where("kind = 2 AND c2 = 0").select(F.col("word").alias("h"), "ids")  # so that no bucket is sent all copies of a text
     total, distinct = counts.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     ids = found["word"].to_numpy(np.int64)
     m = initial(*[np.bincount(ids, found[c].to_numpy(np.float64), VOCABULARY) for c in ("c", "c2")])
@@ -579,14 +595,20 @@ def _mixed(base: np.ndarray, model: np.ndarray) -> np.ndarray:
 
 def word_logs(m: Attention, words: kernel.Words, table: wordpieces.WordIds) -> np.ndarray:
     """log10 probability under attention of every word of these texts, their ends included."""
-    ids, doc, number, last, same = stream(words, table)
+    return _word_logs(m, words, table)[0]
+
+
+def _word_logs(m: Attention, words: kernel.Words, table: wordpieces.WordIds) -> tuple[np.ndarray, np.ndarray]:
+    """The same, and the entries of the words, without the ends."""
+    ids, doc, number, last, entry = stream(words, table)
+    same = table.same[entry]
     logs = id_logs(m, ids, doc)
     content = (ids != START) & (ids != END)
     logs += np.where(content, np.where(last, m.off[ids], m.on[ids]), 0.0)
     here = number >= 0
     per = np.bincount(number[here], logs[here], len(words.start) + words.rows)
     per[np.arange(len(words.start)) + words.row] += np.where(same, np.log10(1 - VARIANT), np.log10(VARIANT) - words.length * np.log10(4))
-    return per
+    return per, entry
 
 
 _SCORED = "pack long, part int, blob binary, place int, doc_id long, n_tokens long, n_known long, base double, score double"
@@ -634,12 +656,12 @@ def _totals(floor: float):
 def score(docs: DataFrame, learned: Learned, path: str, frequent: int = FREQUENT, pack: int = PACK) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row of docs (doc_id, text)."""
     spark, total, parts, floor = docs.sparkSession, learned.total, learned.parts, learned.floor
-    table: Broadcast = spark.sparkContext.broadcast((learned.model, *often(learned, frequent)))
+    word, c = often(learned, frequent)
+    table: Broadcast = spark.sparkContext.broadcast((learned.model, wordpieces.Slots(word), np.append(np.log10(c + 0.1) - floor, 0.0)))
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, word, c = table.value
-        find, log_c = wordpieces.Slots(word), np.append(np.log10(c + 0.1) - floor, 0.0)
-        ids_of = wordpieces.shared(path, STRAY, START, WORDS)
+        m, known, log_c = table.value
+        ids_of, end_at = wordpieces.shared(path, STRAY, START, WORDS), known.find(np.array([_END_HASH]))[0]
         number = TaskContext.get().partitionId() << 32  # rows are saved with these numbers before anything is sent to a pack
         rows: list[pa.RecordBatch] = []
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -666,13 +688,13 @@ def score(docs: DataFrame, learned: Learned, path: str, frequent: int = FREQUENT
             data, offsets = kernel.utf8(batch.column(1))
             for a, b in kernel.blocks(offsets):
                 words = kernel.Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], lower=True)
-                per = word_logs(m, words, ids_of)
+                per, entry = _word_logs(m, words, ids_of)
                 n = np.diff(words.first)
                 row = np.repeat(np.arange(b - a), n + 1)
                 # words with their text's end after them
-                h = np.full(len(row), _END_HASH, np.uint64)
-                h[np.arange(len(words.start)) + words.row] = words.hashes()
-                at = find(h)
+                h, at = np.full(len(row), _END_HASH, np.uint64), np.full(len(row), end_at)
+                own = np.arange(len(words.start)) + words.row
+                h[own], at[own] = words.hashes(), ids_of.found(known, entry)
                 rare = at < 0
                 base = log_c[at]
                 mixed = _mixed(base, per)

@@ -155,11 +155,6 @@ def encode_chosen(path: str, words: kernel.Words, chosen: np.ndarray) -> tuple[n
     return ids, size, same
 
 
-def _never_0(h: np.ndarray) -> np.ndarray:
-    """Hashes of a table in which 0 is an empty slot."""
-    return np.where(h == 0, np.uint64(1), h)
-
-
 class Slots:
     """An open-addressing table in numpy: 64-bit hash -> entry."""
 
@@ -168,45 +163,40 @@ class Slots:
         slots = 1 << 10
         while 2 * len(h) > slots:
             slots *= 2
+        self.hash = h if len(h) else np.zeros(1, np.uint64)
         self._room(slots)
-        self._put(_never_0(h), np.arange(len(h), dtype=np.int32))
-
-    def __call__(self, h: np.ndarray) -> np.ndarray:
-        """Entry of each hash, or -1."""
-        return self._find(_never_0(h))
+        self._put(np.arange(len(h), dtype=np.int32))
 
     def _room(self, slots: int) -> None:
-        self.key, self.entry = np.zeros(slots, np.uint64), np.zeros(slots, np.int32)
+        self.slot = np.full(slots, -1, np.int32)
 
-    def _find(self, h: np.ndarray) -> np.ndarray:
+    def find(self, h: np.ndarray) -> np.ndarray:
         """Entry of each hash, or -1."""
-        mask = len(self.key) - 1
-        slot = (h & np.uint64(mask)).view(np.int64)
-        key = self.key[slot]
-        out = np.where(key == h, self.entry[slot], -1)
-        todo = np.flatnonzero((key != h) & (key != 0))
-        slot = slot[todo]
+        mask = len(self.slot) - 1
+        at = (h & np.uint64(mask)).view(np.int64)
+        out = self.slot[at]
+        todo = np.flatnonzero((self.hash[out] != h) & (out >= 0))
+        at = at[todo]
         while len(todo):
-            slot = (slot + 1) & mask
-            key = self.key[slot]
-            hit = key == h[todo]
-            out[todo[hit]] = self.entry[slot[hit]]
-            go = ~hit & (key != 0)
-            todo, slot = todo[go], slot[go]
+            at = (at + 1) & mask
+            entry = self.slot[at]
+            out[todo] = entry
+            go = (self.hash[entry] != h[todo]) & (entry >= 0)
+            todo, at = todo[go], at[go]
         return out
 
-    def _put(self, h: np.ndarray, entry: np.ndarray) -> None:
-        """Distinct hashes that are not in the table."""
-        mask = len(self.key) - 1
-        slot = (h & np.uint64(mask)).view(np.int64)
-        while len(h):
-            free = self.key[slot] == 0
-            won = np.zeros(len(h), bool)
-            at, one = np.unique(slot[free], return_index=True)
+    def _put(self, entry: np.ndarray) -> None:
+        """Entries whose hashes are distinct and not in the table."""
+        mask = len(self.slot) - 1
+        at = (self.hash[entry] & np.uint64(mask)).view(np.int64)
+        while len(entry):
+            free = self.slot[at] < 0
+            won = np.zeros(len(entry), bool)
+            place, one = np.unique(at[free], return_index=True)
             first = np.flatnonzero(free)[one]
-            self.key[at], self.entry[at] = h[first], entry[first]
+            self.slot[place] = entry[first]
             won[first] = True
-            h, entry, slot = h[~won], entry[~won], (slot[~won] + 1) & mask
+            entry, at = entry[~won], (at[~won] + 1) & mask
 
 
 class WordIds(Slots):
@@ -218,7 +208,8 @@ class WordIds(Slots):
 
     def _clear(self) -> None:
         self._room(1 << 14)
-        self.first, self.size, self.same = np.zeros(1 << 13, np.int32), np.zeros(1 << 13, np.int32), np.zeros(1 << 13, bool)
+        self.hash, self.first, self.size, self.same = (np.zeros(1 << 13, t) for t in (np.uint64, np.int32, np.int32, bool))
+        self.extra: tuple[Slots | None, np.ndarray] = (None, np.zeros(0, np.int32))
         self.pool = np.zeros(1 << 15, np.uint16 if len(_ranks(self.path)[1]) < 1 << 16 else np.uint32)
         self.n = self.used = 0
         if self.stray is not None:  # entries of the two special ids, which no hash leads to
@@ -229,15 +220,24 @@ class WordIds(Slots):
         """The entry of every word, new ones learnt."""
         if self.n > self.limit or self.pool[: self.used].nbytes > CACHE_BYTES:
             self._clear()
-        h = _never_0(words.hashes())
-        out = self._find(h)
+        h = words.hashes()
+        out = self.find(h)
         new = np.flatnonzero(out < 0)
         if len(new):
             fresh, at = np.unique(h[new], return_index=True)
             self._learn(fresh, words, new[at])
-            out[new] = self._find(h[new])
+            out[new] = self.find(h[new])
         return out
 
+    def found(self, other: Slots, entries: np.ndarray) -> np.ndarray:
+        """Of these words, the entries in another table, or -1; each word of this one is sought there once."""
+        of, known = self.extra
+        if of is not other:
+            known = known[:0]
+        if len(known) < self.n:
+            self.extra = other, np.append(known, other.find(self.hash[len(known) : self.n]))
+        return self.extra[1][entries]
+
     def _learn(self, h: np.ndarray, words: kernel.Words, chosen: np.ndarray) -> None:
         ids, size, same = encode_chosen(self.path, words, chosen)
         if self.stray is not None:
@@ -246,24 +246,23 @@ class WordIds(Slots):
                 at = np.cumsum(size) - size
                 ids, size = np.insert(ids, at[size == 0], self.stray), np.maximum(size, 1)
         n, used = self.n + len(h), self.used + len(ids)
-        if 2 * n > len(self.key):
-            slots = len(self.key)
-            while 2 * n > slots:
-                slots *= 2
-            keep = self.key != 0
-            old, number = self.key[keep], self.entry[keep]
-            self._room(slots)
-            self._put(old, number)
-        for name, need in (("first", n), ("size", n), ("same", n), ("pool", used)):
+        for name, need in (("hash", n), ("first", n), ("size", n), ("same", n), ("pool", used)):
             a = getattr(self, name)
             if need > len(a):
                 b = np.zeros(max(need, 2 * len(a)), a.dtype)
                 b[: len(a)] = a
                 setattr(self, name, b)
+        self.hash[self.n : n] = h
+        if 2 * n > len(self.slot):
+            slots = len(self.slot)
+            while 2 * n > slots:
+                slots *= 2
+            self._room(slots)
+            self._put(np.arange(0 if self.stray is None else 2, self.n, dtype=np.int32))
         self.first[self.n : n] = self.used + np.cumsum(size) - size
         self.size[self.n : n], self.same[self.n : n] = size, same
         self.pool[self.used : used] = ids
-        self._put(h, np.arange(self.n, n, dtype=np.int32))
+        self._put(np.arange(self.n, n, dtype=np.int32))
         self.n, self.used = n, used
 
     def ids(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
