@@ -125,7 +125,7 @@ def stream(words: kernel.Words, table: wordpieces.WordIds) -> tuple[np.ndarray,
     ids, size = table.ids(every)
     n = np.add.reduceat(size, begin) if rows else size
     last = np.zeros(len(ids), bool)
-    last[(np.cumsum(size) - 1)[edge]] = True
+    last[np.cumsum(size) - 1] = True
     return ids.astype(np.int64), np.repeat(row, n), np.repeat(number, size), last, entry
 
 
@@ -214,7 +214,7 @@ def id_logs(m: Attention, ids: np.ndarray, doc: np.ndarray, batch: int = 192) ->
         h = h.take(order, axis=0)
         for c in range(GROUPS):
             np.matmul(h[edge[c] : edge[c + 1]], inside[c], out=z[edge[c] : edge[c + 1]])
-        logs[b * STRIDE + order] += _chosen(z, want[order] % GROUPS)
+        logs[b * STRIDE + order] += _chosen(z, (want - GROUPS * own)[order])
     out[then] = logs[at] * np.log10(2) + m.share[nxt]
     return out
 
@@ -264,9 +264,9 @@ def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate:
     w, lag = WIDTH, np.abs(_LAG[_LEAD:])
     ahead = np.where(_CAUSAL[_LEAD:], f(0), f(-1e4))
     ones = np.ones(CONTEXT, f)
-    # what every step writes anew; d holds 0 where nothing is predicted, flat and turned end with 1
+    # what every step writes anew; gradients of query and self are 0 where nothing is predicted, flat and turned end with 1
     z, d_inside, more = np.empty((2 * batch * STRIDE, GROUPS), f), np.empty_like(m.inside), np.empty((2 * batch * STRIDE, w), f)
-    d_all, dh_all = np.zeros((2 * batch, CONTEXT, 4 * w), f), np.empty((2 * batch * STRIDE, w + 1), f)
+    d_rows, dh_all = [np.zeros((2 * batch, CONTEXT, w), f) for _ in range(4)], np.empty((2 * batch * STRIDE, w + 1), f)
     flat_all, turned_all = np.ones((2 * batch * STRIDE, w + 1), f), np.ones((2 * batch, 2 * w + 1, CONTEXT), f)
     for epoch in range(epochs):
         for chosen in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // batch)):
@@ -291,19 +291,21 @@ def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate:
             flat = flat_all[: n * STRIDE]
             np.maximum(h, f(0.1) * h, out=flat.reshape(n, STRIDE, w + 1)[:, :, :w])
             want = m.classes[x[:, _LEAD + 1 :].ravel()]
-            group = (want // GROUPS).astype(np.uint8)
+            of = want // GROUPS
+            group = of.astype(np.uint8)
             group[~(there[:, _LEAD + 1 :] & there[:, _LEAD:-1]).ravel()] = GROUPS
             order = np.argsort(group, kind="stable")
             edge = np.searchsorted(group[order], np.arange(GROUPS + 1))
             order, rest = order[: edge[-1]], order[edge[-1] :]
-            flat_o, want_o, each = flat.take(order, axis=0), want[order], f(1 / max(1, len(order)))
-            g = _slope(_tall(flat_o, m.group * _TO_2, z[: len(flat_o)]), want_o // GROUPS, each)
+            flat_o, of, each = flat.take(order, axis=0), of[order], f(1 / max(1, len(order)))
+            within = want[order] - GROUPS * of
+            g = _slope(_tall(flat_o, m.group * _TO_2, z[: len(flat_o)]), of, each)
             d_group, back = _across(flat_o, g), _tall(g, m.group[:w].T, np.empty((len(g), w), f))
             inside = m.inside * _TO_2
             parts = [(c, slice(i, j)) for c, (i, j) in enumerate(zip(edge.tolist(), edge[1:].tolist(), strict=False)) if i < j]
             for c, part in parts:
                 np.matmul(flat_o[part], inside[c], out=z[part])
-            g = _slope(z[: len(flat_o)], want_o % GROUPS, each)
+            g = _slope(z[: len(flat_o)], within, each)
             if len(parts) < GROUPS:
                 d_inside[:] = 0
             for c, part in parts:
@@ -321,42 +323,43 @@ def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate:
             np.negative((mean.reshape(-1, w) @ ones[:w]).reshape(n, STRIDE), out=both[:, :, w])
             da = both @ turned[:, w:]  # less the mean of each row
             da *= a
-            d = d_all[:n]
-            np.matmul(da, k, out=d[:, _LEAD:, :w])
-            np.matmul(da.transpose(0, 2, 1), q, out=d[:, :, w : 2 * w])
-            np.matmul(a.transpose(0, 2, 1), dh, out=d[:, :, 2 * w : 3 * w])
-            d[:, _LEAD:, 3 * w :] = dh
+            d = [x[:n] for x in d_rows]
+            np.matmul(da, k, out=d[0][:, _LEAD:])
+            np.matmul(da.transpose(0, 2, 1), q, out=d[1])
+            np.matmul(a.transpose(0, 2, 1), dh, out=d[2])
+            d[3][:, _LEAD:] = dh
             d_bias = np.bincount(lag.ravel(), da.sum(0).ravel(), CONTEXT).astype(f)
             seen = x[:, :-1].ravel()
             order = np.argsort(seen, kind="stable")
             seen = seen[order]
             at = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]]))
-            summed = np.add.reduceat(d.reshape(-1, 4 * w).take(order, axis=0).view(np.complex64), at).view(f)  # two columns at a time
+            summed = np.empty((len(at), 4 * w), f)
+            for part, own in enumerate(d):
+                summed[:, part * w : (part + 1) * w] = np.add.reduceat(own.reshape(-1, w).take(order, axis=0).view(np.complex64), at).view(f)  # two columns at a time
             grads = [(seen[at].astype(np.int64), summed), (slice(None), d_bias), (slice(None), d_group), (slice(None), d_inside)]
             step += 1
             scale = rate * min(1.0, step / 10) * (1 - 0.9 * epoch / epochs)
-            by, of = f(scale / (1 - 0.9**step)), f(1 / (1 - 0.99**step))
+            # first and second hold the usual moments over 0.1 and 0.01
+            r = (0.01 / (1 - 0.99**step)) ** 0.5
+            by, least = f(0.1 * scale / (1 - 0.9**step) / r), f(1e-7 / r)
             for tab, p, s, (i, grad) in zip(weights, first, second, grads, strict=True):
                 some = isinstance(i, np.ndarray)
-                move = p.take(i, axis=0) if some else p.copy()
+                move, square = (p.take(i, axis=0), s.take(i, axis=0)) if some else (p, s)
                 move *= f(0.9)
-                move += f(0.1) * grad
-                p[i] = move
-                before = s.take(i, axis=0) if some else s.copy()
-                before *= f(0.99)
+                move += grad
                 grad *= grad
-                grad *= f(0.01)
-                grad += before
-                s[i] = grad
-                grad *= of
-                np.sqrt(grad, out=grad)
-                grad += f(1e-7)
-                move *= by
-                move /= grad
+                square *= f(0.99)
+                square += grad
                 if some:
-                    tab[i] = np.subtract(tab.take(i, axis=0), move, out=move)
+                    p[i], s[i] = move, square
+                np.sqrt(square, out=grad)
+                grad += least
+                np.divide(move, grad, out=grad)
+                grad *= by
+                if some:
+                    tab[i] = np.subtract(tab.take(i, axis=0), grad, out=grad)
                 else:
-                    tab -= move
+                    tab -= grad
     return m
 
 
@@ -506,9 +509,8 @@ def gather(texts: DataFrame, path: str, share: int = SHARE, parts: int = 1) -> D
                     held.append((h, n))
                     size += len(h)
                 ids, doc, _, last, _ = stream(words, table)
-                content = (ids != START) & (ids != END)
                 per_id += np.bincount(ids, minlength=VOCABULARY)
-                inner += np.bincount(ids[content & ~last], minlength=VOCABULARY)
+                inner += np.bincount(ids[~last], minlength=VOCABULARY)
                 own, windows, flat = training_rows(ids, doc, share)
                 yield rows(2, own, windows, np.isin(np.arange(len(own)), _fresh(own.tolist(), seen), invert=True), flat)
                 if size > 1 << 20:
@@ -603,10 +605,11 @@ def _word_logs(m: Attention, words: kernel.Words, table: wordpieces.WordIds) ->
     ids, doc, number, last, entry = stream(words, table)
     same = table.same[entry]
     logs = id_logs(m, ids, doc)
-    content = (ids != START) & (ids != END)
-    logs += np.where(content, np.where(last, m.off[ids], m.on[ids]), 0.0)
-    here = number >= 0
-    per = np.bincount(number[here], logs[here], len(words.start) + words.rows)
+    chance = np.stack([m.on, m.off])
+    chance[:, [START, END]] = 0
+    logs += chance.ravel().take(ids + VOCABULARY * last)
+    number += 1
+    per = np.bincount(number, logs, len(words.start) + words.rows + 1)[1:]  # all but the starts
     per[np.arange(len(words.start)) + words.row] += np.where(same, np.log10(1 - VARIANT), np.log10(VARIANT) - words.length * np.log10(4))
     return per, entry
 

@@ -489,6 +489,41 @@ def test_all_windows_train_the_language_model(docs):
     assert np.allclose(plain.rows, twice.rows, atol=1e-4) and np.allclose(plain.inside, twice.inside, atol=1e-4)
 
 
+def test_rare_words_meet_their_counts_in_packs(docs, monkeypatch):
+    """Words go between tasks as arrays, in a few rows a pack, whatever the parts and packs; before, each had a row."""
+    monkeypatch.setattr(lm, "part_count", lambda docs: 7)
+    texts = docs.select("doc_id", "text")
+    learned = lm.learn(texts.where(~lm.held_out()), WORD)
+    c = Counter(w for r in ROWS if zlib.crc32(str(r[0]).encode()) % 10 for w in [*words(r[1], True), None])
+    some = kernel.Words(*kernel.utf8(pa.array([" ".join(w.decode() for w in c if w)])))
+    own = dict(zip(some.hashes().tolist(), (c[w] for w in c if w), strict=True)) | {int(lm._END_HASH): c[None]}
+    for frequent in (1, 16, 1 << 20):
+        h, n = lm.often(learned, frequent)
+        assert dict(zip(h.tolist(), n.tolist(), strict=True)) == {k: x for k, x in own.items() if x * frequent > sum(c.values())}
+    plain = {r.doc_id: r for r in lm.score(texts, learned, WORD).collect()}
+    kept, save = [], common.save
+    monkeypatch.setattr(common, "save", lambda df, name, *a: kept.append(save(df, name, *a)) or kept[-1])
+    for pack in (1, 1 << 20):
+        got = lm.score(texts, learned, WORD, frequent=1, pack=pack).collect()
+        assert len(got) == len(ROWS)
+        for r in got:
+            assert (r.n_tokens, r.n_known) == (plain[r.doc_id].n_tokens, plain[r.doc_id].n_known)
+            assert (r.base_score, r.score) == pytest.approx((plain[r.doc_id].base_score, plain[r.doc_id].score))
+    assert kept[-1].count() <= len(ROWS) + 3 * (7 + 1) < sum(len(words(r[1])) for r in ROWS)
+
+
+def test_new_words_are_cut_at_once():
+    """Words of letters, digits and signs without a step a word give what each gives by itself."""
+    rng = random.Random(8)
+    some = sorted({"".join(rng.choice("abeEé Éß÷1２.,-'<|\u00a0x日\u0301") for _ in range(rng.randint(1, 9))) for _ in range(4000)})
+    for lower in (False, True):
+        w = kernel.Words(*kernel.utf8(pa.array(some)), lower=lower)
+        every = np.arange(len(w.start))
+        got, expected = wordpieces.encode_chosen(WORD, w, every), wordpieces.encode_words(WORD, w.texts())
+        assert all(np.array_equal(x, y) for x, y in zip(got, expected, strict=True))
+    assert kernel.Words(*kernel.utf8(pa.array(["", "a b", " ", "c"]))).row.tolist() == [1, 1, 3]
+
+
 def test_fit_lowers_its_loss():
     rng = np.random.RandomState(3)
     counts = rng.rand(lm.VOCABULARY) * 9
