@@ -266,6 +266,8 @@ def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate:
     ones = np.ones(CONTEXT, f)
     # what every step writes anew; gradients of query and self are 0 where nothing is predicted, flat and turned end with 1
     z, d_inside, more = np.empty((2 * batch * STRIDE, GROUPS), f), np.empty_like(m.inside), np.empty((2 * batch * STRIDE, w), f)
+    inside = np.empty_like(m.inside)
+    by_class = [(inside[c], d_inside[c], m.inside[c, :w].T) for c in range(GROUPS)]  # m.inside is trained in place
     d_rows, dh_all = [np.zeros((2 * batch, CONTEXT, w), f) for _ in range(4)], np.empty((2 * batch * STRIDE, w + 1), f)
     flat_all, turned_all = np.ones((2 * batch * STRIDE, w + 1), f), np.ones((2 * batch, 2 * w + 1, CONTEXT), f)
     for epoch in range(epochs):
@@ -301,16 +303,16 @@ def fit(m: Attention, rows: np.ndarray, epochs: int = 1, batch: int = 128, rate:
             within = want[order] - GROUPS * of
             g = _slope(_tall(flat_o, m.group * _TO_2, z[: len(flat_o)]), of, each)
             d_group, back = _across(flat_o, g), _tall(g, m.group[:w].T, np.empty((len(g), w), f))
-            inside = m.inside * _TO_2
-            parts = [(c, slice(i, j)) for c, (i, j) in enumerate(zip(edge.tolist(), edge[1:].tolist(), strict=False)) if i < j]
-            for c, part in parts:
-                np.matmul(flat_o[part], inside[c], out=z[part])
-            g = _slope(z[: len(flat_o)], within, each)
+            np.multiply(m.inside, _TO_2, out=inside)
+            parts = [(by_class[c], flat_o[i:j], z[i:j], more[i:j]) for c, (i, j) in enumerate(zip(edge.tolist(), edge[1:].tolist(), strict=False)) if i < j]
+            for (layer, _, _), x_c, z_c, _ in parts:
+                np.matmul(x_c, layer, out=z_c)
+            _slope(z[: len(flat_o)], within, each)
             if len(parts) < GROUPS:
                 d_inside[:] = 0
-            for c, part in parts:
-                np.matmul(flat_o[part].T, g[part], out=d_inside[c])
-                np.matmul(g[part], m.inside[c, :w].T, out=more[part])
+            for (_, d_layer, turned_layer), x_c, z_c, more_c in parts:
+                np.matmul(x_c.T, z_c, out=d_layer)
+                np.matmul(z_c, turned_layer, out=more_c)
             back += more[: len(back)]
             both = dh_all[: n * STRIDE]
             both[order, :w], both[rest] = back, 0
@@ -589,10 +591,9 @@ def learn(training: DataFrame, path: str, share: int = SHARE, bucket: int = BUCK
 
 
 def _mixed(base: np.ndarray, model: np.ndarray) -> np.ndarray:
-    """log10 of the mixture, from log10s."""
+    """log10 of the mixture, from log10s; that of base is never so low that a float does not hold it."""
     x, y = base + np.log10(1 - MIX), model + np.log10(MIX)
-    high = np.maximum(x, y)
-    return high + np.log10(10.0 ** (x - high) + 10.0 ** (y - high))
+    return np.log10(np.exp(x * np.log(10)) + np.exp(y * np.log(10)))
 
 
 def word_logs(m: Attention, words: kernel.Words, table: wordpieces.WordIds) -> np.ndarray:
